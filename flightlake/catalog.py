@@ -12,7 +12,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flightlake.functions.geo import path_points, segment_count
 from flightlake.functions.risk import risk_band
 from flightlake.functions.text import legacy_board_times, legacy_origin_name, normalize_strings
 from flightlake.functions.timefn import (epoch_to_date, epoch_to_text, hour_offset, iso_to_epoch,
@@ -332,16 +331,13 @@ def leg_distance(spark, d):
 
 
 def flight_path_points(spark, d):
-    legs = _all_legs(spark, d)
-    return (legs.select("flight_iata", F.explode("flight_path").alias("_p"))
-            .select("flight_iata", "_p.idx", "_p.lat", "_p.lon", "_p.t"))
+    return planner.waypoints(_all_legs(spark, d)).select("flight_iata", "idx", "lat", "lon", "t")
 
 
 def adaptive_segments(spark, d):
     legs = _all_legs(spark, d, segments="by_distance")
-    return (legs.select("flight_iata", segment_count("airport_distance").alias("n_segments"),
-                        F.explode("flight_path").alias("_p"))
-            .select("flight_iata", "n_segments", "_p.idx", "_p.lat", "_p.lon", "_p.t"))
+    return planner.waypoints(legs, keep=("flight_iata", "n_segments")).select(
+        "flight_iata", "n_segments", "idx", "lat", "lon", "t")
 
 
 def iso_to_epoch_q(spark, d):

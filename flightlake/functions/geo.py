@@ -41,33 +41,59 @@ def segment_count(distance_km) -> Column:
     return F.least(F.greatest(n, F.lit(1)), F.lit(MAX_SEGMENTS))
 
 
+def _point_fields(lat0, lon0, lat1, lon1, t0, t1, i: Column, n: Column, digits: int
+                  ) -> dict[str, Column]:
+    """Coordinates and time of point ``i`` of an ``n``-segment straight-line path."""
+    r_lat0, r_lon0 = F.radians(_c(lat0)), F.radians(_c(lon0))
+    d_lat = F.radians(_c(lat1)) - r_lat0
+    d_lon = F.radians(_c(lon1)) - r_lon0
+    start = _c(t0).cast("double")
+    span = (_c(t1) - _c(t0)).cast("double")
+    step = F.lit(1.0) / n.cast("double")
+    frac = F.when(i == n, F.lit(1.0)).otherwise(i.cast("double") * step)
+    return {
+        "idx": i.cast("int"),
+        "lat": round_half_even(F.degrees(r_lat0 + frac * d_lat), digits),
+        "lon": round_half_even(F.degrees(r_lon0 + frac * d_lon), digits),
+        "t": (start + frac * span + F.lit(0.5)).cast("long"),
+    }
+
+
+def _segments(segments) -> Column:
+    return segments if isinstance(segments, Column) else F.lit(int(segments))
+
+
 def path_points(lat0, lon0, lat1, lon1, t0, t1, segments=3, digits: int = 5) -> Column:
     """Timed straight-line path (linear in degrees) as ``array<struct<idx,lat,lon,t>>``.
 
     ``segments + 1`` evenly spaced points at fractions ``i * (1/n)`` with the last
     fraction exactly 1, coordinates rounded half-even to ``digits`` and time
     ``trunc(t0 + f * (t1 - t0) + 0.5)``.  ``segments`` may be an int or a Column.
+    Use ``explode_path`` when one row per point is wanted: it stays inside
+    whole-stage code generation, which array lambdas do not.
     """
-    n = segments if isinstance(segments, Column) else F.lit(int(segments))
-    r_lat0, r_lon0 = F.radians(_c(lat0)), F.radians(_c(lon0))
-    d_lat = F.radians(_c(lat1)) - r_lat0
-    d_lon = F.radians(_c(lon1)) - r_lon0
-    start = _c(t0).cast("double")
-    span = (_c(t1) - _c(t0)).cast("double")
-    step = F.lit(1.0) / n.cast("double")
+    n = _segments(segments)
 
     def point(i: Column) -> Column:
-        frac = F.when(i == n, F.lit(1.0)).otherwise(i.cast("double") * step)
-        return F.struct(
-            i.cast("int").alias("idx"),
-            round_half_even(F.degrees(r_lat0 + frac * d_lat), digits).alias("lat"),
-            round_half_even(F.degrees(r_lon0 + frac * d_lon), digits).alias("lon"),
-            (start + frac * span + F.lit(0.5)).cast("long").alias("t"),
-        )
+        fields = _point_fields(lat0, lon0, lat1, lon1, t0, t1, i, n, digits)
+        return F.struct(*[c.alias(k) for k, c in fields.items()])
 
     return F.transform(F.sequence(F.lit(0), n.cast("int")), point)
 
 
+def explode_path(df, lat0, lon0, lat1, lon1, t0, t1, segments=3, digits: int = 5,
+                 keep=()):
+    """One row per path point (``keep..., idx, lat, lon, t``): the rows of ``path_points``."""
+    n = _segments(segments)
+    base = df.select(*keep, _c(lat0).alias("_lat0"), _c(lon0).alias("_lon0"),
+                     _c(lat1).alias("_lat1"), _c(lon1).alias("_lon1"),
+                     _c(t0).alias("_t0"), _c(t1).alias("_t1"), n.cast("int").alias("_n"))
+    rows = base.select("*", F.explode(F.sequence(F.lit(0), F.col("_n"))).alias("_i"))
+    fields = _point_fields("_lat0", "_lon0", "_lat1", "_lon1", "_t0", "_t1",
+                           F.col("_i"), F.col("_n"), digits)
+    return rows.select(*keep, *[c.alias(k) for k, c in fields.items()])
+
+
 def grid_cell(lat, lon, resolution_deg: float = 0.25) -> Column:
     """Row-major id of the ``resolution_deg`` grid cell holding (lat, lon)."""
     res = F.lit(float(resolution_deg))

@@ -33,11 +33,9 @@ def unique_airports(airports: DataFrame, code: str = "iata", lat: str = "latitud
                     F.round("_lon", digits).alias("lon")))
 
 
-def _dim(unique: DataFrame, prefix: str, max_rows: int | None) -> DataFrame:
-    side = unique.select(F.col("code").alias(f"_{prefix}_code"),
-                         F.col("lat").alias(f"{prefix}_lat"),
-                         F.col("lon").alias(f"{prefix}_lon"))
-    return checked_broadcast(side, max_rows) if max_rows else side
+def _bounded(df: DataFrame, max_rows: int | None) -> bool:
+    """True when ``df`` provably has at most ``max_rows`` rows (stops counting early)."""
+    return bool(max_rows) and df.limit(max_rows + 1).count() <= max_rows
 
 
 def resolve_airports(flights: DataFrame, unique: DataFrame, dep_code: str = "departure_iata",
@@ -47,14 +45,18 @@ def resolve_airports(flights: DataFrame, unique: DataFrame, dep_code: str = "dep
 
     Flights whose codes do not resolve (unknown, ambiguous, null) drop out, which
     is the set form of the sentinel filters.  The dimension is broadcast only
-    after its row count is checked.
+    after its row count is checked (once for both ends); a larger dimension is
+    joined by shuffle.
     """
-    dep = _dim(unique, "departure", max_broadcast_rows)
-    arr = _dim(unique, "arrival", max_broadcast_rows)
-    return (flights
-            .join(dep, F.col(dep_code) == F.col("_departure_code"), "inner")
-            .join(arr, F.col(arr_code) == F.col("_arrival_code"), "inner")
-            .drop("_departure_code", "_arrival_code"))
+    small = _bounded(unique, max_broadcast_rows)
+    out = flights
+    for prefix, code_col in (("departure", dep_code), ("arrival", arr_code)):
+        side = unique.select(F.col("code").alias(f"_{prefix}_code"),
+                             F.col("lat").alias(f"{prefix}_lat"),
+                             F.col("lon").alias(f"{prefix}_lon"))
+        side = F.broadcast(side) if small else side
+        out = out.join(side, F.col(code_col) == F.col(f"_{prefix}_code"), "inner")
+    return out.drop("_departure_code", "_arrival_code")
 
 
 def _code_side(unique: DataFrame, max_rows: int | None) -> DataFrame:

@@ -12,13 +12,15 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flightlake.functions.geo import grid_cell, haversine_km, path_points, segment_count
+from flightlake.functions.geo import (explode_path, grid_cell, haversine_km, path_points,
+                                      segment_count)
 from flightlake.functions.risk import risk_band
 from flightlake.functions.text import normalize_strings
 from flightlake.functions.timefn import iso_to_epoch
 from flightlake.operators.lookup import resolve_airports
 from flightlake.operators.weather_risk import score_waypoints
 from flightlake.schemas import SCORED_METRICS
+from flightlake.session import materialize
 from flightlake.sources.schedule import drop_null_status, scheduled_only
 
 FLIGHT_KEY = "flight_iata"
@@ -48,10 +50,12 @@ def leg_metrics(schedule: DataFrame, unique_airports: DataFrame,
     }).filter(F.col("departure_epoch").isNotNull() & F.col("arrival_epoch").isNotNull())
     dist = haversine_km("departure_lat", "departure_lon", "arrival_lat", "arrival_lon")
     legs = legs.withColumn("airport_distance", dist)
-    n = segment_count(F.col("airport_distance")) if segments == "by_distance" else int(segments)
+    n = segment_count(F.col("airport_distance")) if segments == "by_distance" \
+        else F.lit(int(segments))
+    legs = legs.withColumn("n_segments", n.cast("int"))
     legs = legs.withColumn("flight_path", path_points(
         "departure_lat", "departure_lon", "arrival_lat", "arrival_lon",
-        "departure_epoch", "arrival_epoch", n))
+        "departure_epoch", "arrival_epoch", F.col("n_segments")))
     if max_flights:
         legs = legs.orderBy("departure_epoch", FLIGHT_KEY).limit(max_flights)
     return legs
@@ -72,10 +76,15 @@ def leg_rejects(schedule: DataFrame, unique_airports: DataFrame) -> DataFrame:
 
 
 def waypoints(legs: DataFrame, keep: Sequence[str] = (FLIGHT_KEY,)) -> DataFrame:
-    """One row per path point: ``keep..., idx, lat, lon, t, leg_start``."""
-    leg_start = F.least("departure_epoch", "arrival_epoch")
-    return (legs.select(*keep, leg_start.alias("leg_start"), F.explode("flight_path").alias("_p"))
-            .select(*keep, "_p.idx", "_p.lat", "_p.lon", "_p.t", "leg_start"))
+    """One row per path point: ``keep..., idx, lat, lon, t, leg_start``.
+
+    Generated row-wise (explode of the index range + column expressions), the
+    same points as the ``flight_path`` array but inside whole-stage codegen.
+    """
+    with_start = legs.withColumn("leg_start", F.least("departure_epoch", "arrival_epoch"))
+    return explode_path(with_start, "departure_lat", "departure_lon", "arrival_lat",
+                        "arrival_lon", "departure_epoch", "arrival_epoch",
+                        F.col("n_segments"), keep=(*keep, "leg_start"))
 
 
 def default_cell(lat: Column, lon: Column) -> Column:
@@ -86,9 +95,18 @@ def plan_waypoints(legs: DataFrame, observed: DataFrame, forecast: DataFrame,
                    cell_fn: Callable[[Column, Column], Column] = default_cell,
                    past_days: int = 90, hour_anchor: str = "leg_start",
                    metrics: Sequence[str] = SCORED_METRICS, nan_policy: str = "propagate",
-                   keep: Sequence[str] = (FLIGHT_KEY,)) -> DataFrame:
-    """Risk-scored waypoints: ``keep..., idx, lat, lon, t, risk, band`` (Q1)."""
+                   keep: Sequence[str] = (FLIGHT_KEY,),
+                   materialize_points: bool = True) -> DataFrame:
+    """Risk-scored waypoints: ``keep..., idx, lat, lon, t, risk, band`` (Q1).
+
+    With ``materialize_points`` the waypoint table is written once to the
+    shared checkpoint folder (``spark.checkpoint.dir``) before scoring.
+    """
     pts = waypoints(legs, keep).withColumn("cell", cell_fn(F.col("lat"), F.col("lon")))
+    if materialize_points:
+        # The waypoints feed both the distinct risk keys and the join back:
+        # write them once instead of re-running the schedule pipeline twice.
+        pts = materialize(pts, "waypoints")
     scored = score_waypoints(pts, observed, forecast, past_days, hour_anchor, metrics, nan_policy)
     return scored.select(*keep, "idx", "lat", "lon", "t", "risk",
                          risk_band(F.col("risk")).alias("band"))

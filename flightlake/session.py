@@ -58,3 +58,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def table_path(spark: SparkSession, name: str) -> str:
     """A location for an intermediate table inside the shared checkpoint folder."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+def materialize(df, name: str):
+    """Write ``df`` as a parquet table under the shared checkpoint folder and read it back.
+
+    Used where one intermediate feeds two branches of a plan (so it is computed
+    once) and to cut long lineages: a lost executor then recomputes from the
+    written table, not from the sources.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    path = table_path(spark, f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
