@@ -29,6 +29,8 @@ from flightlake.functions.timefn import SECONDS_PER_DAY, SECONDS_PER_HOUR, day_s
 from flightlake.schemas import SCORED_METRICS
 
 KEY = ["cell", "day0", "fts"]
+# Optional partition column of weather tables: UTC day number of ``ts_hour``.
+DAY_COLUMN = "day"
 
 
 def add_forecast_key(points: DataFrame, t: str = "t", leg_start: str = "leg_start",
@@ -117,9 +119,44 @@ def risk_from_scores(scores: DataFrame, metrics: Sequence[str] = SCORED_METRICS)
     return scores.withColumn("risk", round_half_even(worst, 1))
 
 
+def weather_window(keys: DataFrame, observed: DataFrame, forecast: DataFrame,
+                   past_days: int) -> tuple[DataFrame, DataFrame]:
+    """Restrict both weather tables to the hours any key can use.
+
+    One tiny aggregate over the keys gives the bounds; the resulting literal
+    range predicates on ``ts_hour`` reach the parquet scan (row-group skipping,
+    and partition pruning when the table is partitioned by a column derived
+    from it), so a multi-year weather table is read only for the needed months.
+    """
+    b = keys.agg(F.min("day0").alias("lo"), F.max("day0").alias("hi"),
+                 F.min("fts").alias("flo"), F.max("fts").alias("fhi")).first()
+    if b is None or b["lo"] is None:
+        return observed, forecast
+    h_lo = b["lo"] - past_days * SECONDS_PER_DAY
+    h_hi = b["hi"] + SECONDS_PER_DAY
+
+    def bound(df: DataFrame, lo: int, hi_incl: int) -> DataFrame:
+        out = df.filter((F.col("ts_hour") >= F.lit(lo)) & (F.col("ts_hour") <= F.lit(hi_incl)))
+        if DAY_COLUMN in df.columns:
+            # Tables partitioned by day number: the same bound prunes partitions.
+            out = out.filter((F.col(DAY_COLUMN) >= F.lit(lo // SECONDS_PER_DAY))
+                             & (F.col(DAY_COLUMN) <= F.lit(hi_incl // SECONDS_PER_DAY)))
+        return out
+
+    return bound(observed, h_lo, h_hi - 1), bound(forecast, b["flo"], b["fhi"])
+
+
 def key_risk(keys: DataFrame, observed: DataFrame, forecast: DataFrame, past_days: int = 90,
-             metrics: Sequence[str] = SCORED_METRICS, nan_policy: str = "propagate") -> DataFrame:
-    """Risk table for distinct keys ``(cell, day0, fts)``."""
+             metrics: Sequence[str] = SCORED_METRICS, nan_policy: str = "propagate",
+             prune_weather: bool = False) -> DataFrame:
+    """Risk table for distinct keys ``(cell, day0, fts)``.
+
+    ``prune_weather`` bounds both weather scans to the keys' time range first
+    (one small aggregate job); worth it whenever the weather table spans more
+    time than the planned flights need.
+    """
+    if prune_weather:
+        observed, forecast = weather_window(keys, observed, forecast, past_days)
     scored = forecast_lookup(keys, forecast, metrics)
     counts = trailing_history_counts(scored, observed, past_days, metrics)
     return risk_from_scores(percentile_scores(counts, metrics, nan_policy), metrics)
@@ -128,7 +165,7 @@ def key_risk(keys: DataFrame, observed: DataFrame, forecast: DataFrame, past_day
 def score_waypoints(points: DataFrame, observed: DataFrame, forecast: DataFrame,
                     past_days: int = 90, hour_anchor: str = "leg_start",
                     metrics: Sequence[str] = SCORED_METRICS,
-                    nan_policy: str = "propagate") -> DataFrame:
+                    nan_policy: str = "propagate", prune_weather: bool = True) -> DataFrame:
     """Attach ``risk`` to every waypoint row.
 
     ``points`` needs ``cell``, ``t`` and ``leg_start``; ``observed`` and
@@ -136,6 +173,7 @@ def score_waypoints(points: DataFrame, observed: DataFrame, forecast: DataFrame,
     """
     pts = add_forecast_key(points, hour_anchor=hour_anchor)
     keys = pts.select(*KEY).distinct()
-    risk = key_risk(keys, observed, forecast, past_days, metrics, nan_policy).select(*KEY, "risk")
+    risk = key_risk(keys, observed, forecast, past_days, metrics, nan_policy,
+                    prune_weather).select(*KEY, "risk")
     return (pts.join(risk, KEY, "left")
             .withColumn("risk", F.coalesce(F.col("risk"), F.lit(MISSING_SCORE))))

@@ -96,7 +96,7 @@ def plan_waypoints(legs: DataFrame, observed: DataFrame, forecast: DataFrame,
                    past_days: int = 90, hour_anchor: str = "leg_start",
                    metrics: Sequence[str] = SCORED_METRICS, nan_policy: str = "propagate",
                    keep: Sequence[str] = (FLIGHT_KEY,),
-                   materialize_points: bool = True) -> DataFrame:
+                   materialize_points: bool = True, prune_weather: bool = True) -> DataFrame:
     """Risk-scored waypoints: ``keep..., idx, lat, lon, t, risk, band`` (Q1).
 
     With ``materialize_points`` the waypoint table is written once to the
@@ -107,18 +107,22 @@ def plan_waypoints(legs: DataFrame, observed: DataFrame, forecast: DataFrame,
         # The waypoints feed both the distinct risk keys and the join back:
         # write them once instead of re-running the schedule pipeline twice.
         pts = materialize(pts, "waypoints")
-    scored = score_waypoints(pts, observed, forecast, past_days, hour_anchor, metrics, nan_policy)
+    scored = score_waypoints(pts, observed, forecast, past_days, hour_anchor, metrics, nan_policy,
+                             prune_weather)
     return scored.select(*keep, "idx", "lat", "lon", "t", "risk",
                          risk_band(F.col("risk")).alias("band"))
 
 
-def path_with_risk(scored: DataFrame, key: str = FLIGHT_KEY) -> DataFrame:
-    """Per flight, the ordered path with risk and band re-assembled.
+def path_with_risk(scored: DataFrame, key: str | Sequence[str] = FLIGHT_KEY) -> DataFrame:
+    """Per leg, the ordered path with risk and band re-assembled.
 
-    Arrays per flight are bounded by the segment count (at most 31 points).
+    ``key`` must identify one leg (e.g. flight number plus date when the
+    schedule spans several days).  Arrays per leg are bounded by the segment
+    count (at most 31 points), so the collect never grows with the data.
     """
+    keys = [key] if isinstance(key, str) else list(key)
     pts = F.array_sort(F.collect_list(F.struct("idx", "lat", "lon", "t", "risk", "band")))
-    return scored.groupBy(key).agg(pts.alias("path"))
+    return scored.groupBy(*keys).agg(pts.alias("path"))
 
 
 def path_text(path: Column, field: str, sep: str = "|") -> Column:

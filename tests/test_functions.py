@@ -115,3 +115,36 @@ def test_whitespace_matches_python_split(spark, texts):
     for t, r in zip(texts, got):
         assert r.n == " ".join(t.split())
         assert r.nn == r.n  # idempotent
+
+
+def test_path_times_monotone_and_endpoints(spark):
+    rng = np.random.default_rng(3)
+    rows = [(float(a), float(b), float(c), float(d), int(t0), int(t0 + dt))
+            for a, b, c, d, t0, dt in zip(rng.uniform(-60, 60, 200), rng.uniform(-150, 150, 200),
+                                          rng.uniform(-60, 60, 200), rng.uniform(-150, 150, 200),
+                                          rng.integers(1.7e9, 1.71e9, 200),
+                                          rng.integers(0, 50000, 200))]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, t0 long, t1 long")
+    for r in df.select("*", path_points("a", "b", "c", "d", "t0", "t1", 5).alias("p")).collect():
+        ts = [p["t"] for p in r.p]
+        assert ts == sorted(ts) and ts[0] == r.t0 and ts[-1] == r.t1
+        assert (r.p[0]["lat"], r.p[-1]["lat"]) == (round(r.a, 5), round(r.c, 5))
+
+
+def test_utc_hour_anchor(spark):
+    from flightlake.operators.weather_risk import add_forecast_key
+    df = spark.createDataFrame([(1709287200 + 5400, 1709287200)], "t long, leg_start long")
+    leg = add_forecast_key(df, hour_anchor="leg_start").first()
+    utc = add_forecast_key(df, hour_anchor="utc").first()
+    assert leg["day0"] == 1709251200 and leg["fts"] == 1709251200 + 3600   # row 1 of the day
+    assert utc["fts"] == 1709287200 + 3600                                 # the true hour
+
+
+def test_last_wins_idempotent(spark):
+    from flightlake.operators.dedup import last_wins
+    df = spark.createDataFrame([("a", "x1", 1), ("a", "x2", 5), ("b", "y", 2), ("a", "x3", 3)],
+                               "k string, v string, pos int")
+    once = last_wins(df, ["k"], "v", F.col("pos"))
+    assert {(r.k, r.v, r.first_seen) for r in once.collect()} == {("a", "x2", 1), ("b", "y", 2)}
+    again = last_wins(once.withColumnRenamed("first_seen", "pos"), ["k"], "v", F.col("pos"))
+    assert {(r.k, r.v) for r in again.collect()} == {("a", "x2"), ("b", "y")}

@@ -47,3 +47,26 @@ def test_history_join_is_equi_join_on_cell_and_day(spark):
     plan = _plan(df)
     assert "hday" in plan  # the trailing window is joined on (cell, day)
     assert "Window" not in plan
+
+
+def test_weather_scan_prunes_day_partitions(spark, tmp_path):
+    """A day-partitioned weather table is read only for the days the keys need."""
+    from pyspark.sql import functions as F
+
+    from flightlake.operators.weather_risk import key_risk
+
+    day = 86400
+    rows = [(1, d * day + h * 3600, float(h), 1.0, 0.0) for d in range(19700, 19760) for h in (0, 12)]
+    w = spark.createDataFrame(rows, "cell long, ts_hour long, precipitation double, "
+                                    "visibility double, snow_depth double")
+    path = str(tmp_path / "weather")
+    w.withColumn("day", F.floor(F.col("ts_hour") / day)).write.partitionBy("day").parquet(path)
+    stored = spark.read.parquet(path)
+    keys = spark.createDataFrame([(1, 19750 * day, 19750 * day + 7200)], "cell long, day0 long, fts long")
+    risk = key_risk(keys, stored, stored, past_days=7, prune_weather=True)
+    plan = risk._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan and "(day#" in plan and ">= 19743" in plan
+    assert risk.count() == 1
+    got = risk.first()
+    full = key_risk(keys, stored, stored, past_days=7, prune_weather=False).first()
+    assert got["risk"] == full["risk"]
