@@ -325,7 +325,7 @@ WHERE airport_code IN (SELECT iata FROM airports_v WHERE CAST(iata AS INTEGER) <
 
 ORACLE_SQL["trail_to_json"] = _with(_TRAILS) + """
 SELECT flight_id, rn,
-       to_json(struct_pack(lat := lat, lng := lng, alt := alt, spd := spd, time := time, hd := hd)) AS fix_json
+       CAST(to_json(struct_pack(lat := lat, lng := lng, alt := alt, spd := spd, time := time, hd := hd)) AS VARCHAR) AS fix_json
 FROM sampled
 """
 
@@ -380,7 +380,7 @@ GROUP BY l.flight_iata, l.arrival_epoch, l.departure_epoch
 ORACLE_SQL["path_coords"] = _PLANNED + "SELECT flight_iata, idx, lat, lon FROM pts"
 
 ORACLE_SQL["normalize_whitespace"] = r"""
-SELECT doc_id, md5(n) AS text_md5, length(n) AS n_chars
+SELECT doc_id, md5(n) AS text_md5, CAST(length(n) AS INTEGER) AS n_chars
 FROM (
   SELECT doc_id,
     trim(regexp_replace(text,

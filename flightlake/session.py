@@ -40,6 +40,9 @@ def build_session(app_name: str = "flightlake", master: str | None = None,
     return spark
 
 
+_LOCAL_CKPT: str | None = None
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
@@ -47,11 +50,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Only when it is unset (local tests) do we create one under the system temp
     folder, so lineage cuts still work in single-machine runs.
     """
+    global _LOCAL_CKPT
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="flightlake-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    spark.sparkContext.setCheckpointDir(configured)
+        if _LOCAL_CKPT is None:
+            _LOCAL_CKPT = tempfile.mkdtemp(prefix="flightlake-ckpt-")
+        configured = _LOCAL_CKPT
+        try:
+            spark.conf.set("spark.checkpoint.dir", configured)
+        except Exception:  # noqa: BLE001 - core conf not settable at run time
+            pass
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(configured)
     return configured
 
 
