@@ -213,11 +213,14 @@ def flight_label(spark, d):
 
 
 def planner_detail_subset(spark, d):
-    legs = _planned_legs(spark, d).select("flight_iata", "departure_epoch", "arrival_epoch")
-    paths = planner.path_with_risk(_scored(spark, d))
-    return legs.join(paths, "flight_iata", "inner").select(
-        "flight_iata", "arrival_epoch", "departure_epoch",
-        planner.path_text(F.col("path"), "risk").alias("risk_path"))
+    # The leg epochs ride along on the waypoint rows: no second leg computation.
+    keep = ("flight_iata", "departure_epoch", "arrival_epoch")
+    w = _weather(spark, d)
+    scored = planner.plan_waypoints(_planned_legs(spark, d), w, w, cell_fn=fx.fixture_cell,
+                                    past_days=FIXTURE_PAST_DAYS, keep=keep)
+    paths = planner.path_with_risk(scored, key=keep)
+    return paths.select("flight_iata", "arrival_epoch", "departure_epoch",
+                        planner.path_text(F.col("path"), "risk").alias("risk_path"))
 
 
 # ------------------------------------------------------------------ filters
