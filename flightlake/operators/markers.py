@@ -9,16 +9,17 @@ from pyspark.sql import functions as F
 def airport_markers(legs: DataFrame, order_key: str = "flight_iata") -> DataFrame:
     """One marker per (direction, airport name): its first known coordinates.
 
+    Both directions come from one pass over the legs (each leg is tagged twice,
+    then a single partial + final aggregate on ``(direction, airport)``).
     "First" is made deterministic as the coordinates of the smallest
     ``order_key`` with a non-null latitude; null names are dropped.
     """
-    out = None
-    for direction in ("departure", "arrival"):
-        name, lat, lon = f"{direction}_airport", f"{direction}_lat", f"{direction}_lon"
-        side = (legs.filter(F.col(name).isNotNull() & F.col(lat).isNotNull())
-                .groupBy(F.col(name).alias("airport"))
-                .agg(F.min_by(F.struct(F.col(lat).alias("lat"), F.col(lon).alias("lon")),
-                              F.col(order_key)).alias("_p"))
-                .select(F.lit(direction).alias("direction"), "airport", "_p.lat", "_p.lon"))
-        out = side if out is None else out.unionByName(side)
-    return out
+    ends = F.array(*[
+        F.struct(F.lit(d).alias("direction"), F.col(f"{d}_airport").alias("airport"),
+                 F.col(f"{d}_lat").alias("lat"), F.col(f"{d}_lon").alias("lon"))
+        for d in ("departure", "arrival")])
+    tagged = legs.select(F.col(order_key).alias("_k"), F.inline(ends))
+    return (tagged.filter(F.col("airport").isNotNull() & F.col("lat").isNotNull())
+            .groupBy("direction", "airport")
+            .agg(F.min_by(F.struct("lat", "lon"), F.col("_k")).alias("_p"))
+            .select("direction", "airport", "_p.lat", "_p.lon"))
