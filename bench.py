@@ -2,8 +2,9 @@
 
 Prints one JSON line: ``{"metric", "value", "unit", "queries": {...}, "sf"}``.
 Each query runs to completion through Spark's ``noop`` sink (full execution,
-no collect to the driver).  ``value`` is the flagship planner time; the sum
-over all queries is reported as ``total_sec``.
+no collect to the driver), including building its plan; the best of
+``$BENCH_RUNS`` (default 2) runs is kept.  ``value`` is the flagship planner
+time; the sum over all queries is reported as ``total_sec``.
 """
 
 from __future__ import annotations
@@ -33,14 +34,19 @@ def main() -> None:
                           extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEM", "16g")})
     names = only or HEADLINE + [q for q in QUERIES if q not in HEADLINE]
 
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     # JVM / code-generation warm-up, not timed.
-    QUERIES["planner_flagship"](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    for _ in range(2):
+        QUERIES["planner_flagship"](spark, sf_dir).write.format("noop").mode("overwrite").save()
 
     times: dict[str, float] = {}
     for name in names:
-        t0 = time.perf_counter()
-        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.perf_counter() - t0, 3)
+        best = float("inf")
+        for _ in range(runs):  # best of `runs`: building the plan is part of each run
+            t0 = time.perf_counter()
+            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            best = min(best, time.perf_counter() - t0)
+        times[name] = round(best, 3)
 
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({

@@ -29,6 +29,10 @@ from flightlake.functions.timefn import SECONDS_PER_DAY, SECONDS_PER_HOUR, day_s
 from flightlake.schemas import SCORED_METRICS
 
 KEY = ["cell", "day0", "fts"]
+# Risk tables up to this many keys are broadcast to the waypoints (a key row is
+# four 8-byte values); beyond it the join back is salted.
+DEFAULT_MAX_BROADCAST_KEYS = 1_000_000
+DEFAULT_SALT_BUCKETS = 32
 # Optional partition column of weather tables: UTC day number of ``ts_hour``.
 DAY_COLUMN = "day"
 
@@ -119,21 +123,29 @@ def risk_from_scores(scores: DataFrame, metrics: Sequence[str] = SCORED_METRICS)
     return scores.withColumn("risk", round_half_even(worst, 1))
 
 
-def weather_window(keys: DataFrame, observed: DataFrame, forecast: DataFrame,
+def key_stats(keys: DataFrame):
+    """One small aggregate over the distinct keys: their count and time range.
+
+    The count is an exact bound on the risk table (one row per key); the range
+    bounds the weather scans.
+    """
+    return keys.agg(F.count(F.lit(1)).alias("n"), F.min("day0").alias("lo"),
+                    F.max("day0").alias("hi"), F.min("fts").alias("flo"),
+                    F.max("fts").alias("fhi")).first()
+
+
+def weather_window(observed: DataFrame, forecast: DataFrame, stats,
                    past_days: int) -> tuple[DataFrame, DataFrame]:
-    """Restrict both weather tables to the hours any key can use.
+    """Restrict both weather tables to the hours the keys (``stats``) can use.
 
-    One tiny aggregate over the keys gives the bounds; the resulting literal
-    range predicates on ``ts_hour`` reach the parquet scan (row-group skipping,
-    and partition pruning when the table is partitioned by a column derived
-    from it), so a multi-year weather table is read only for the needed months.
+    The literal range predicates on ``ts_hour`` reach the parquet scan
+    (row-group skipping), and on ``day`` they prune partitions of tables
+    partitioned by day, so a multi-year table is read only for needed months.
     """
-    b = keys.agg(F.min("day0").alias("lo"), F.max("day0").alias("hi"),
-                 F.min("fts").alias("flo"), F.max("fts").alias("fhi")).first()
-    if b is None or b["lo"] is None:
+    if stats is None or stats["lo"] is None:
         return observed, forecast
-    h_lo = b["lo"] - past_days * SECONDS_PER_DAY
-    h_hi = b["hi"] + SECONDS_PER_DAY
+    h_lo = stats["lo"] - past_days * SECONDS_PER_DAY
+    h_hi = stats["hi"] + SECONDS_PER_DAY
 
     def bound(df: DataFrame, lo: int, hi_incl: int) -> DataFrame:
         out = df.filter((F.col("ts_hour") >= F.lit(lo)) & (F.col("ts_hour") <= F.lit(hi_incl)))
@@ -143,7 +155,7 @@ def weather_window(keys: DataFrame, observed: DataFrame, forecast: DataFrame,
                              & (F.col(DAY_COLUMN) <= F.lit(hi_incl // SECONDS_PER_DAY)))
         return out
 
-    return bound(observed, h_lo, h_hi - 1), bound(forecast, b["flo"], b["fhi"])
+    return bound(observed, h_lo, h_hi - 1), bound(forecast, stats["flo"], stats["fhi"])
 
 
 def key_risk(keys: DataFrame, observed: DataFrame, forecast: DataFrame, past_days: int = 90,
@@ -156,7 +168,7 @@ def key_risk(keys: DataFrame, observed: DataFrame, forecast: DataFrame, past_day
     time than the planned flights need.
     """
     if prune_weather:
-        observed, forecast = weather_window(keys, observed, forecast, past_days)
+        observed, forecast = weather_window(observed, forecast, key_stats(keys), past_days)
     scored = forecast_lookup(keys, forecast, metrics)
     counts = trailing_history_counts(scored, observed, past_days, metrics)
     return risk_from_scores(percentile_scores(counts, metrics, nan_policy), metrics)
@@ -165,15 +177,33 @@ def key_risk(keys: DataFrame, observed: DataFrame, forecast: DataFrame, past_day
 def score_waypoints(points: DataFrame, observed: DataFrame, forecast: DataFrame,
                     past_days: int = 90, hour_anchor: str = "leg_start",
                     metrics: Sequence[str] = SCORED_METRICS,
-                    nan_policy: str = "propagate", prune_weather: bool = True) -> DataFrame:
+                    nan_policy: str = "propagate", prune_weather: bool = True,
+                    max_broadcast_keys: int = DEFAULT_MAX_BROADCAST_KEYS,
+                    salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
     """Attach ``risk`` to every waypoint row.
 
     ``points`` needs ``cell``, ``t`` and ``leg_start``; ``observed`` and
     ``forecast`` need ``cell``, ``ts_hour`` (epoch of the hour) and the metrics.
+
+    Join back: the exact key count (one small aggregate, shared with the
+    weather bounds) proves the risk table's size.  Up to ``max_broadcast_keys``
+    it is broadcast and the waypoints are not shuffled at all; above it the
+    join is salted over ``salt_buckets`` so a key holding a large share of all
+    waypoints is spread over that many tasks instead of one.
     """
     pts = add_forecast_key(points, hour_anchor=hour_anchor)
     keys = pts.select(*KEY).distinct()
+    stats = key_stats(keys)
+    if prune_weather:
+        observed, forecast = weather_window(observed, forecast, stats, past_days)
     risk = key_risk(keys, observed, forecast, past_days, metrics, nan_policy,
-                    prune_weather).select(*KEY, "risk")
-    return (pts.join(risk, KEY, "left")
-            .withColumn("risk", F.coalesce(F.col("risk"), F.lit(MISSING_SCORE))))
+                    prune_weather=False).select(*KEY, "risk")
+    if stats["n"] <= max_broadcast_keys:
+        joined = pts.join(F.broadcast(risk), KEY, "left")
+    else:
+        salt = F.pmod(F.xxhash64(*[F.col(c) for c in pts.columns]), F.lit(salt_buckets))
+        salted_risk = risk.withColumn("_salt", F.explode(F.sequence(F.lit(0),
+                                                                    F.lit(salt_buckets - 1))))
+        joined = (pts.withColumn("_salt", salt.cast("int"))
+                  .join(salted_risk, [*KEY, "_salt"], "left").drop("_salt"))
+    return joined.withColumn("risk", F.coalesce(F.col("risk"), F.lit(MISSING_SCORE)))

@@ -27,15 +27,26 @@ TRACK_ARRIVAL0 = 1706659200  # 2024-01-31 00:00:00 UTC
 SPREAD_TABLES = {"orders": "o_orderkey", "events": "event_id", "documents": "doc_id"}
 
 
+_SPLITS: dict[str, int] = {}
+
+
+def _splits(df: DataFrame, path: str) -> int:
+    """Number of scan splits of a file (planned once per path and process)."""
+    if path not in _SPLITS:
+        _SPLITS[path] = df.rdd.getNumPartitions()
+    return _SPLITS[path]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
     """A driver table.  A file that scans as fewer splits than the cluster has
     task slots (the test tables are single row groups) is spread round-robin,
     so the per-row work after the scan runs on every core; inputs that already
     have enough splits are read as they are, without a shuffle."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    df = spark.read.parquet(path)
     slots = spark.sparkContext.defaultParallelism
     key = SPREAD_TABLES.get(name) if spread else None
-    if key and df.rdd.getNumPartitions() < slots:
+    if key and _splits(df, path) < slots:
         # Hash of the table's unique key: even spread, no sort, no hot partition.
         df = df.repartition(slots, key)
     return df

@@ -70,3 +70,18 @@ def test_weather_scan_prunes_day_partitions(spark, tmp_path):
     got = risk.first()
     full = key_risk(keys, stored, stored, past_days=7, prune_weather=False).first()
     assert got["risk"] == full["risk"]
+
+
+def test_join_back_broadcast_and_salted_paths_agree(spark):
+    """Small risk tables are broadcast; the salted shuffle path gives the same rows."""
+    from flightlake import catalog
+    from flightlake.operators.weather_risk import score_waypoints
+    from flightlake.sources import fixtures as fx
+
+    pts = catalog.planner.waypoints(catalog._planned_legs(spark, SF_SMALL)).withColumn(
+        "cell", fx.fixture_cell("lat", "lon"))
+    w = fx.weather_v(spark, SF_SMALL)
+    small = score_waypoints(pts, w, w, past_days=7)
+    salted = score_waypoints(pts, w, w, past_days=7, max_broadcast_keys=0, salt_buckets=4)
+    assert "BroadcastHashJoin" in _plan(small)
+    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, salted.collect()))
