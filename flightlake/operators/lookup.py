@@ -79,7 +79,12 @@ def invalid_code_anti(df: DataFrame, unique: DataFrame, code_col: str,
 
 
 def busy_airport_semi(df: DataFrame, busy: DataFrame, code_col: str,
-                      busy_code: str = "iata") -> DataFrame:
-    """Restrict to the busy-airport allow list (a fixed, small list: broadcast)."""
-    side = F.broadcast(busy.select(F.col(busy_code).alias("_busy_code")).distinct())
+                      busy_code: str = "iata", max_broadcast_rows: int = 100_000) -> DataFrame:
+    """Restrict to the busy-airport allow list (left semi join).
+
+    The list is small by nature (50 entries built in), but it may come from a
+    user file, so it is broadcast only after its size is checked.
+    """
+    side = busy.select(F.col(busy_code).alias("_busy_code")).distinct()
+    side = checked_broadcast(side, max_broadcast_rows)
     return df.join(side, F.col(code_col) == F.col("_busy_code"), "left_semi")

@@ -67,11 +67,14 @@ def forecast_lookup(keys: DataFrame, forecast: DataFrame,
 
 
 def trailing_history_counts(scored: DataFrame, observed: DataFrame, past_days: int = 90,
-                            metrics: Sequence[str] = SCORED_METRICS) -> DataFrame:
+                            metrics: Sequence[str] = SCORED_METRICS,
+                            invert: Sequence[str] = ()) -> DataFrame:
     """Per key: history size and, per metric, counts below / at-or-below the score.
 
     History window: every observed hour of the ``past_days`` days before the
-    leg start day and of the start day itself.
+    leg start day and of the start day itself.  Metrics in ``invert`` rank
+    the other way round (a lower value is riskier): their counts are of
+    history values above / at-or-above the score.
     Output: ``cell, day0, fts, n_hist, s_m, bad_m, lt_m, le_m`` for each metric.
     """
     day_no = (F.col("day0") / F.lit(SECONDS_PER_DAY)).cast("long")
@@ -85,11 +88,12 @@ def trailing_history_counts(scored: DataFrame, observed: DataFrame, past_days: i
     for m in metrics:
         h, s = F.col(f"h_{m}"), F.col(f"s_{m}")
         bad = h.isNull() | F.isnan(h)
+        below, at_or_below = ((h > s), (h >= s)) if m in invert else ((h < s), (h <= s))
         aggs += [
             F.max(s).alias(f"s_{m}"),
             F.count_if(F.col("_h").isNotNull() & bad).alias(f"bad_{m}"),
-            F.count_if(~bad & (h < s)).alias(f"lt_{m}"),
-            F.count_if(~bad & (h <= s)).alias(f"le_{m}"),
+            F.count_if(~bad & below).alias(f"lt_{m}"),
+            F.count_if(~bad & at_or_below).alias(f"le_{m}"),
         ]
     return joined.groupBy(*KEY).agg(*aggs)
 
@@ -160,7 +164,7 @@ def weather_window(observed: DataFrame, forecast: DataFrame, stats,
 
 def key_risk(keys: DataFrame, observed: DataFrame, forecast: DataFrame, past_days: int = 90,
              metrics: Sequence[str] = SCORED_METRICS, nan_policy: str = "propagate",
-             prune_weather: bool = False) -> DataFrame:
+             prune_weather: bool = False, invert: Sequence[str] = ()) -> DataFrame:
     """Risk table for distinct keys ``(cell, day0, fts)``.
 
     ``prune_weather`` bounds both weather scans to the keys' time range first
@@ -170,7 +174,7 @@ def key_risk(keys: DataFrame, observed: DataFrame, forecast: DataFrame, past_day
     if prune_weather:
         observed, forecast = weather_window(observed, forecast, key_stats(keys), past_days)
     scored = forecast_lookup(keys, forecast, metrics)
-    counts = trailing_history_counts(scored, observed, past_days, metrics)
+    counts = trailing_history_counts(scored, observed, past_days, metrics, invert)
     return risk_from_scores(percentile_scores(counts, metrics, nan_policy), metrics)
 
 
@@ -179,7 +183,8 @@ def score_waypoints(points: DataFrame, observed: DataFrame, forecast: DataFrame,
                     metrics: Sequence[str] = SCORED_METRICS,
                     nan_policy: str = "propagate", prune_weather: bool = True,
                     max_broadcast_keys: int = DEFAULT_MAX_BROADCAST_KEYS,
-                    salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
+                    salt_buckets: int = DEFAULT_SALT_BUCKETS,
+                    invert: Sequence[str] = ()) -> DataFrame:
     """Attach ``risk`` to every waypoint row.
 
     ``points`` needs ``cell``, ``t`` and ``leg_start``; ``observed`` and
@@ -197,7 +202,7 @@ def score_waypoints(points: DataFrame, observed: DataFrame, forecast: DataFrame,
     if prune_weather:
         observed, forecast = weather_window(observed, forecast, stats, past_days)
     risk = key_risk(keys, observed, forecast, past_days, metrics, nan_policy,
-                    prune_weather=False).select(*KEY, "risk")
+                    prune_weather=False, invert=invert).select(*KEY, "risk")
     if stats["n"] <= max_broadcast_keys:
         joined = pts.join(F.broadcast(risk), KEY, "left")
     else:

@@ -235,7 +235,7 @@ def test_weather_payload_unpivot(spark, tmp_path):
     assert rows[0]["cell"] == (math.floor((10.1 + 90) / 0.25)) * 1440 + math.floor((20.2 + 180) / 0.25)
 
 
-def _risk(spark, history, score, nan_policy="propagate"):
+def _risk(spark, history, score, nan_policy="propagate", invert=()):
     day0 = 1709251200
     obs = spark.createDataFrame([(1, day0 - 3600 * i, v, 0.0, 0.0) for i, v in enumerate(history)],
                                 "cell long, ts_hour long, precipitation double, "
@@ -246,7 +246,7 @@ def _risk(spark, history, score, nan_policy="propagate"):
     keys = spark.createDataFrame([(1, day0, day0 + 7200)], "cell long, day0 long, fts long")
     from flightlake.operators.weather_risk import forecast_lookup, percentile_scores, \
         trailing_history_counts
-    counts = trailing_history_counts(forecast_lookup(keys, fc), obs, 90)
+    counts = trailing_history_counts(forecast_lookup(keys, fc), obs, 90, invert=invert)
     return percentile_scores(counts, nan_policy=nan_policy).first()["pct_precipitation"]
 
 
@@ -259,6 +259,9 @@ def test_percentile_of_score_goldens(spark):
     assert _risk(spark, [1.0, float("nan"), 3.0], 2.0, "omit") == 50.0
     assert _risk(spark, [], 2.0) == -1.0                            # no history
     assert _risk(spark, [1.0, 2.0], float("nan")) == -1.0           # NaN forecast
+    # inverted metric: a low score is the risky one
+    assert _risk(spark, [1.0, 2.0, 3.0], 0.5, invert=("precipitation",)) == 100.0
+    assert _risk(spark, [1.0, 2.0, 3.0, 3.0, 4.0], 3.0, invert=("precipitation",)) == 50.0
 
 
 def test_busy_airport_list(spark):
