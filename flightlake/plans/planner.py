@@ -44,10 +44,13 @@ def leg_metrics(schedule: DataFrame, unique_airports: DataFrame,
     Legs with an unparseable time are dropped (see ``leg_rejects``).
     """
     legs = resolve_airports(schedule, unique_airports)
-    legs = legs.withColumns({
-        "departure_epoch": iso_to_epoch("departure_scheduled"),
-        "arrival_epoch": iso_to_epoch("arrival_scheduled"),
-    }).filter(F.col("departure_epoch").isNotNull() & F.col("arrival_epoch").isNotNull())
+    if not {"departure_epoch", "arrival_epoch"} <= set(legs.columns):
+        # Landed tables (sources.landing) already carry the parsed epochs.
+        legs = legs.withColumns({
+            "departure_epoch": iso_to_epoch("departure_scheduled"),
+            "arrival_epoch": iso_to_epoch("arrival_scheduled"),
+        })
+    legs = legs.filter(F.col("departure_epoch").isNotNull() & F.col("arrival_epoch").isNotNull())
     dist = haversine_km("departure_lat", "departure_lon", "arrival_lat", "arrival_lon")
     legs = legs.withColumn("airport_distance", dist)
     n = segment_count(F.col("airport_distance")) if segments == "by_distance" \

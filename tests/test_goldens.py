@@ -275,3 +275,27 @@ def test_unpivot_positions(spark):
     rows = unpivot_hours(df, metrics=["precipitation"]).collect()
     assert [(r["hour_index"], r["ts_hour"], r["precipitation"]) for r in rows] == \
         [(0, 10, 1.5), (1, 20, 2.5)]
+
+
+def test_landing_tables(spark, files, tmp_path):
+    from flightlake.sources.landing import land_schedule, land_weather
+
+    out = str(tmp_path / "schedule_pq")
+    land_schedule(spark, str(files / "schedule"), out, mode="overwrite")
+    t = spark.read.parquet(out)
+    assert t.count() == 9 and "flight_date" in t.columns
+    r1 = t.filter("flight_iata = 'R1'").first()
+    assert r1["departure_airport"] == "Alpha Intl" and r1["departure_epoch"] == 1709287200
+    plan = t.filter("flight_date = '2024-03-01'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan
+
+    w = tmp_path / "w.json"
+    hourly = {"time": [1709251200 + 3600 * i for i in range(30)]}
+    for m in ["cloud_cover", "cloud_cover_high", "precipitation", "snow_depth", "visibility",
+              "weather_code", "lifted_index"]:
+        hourly[m] = [1.0] * 30
+    w.write_text(json.dumps({"latitude": 1.0, "longitude": 2.0, "hourly": hourly}))
+    wout = str(tmp_path / "weather_pq")
+    land_weather(spark, str(w), wout, mode="overwrite")
+    days = sorted(r["day"] for r in spark.read.parquet(wout).select("day").distinct().collect())
+    assert days == [19783, 19784]
