@@ -10,11 +10,15 @@ from pyspark.sql import functions as F
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df`` unchanged.
+def is_bounded(df: DataFrame, max_rows: int | None) -> bool:
+    """True when ``df`` provably has at most ``max_rows`` rows.
 
-    The bound is proven by counting at most ``max_rows + 1`` rows, so the check
-    stops early on a large input instead of scanning it whole.
+    Counts at most ``max_rows + 1`` rows, so the check stops early on a large
+    input instead of scanning it whole.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return bool(max_rows) and df.limit(max_rows + 1).count() <= max_rows
+
+
+def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df`` unchanged."""
+    return F.broadcast(df) if is_bounded(df, max_rows) else df

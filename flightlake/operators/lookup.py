@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flightlake.operators.broadcast import checked_broadcast
+from flightlake.operators.broadcast import checked_broadcast, is_bounded
 
 
 def unique_airports(airports: DataFrame, code: str = "iata", lat: str = "latitude",
@@ -33,11 +33,6 @@ def unique_airports(airports: DataFrame, code: str = "iata", lat: str = "latitud
                     F.round("_lon", digits).alias("lon")))
 
 
-def _bounded(df: DataFrame, max_rows: int | None) -> bool:
-    """True when ``df`` provably has at most ``max_rows`` rows (stops counting early)."""
-    return bool(max_rows) and df.limit(max_rows + 1).count() <= max_rows
-
-
 def resolve_airports(flights: DataFrame, unique: DataFrame, dep_code: str = "departure_iata",
                      arr_code: str = "arrival_iata", max_broadcast_rows: int | None = 2_000_000
                      ) -> DataFrame:
@@ -48,7 +43,7 @@ def resolve_airports(flights: DataFrame, unique: DataFrame, dep_code: str = "dep
     after its row count is checked (once for both ends); a larger dimension is
     joined by shuffle.
     """
-    small = _bounded(unique, max_broadcast_rows)
+    small = is_bounded(unique, max_broadcast_rows)
     out = flights
     for prefix, code_col in (("departure", dep_code), ("arrival", arr_code)):
         side = unique.select(F.col("code").alias(f"_{prefix}_code"),

@@ -53,6 +53,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     global _LOCAL_CKPT
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        master = spark.sparkContext.master or ""
+        if not master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster "
+                             f"(master {master!r}); a machine-local folder would be lost "
+                             "with its executor")
         if _LOCAL_CKPT is None:
             _LOCAL_CKPT = tempfile.mkdtemp(prefix="flightlake-ckpt-")
         configured = _LOCAL_CKPT
