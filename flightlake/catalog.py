@@ -95,7 +95,7 @@ def _board(spark, d):
 
 
 def _arrivals(spark, d):
-    return arrivals_table(_board(spark, d))
+    return arrivals_table(_board(spark, d), valid_airports=_unique(spark, d))
 
 
 def _trail(spark, d):

@@ -363,11 +363,12 @@ SELECT flight_iata, departure_iata, arrival_iata, departure_lat, departure_lon,
 FROM legs
 """
 
-ORACLE_SQL["arrivals_table"] = _with(_BOARD) + f"""
+ORACLE_SQL["arrivals_table"] = _with(_AIRPORTS, _BOARD) + f"""
 SELECT airport_code, id AS flight_id, callsign AS flight_number, airline, origin,
        {_txt('sched_dep')} AS departure_time, {_txt('sched_arr')} AS arrival_time
 FROM board_v
 WHERE flight_type <> 'departures' AND id IS NOT NULL AND id <> ''
+  AND airport_code IN (SELECT code FROM uniq)
 """
 
 ORACLE_SQL["planner_detail_subset"] = _PLANNED + """
@@ -461,13 +462,14 @@ SELECT 'arrival', arrival_airport, arg_min(arrival_lat, flight_iata), arg_min(ar
 FROM legs GROUP BY arrival_airport
 """
 
-ORACLE_SQL["flight_picker_lastwins"] = _with(_BOARD) + """
+ORACLE_SQL["flight_picker_lastwins"] = _with(_AIRPORTS, _BOARD) + """
 , listed AS (
   SELECT *, pos // 100 AS page,
          row_number() OVER (PARTITION BY airport_code, pos // 100, flight_type ORDER BY pos) - 1 AS idx
   FROM board_v
 ),
-arr AS (SELECT * FROM listed WHERE flight_type <> 'departures' AND id IS NOT NULL AND id <> '')
+arr AS (SELECT * FROM listed WHERE flight_type <> 'departures' AND id IS NOT NULL AND id <> ''
+                                 AND airport_code IN (SELECT code FROM uniq))
 SELECT airport_code, callsign AS flight_number, arg_max(id, pos) AS flight_id,
        CAST(arg_min(page, pos) AS BIGINT) AS first_page, CAST(arg_min(idx, pos) AS INTEGER) AS first_idx
 FROM arr GROUP BY airport_code, callsign

@@ -8,14 +8,20 @@ from pyspark.sql import functions as F
 from flightlake.functions.text import legacy_board_times, legacy_origin_name
 from flightlake.functions.timefn import epoch_to_text
 from flightlake.operators.dedup import last_wins
+from flightlake.operators.lookup import valid_code_semi
 
 
-def arrivals_table(rows: DataFrame, tz: str = "UTC") -> DataFrame:
-    """Arrivals with an id, as display columns.
+def arrivals_table(rows: DataFrame, tz: str = "UTC",
+                   valid_airports: DataFrame | None = None) -> DataFrame:
+    """Arrivals with an id, as display columns.
 
-    Input: ``board_rows`` output.  Output: ``airport_code, page, idx, flight_id,
-    flight_number, airline, origin, departure_time, arrival_time``.
+    Input: ``board_rows`` output.  With ``valid_airports`` (``unique_airports``
+    output) only boards of codes naming exactly one airport are kept, as the
+    board of an invalid code is empty.  Output: ``airport_code, page, idx,
+    flight_id, flight_number, airline, origin, departure_time, arrival_time``.
     """
+    if valid_airports is not None:
+        rows = valid_code_semi(rows, valid_airports, "airport_code")
     fid = F.col("flight_identification_id")
     return (rows.filter((F.col("Flight_type") != "departures") & fid.isNotNull() & (fid != ""))
             .select("airport_code", "page", "idx",
