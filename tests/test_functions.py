@@ -148,3 +148,25 @@ def test_last_wins_idempotent(spark):
     assert {(r.k, r.v, r.first_seen) for r in once.collect()} == {("a", "x2", 1), ("b", "y", 2)}
     again = last_wins(once.withColumnRenamed("first_seen", "pos"), ["k"], "v", F.col("pos"))
     assert {(r.k, r.v) for r in again.collect()} == {("a", "x2"), ("b", "y")}
+
+
+def test_trail_numbering_matches_brute_force_on_a_hot_flight(spark):
+    """One flight with thousands of fixes over many hour buckets (plus ties)."""
+    from flightlake.operators.sampling import sample_every_nth, trail_row_number
+
+    rng = np.random.default_rng(5)
+    rows = []
+    for flight, n in (("hot", 6000), ("cold", 37)):
+        times = rng.integers(1_709_251_200, 1_709_251_200 + 40 * 3600, n)
+        for i, t in enumerate(times):
+            rows.append((flight, int(i // 500), int(i % 500), int(t)))
+    df = spark.createDataFrame(rows, "flight_id string, payload_seq long, pos int, time long")
+    got = {(r.flight_id, r.payload_seq, r.pos): r.rn
+           for r in trail_row_number(df).collect()}
+    for flight in ("hot", "cold"):
+        mine = sorted((r for r in rows if r[0] == flight), key=lambda r: (-r[3], -r[1], r[2]))
+        for expected, r in enumerate(mine):
+            assert got[(r[0], r[1], r[2])] == expected
+    sampled = sample_every_nth(df, 10)
+    assert sampled.filter("flight_id = 'hot'").count() == 600
+    assert sampled.filter("flight_id = 'cold'").count() == 4
