@@ -28,6 +28,7 @@ SPREAD_TABLES = {"orders": "o_orderkey", "events": "event_id", "documents": "doc
 
 
 _SPLITS: dict[str, int] = {}
+_SCHEMAS: dict = {}
 
 
 def _splits(df: DataFrame, path: str) -> int:
@@ -43,7 +44,10 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> D
     so the per-row work after the scan runs on every core; inputs that already
     have enough splits are read as they are, without a shuffle."""
     path = f"{sf_dir}/{name}.parquet"
-    df = spark.read.parquet(path)
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    # The input files are immutable: after the first read, skip schema discovery.
+    df = spark.read.schema(_SCHEMAS[path]).parquet(path)
     slots = spark.sparkContext.defaultParallelism
     key = SPREAD_TABLES.get(name) if spread else None
     if key and _splits(df, path) < slots:
