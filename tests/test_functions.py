@@ -170,3 +170,18 @@ def test_trail_numbering_matches_brute_force_on_a_hot_flight(spark):
     sampled = sample_every_nth(df, 10)
     assert sampled.filter("flight_id = 'hot'").count() == 600
     assert sampled.filter("flight_id = 'cold'").count() == 4
+
+
+def test_normalize_strings_recurses_through_nested_types(spark):
+    from flightlake.functions.text import normalize_strings
+    schema = ("id int, s string, st struct<a: string, n: int, inner: struct<b: string>>, "
+              "arr array<struct<c: string>>, tags array<string>, m map<string, string>")
+    row = (1, "  x\t y ", (" a  b", 3, (" c ",)), [(" d  e",), None], [" f ", None],
+           {"k": "  v  w"})
+    df = spark.createDataFrame([row, (2, None, None, None, None, None)], schema)
+    got = {r.id: r for r in normalize_strings(df).collect()}
+    r = got[1]
+    assert r.s == "x y" and r.st.a == "a b" and r.st.n == 3 and r.st.inner.b == "c"
+    assert r.arr[0].c == "d e" and r.arr[1] is None
+    assert r.tags == ["f", None] and r.m == {"k": "v w"}
+    assert got[2].st is None and got[2].arr is None  # null structs stay null
