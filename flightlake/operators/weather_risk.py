@@ -27,6 +27,7 @@ from flightlake.functions.geo import round_half_even
 from flightlake.functions.risk import MISSING_SCORE, percentile_of_score
 from flightlake.functions.timefn import SECONDS_PER_DAY, SECONDS_PER_HOUR, day_start, hour_offset
 from flightlake.schemas import SCORED_METRICS
+from flightlake.session import materialize
 
 KEY = ["cell", "day0", "fts"]
 # Risk tables up to this many keys are broadcast to the waypoints (a key row is
@@ -184,7 +185,7 @@ def score_waypoints(points: DataFrame, observed: DataFrame, forecast: DataFrame,
                     nan_policy: str = "propagate", prune_weather: bool = True,
                     max_broadcast_keys: int = DEFAULT_MAX_BROADCAST_KEYS,
                     salt_buckets: int = DEFAULT_SALT_BUCKETS,
-                    invert: Sequence[str] = ()) -> DataFrame:
+                    invert: Sequence[str] = (), materialize_keys: bool = True) -> DataFrame:
     """Attach ``risk`` to every waypoint row.
 
     ``points`` needs ``cell``, ``t`` and ``leg_start``; ``observed`` and
@@ -198,6 +199,10 @@ def score_waypoints(points: DataFrame, observed: DataFrame, forecast: DataFrame,
     """
     pts = add_forecast_key(points, hour_anchor=hour_anchor)
     keys = pts.select(*KEY).distinct()
+    if materialize_keys:
+        # Counted once and scored once: write the (few) keys instead of
+        # scanning every waypoint twice.
+        keys = materialize(keys, "risk-keys")
     stats = key_stats(keys)
     if prune_weather:
         observed, forecast = weather_window(observed, forecast, stats, past_days)
