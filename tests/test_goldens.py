@@ -288,6 +288,13 @@ def test_landing_tables(spark, files, tmp_path):
     assert r1["departure_airport"] == "Alpha Intl" and r1["departure_epoch"] == 1709287200
     plan = t.filter("flight_date = '2024-03-01'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan
+    # landed tables are already clean: the status filter reaches the parquet scan
+    ready = planner.prepare_schedule(t, normalize=False)
+    plan = ready._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(flight_status), In(flight_status, [scheduled])" in plan \
+        or "EqualTo(flight_status,scheduled)" in plan
+    assert {r["flight_iata"] for r in planner.leg_metrics(ready, unique_airports(
+        read_airports(spark, str(files / "airports.dat")))).collect()} == {"R1", "R8", "R9"}
 
     w = tmp_path / "w.json"
     hourly = {"time": [1709251200 + 3600 * i for i in range(30)]}
