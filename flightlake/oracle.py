@@ -274,7 +274,7 @@ SELECT 'F' || k AS id, 'CS' || (o.o_custkey % 200) AS callsign,
        CASE WHEN CAST(departure_iata AS BIGINT) < 25
             THEN CAST((CAST(departure_iata AS BIGINT) * 53) % 301 - 150 AS DOUBLE) END AS origin_airport_lon,
        CASE WHEN CAST(departure_iata AS BIGINT) < 25
-            THEN CAST(departure_iata AS BIGINT) * 10 END AS origin_airport_alt,
+            THEN CAST(CAST(departure_iata AS BIGINT) * 10 AS DOUBLE) END AS origin_airport_alt,
        CASE WHEN CAST(departure_iata AS BIGINT) < 25
             THEN 'Country ' || (CAST(departure_iata AS BIGINT) % 5) END AS origin_airport_country,
        CASE WHEN k % 13 <> 0 THEN 'Airport ' || arrival_iata END AS destination_airport_name,
@@ -283,13 +283,14 @@ SELECT 'F' || k AS id, 'CS' || (o.o_custkey % 200) AS callsign,
             THEN CAST((CAST(arrival_iata AS BIGINT) * 37) % 121 - 60 AS DOUBLE) END AS destination_airport_lat,
        CASE WHEN k % 13 <> 0
             THEN CAST((CAST(arrival_iata AS BIGINT) * 53) % 301 - 150 AS DOUBLE) END AS destination_airport_lon,
-       CASE WHEN k % 13 <> 0 THEN CAST(arrival_iata AS BIGINT) * 10 END AS destination_airport_alt,
+       CASE WHEN k % 13 <> 0
+            THEN CAST(CAST(arrival_iata AS BIGINT) * 10 AS DOUBLE) END AS destination_airport_alt,
        CASE WHEN k % 13 <> 0
             THEN 'Country ' || (CAST(arrival_iata AS BIGINT) % 5) END AS destination_airport_country,
        departure_epoch AS scheduled_departure_time, arrival_epoch AS scheduled_arrival_time,
        departure_epoch + (k % 9) * 60 AS real_departure_time,
-       CAST(NULL AS BIGINT) AS real_arrival_time,
-       CAST(NULL AS BIGINT) AS estimated_departure_time,
+       arrival_epoch + (k % 9) * 60 AS real_arrival_time,
+       departure_epoch + 60 AS estimated_departure_time,
        arrival_epoch + 120 AS estimated_arrival_time,
        CAST(arrival_epoch - departure_epoch AS VARCHAR) AS historical_flighttime,
        CAST((k % 9) * 60 AS VARCHAR) AS historical_delay

@@ -103,7 +103,7 @@ BOARD_KEYS = [
 
 # ---------------------------------------------------------------- flight detail
 TRAIL_FIX = _struct(("lat", D), ("lng", D), ("alt", I), ("spd", I), ("ts", L), ("hd", I))
-_POSITION = _struct(("latitude", D), ("longitude", D), ("altitude", L),
+_POSITION = _struct(("latitude", D), ("longitude", D), ("altitude", D),
                     ("country", _struct(("name", S))))
 _DETAIL_AIRPORT = _struct(("name", S), ("code", _struct(("iata", S))), ("position", _POSITION))
 FLIGHT_DETAIL = _struct(

@@ -356,7 +356,7 @@ def detail_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         pos = F.when(code < 25, F.struct(
             ((code * 37) % 121 - 60).cast("double").alias("latitude"),
             ((code * 53) % 301 - 150).cast("double").alias("longitude"),
-            (code * 10).cast("long").alias("altitude"),
+            (code * 10).cast("double").alias("altitude"),
             F.struct(F.concat(F.lit("Country "), code % 5).alias("name")).alias("country")))
         return F.struct(F.concat(F.lit("Airport "), code).alias("name"),
                         F.struct(code.cast("string").alias("iata")).alias("code"),
@@ -374,8 +374,8 @@ def detail_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.struct(F.col("dep_e").alias("departure"), F.col("arr_e").alias("arrival"))
                  .alias("scheduled"),
                  F.struct((F.col("dep_e") + (k % 9) * 60).alias("departure"),
-                          F.lit(None).cast("long").alias("arrival")).alias("real"),
-                 F.struct(F.lit(None).cast("long").alias("departure"),
+                          (F.col("arr_e") + (k % 9) * 60).alias("arrival")).alias("real"),
+                 F.struct((F.col("dep_e") + 60).alias("departure"),
                           (F.col("arr_e") + 120).alias("arrival")).alias("estimated"),
                  F.struct((F.col("arr_e") - F.col("dep_e")).cast("string").alias("flighttime"),
                           ((k % 9) * 60).cast("string").alias("delay")).alias("historical"))
