@@ -36,7 +36,10 @@ def build_session(app_name: str = "flightlake", master: str | None = None,
     spark = builder.getOrCreate()
     # getOrCreate may hand back an existing session: pin the zone anyway.
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    spark.sparkContext.setLogLevel("ERROR")
+    try:
+        spark.sparkContext.setLogLevel("ERROR")
+    except Exception:  # noqa: BLE001 - Spark Connect
+        pass
     return spark
 
 
@@ -52,8 +55,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """
     global _LOCAL_CKPT
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: no SparkContext on the client
+        sc = None
     if not configured:
-        master = spark.sparkContext.master or ""
+        master = (sc.master if sc is not None else spark.conf.get("spark.master", "")) or ""
         if not master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster "
                              f"(master {master!r}); a machine-local folder would be lost "
@@ -65,8 +72,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
             spark.conf.set("spark.checkpoint.dir", configured)
         except Exception:  # noqa: BLE001 - core conf not settable at run time
             pass
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(configured)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(configured)
     return configured
 
 

@@ -31,6 +31,14 @@ _SPLITS: dict[str, int] = {}
 _SCHEMAS: dict = {}
 
 
+def _slots(spark: SparkSession) -> int:
+    """Task slots of the cluster (0 when the session exposes no SparkContext)."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session
+        return 0
+
+
 def _splits(df: DataFrame, path: str) -> int:
     """Number of scan splits of a file (planned once per path and process)."""
     if path not in _SPLITS:
@@ -48,9 +56,9 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> D
         _SCHEMAS[path] = spark.read.parquet(path).schema
     # The input files are immutable: after the first read, skip schema discovery.
     df = spark.read.schema(_SCHEMAS[path]).parquet(path)
-    slots = spark.sparkContext.defaultParallelism
     key = SPREAD_TABLES.get(name) if spread else None
-    if key and _splits(df, path) < slots:
+    slots = _slots(spark) if key else 0
+    if key and slots and _splits(df, path) < slots:
         # Hash of the table's unique key: even spread, no sort, no hot partition.
         df = df.repartition(slots, key)
     return df
