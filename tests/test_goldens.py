@@ -4,11 +4,9 @@ import json
 import math
 
 import pytest
-from pyspark.sql import functions as F
 
 from flightlake.functions.text import normalize_strings
-from flightlake.operators.lookup import invalid_code_anti, resolve_airports, unique_airports
-from flightlake.operators.weather_risk import key_risk
+from flightlake.operators.lookup import invalid_code_anti, unique_airports
 from flightlake.plans import planner
 from flightlake.plans.board import arrivals_table, flight_picker, legacy_arrivals_table
 from flightlake.plans.tracker import current_position, future_path, sampled_trail
