@@ -29,9 +29,10 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
+    extra = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEM", "16g")}
+    extra.update(json.loads(os.environ.get("BENCH_CONF", "{}")))  # experiments
     spark = build_session("flightlake-bench", master=f"local[{cpus}]",
-                          shuffle_partitions=max(8, 2 * cpus),
-                          extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEM", "16g")})
+                          shuffle_partitions=max(8, 2 * cpus), extra=extra)
     names = only or HEADLINE + [q for q in QUERIES if q not in HEADLINE]
 
     runs = int(os.environ.get("BENCH_RUNS", "2"))
