@@ -2,6 +2,8 @@
 
 import json
 
+from pyspark.sql import functions as F
+
 from flightlake.operators.lookup import unique_airports
 from flightlake.streaming.refresh import read_current_plan, start_refresh
 
@@ -46,3 +48,34 @@ def test_refresh_stream(spark, tmp_path):
     run()
     third = read_current_plan(spark, out)
     assert {r.flight_iata for r in third.collect()} == {"F3"}  # empty pull ignored
+
+
+def test_failed_batch_is_replanned(spark, tmp_path):
+    """A batch that fails is not committed: the next run plans the same files again."""
+    land, out, ck = tmp_path / "land", str(tmp_path / "out"), str(tmp_path / "ck")
+    land.mkdir()
+    airports = spark.createDataFrame(
+        [("AAA", "Alpha", 10.0, 20.0), ("BBB", "Beta", -5.0, 30.0)],
+        "iata string, name string, latitude double, longitude double")
+    uniq = unique_airports(airports)
+    good = spark.createDataFrame([(0, 1709251200, 1.0, 2.0, 3.0)],
+                                 "cell long, ts_hour long, precipitation double, "
+                                 "visibility double, snow_depth double")
+    # a weather source that fails while the batch runs
+    broken = good.withColumn(
+        "precipitation", F.expr("CAST(raise_error('weather source unavailable') AS DOUBLE)"))
+
+    (land / "p1.json").write_text(_env([("F1", "AAA", "BBB")]))
+    q = start_refresh(spark, str(land), out, ck, uniq, broken, broken, past_days=1)
+    try:
+        q.awaitTermination(120)
+    except Exception:  # noqa: BLE001 - the failing batch surfaces here
+        pass
+    assert q.exception() is not None
+    assert read_current_plan(spark, out) is None
+
+    q = start_refresh(spark, str(land), out, ck, uniq, good, good, past_days=1)
+    q.awaitTermination(120)
+    assert q.exception() is None
+    plan = read_current_plan(spark, out)
+    assert {r.flight_iata for r in plan.collect()} == {"F1"} and plan.count() == 4
