@@ -85,3 +85,22 @@ def test_join_back_broadcast_and_salted_paths_agree(spark):
     salted = score_waypoints(pts, w, w, past_days=7, max_broadcast_keys=0, salt_buckets=4)
     assert "BroadcastHashJoin" in _plan(small)
     assert sorted(map(tuple, small.collect())) == sorted(map(tuple, salted.collect()))
+
+
+def test_airport_lookup_shuffle_fallback_gives_same_rows(spark):
+    """Above the broadcast bound the lookup shuffles; the result is the same."""
+    from flightlake.operators.lookup import resolve_airports, unique_airports
+    from flightlake.sources import fixtures as fx
+
+    flights = fx.schedule_v(spark, SF_SMALL)
+    uniq = unique_airports(fx.airports_v(spark, SF_SMALL))
+    small = resolve_airports(flights, uniq)
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        big = resolve_airports(flights, uniq, max_broadcast_rows=1)
+        plan = _plan(big)
+        assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+        assert sorted(map(repr, big.collect())) == sorted(map(repr, small.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
