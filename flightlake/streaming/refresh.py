@@ -25,22 +25,32 @@ POINTER = "_current"
 
 def plan_snapshot(envelopes: DataFrame, unique_airports: DataFrame, observed: DataFrame,
                   forecast: DataFrame, cell_fn: Callable[[Column, Column], Column],
-                  past_days: int = 90, statuses: Sequence[str] | None = ("scheduled",)
-                  ) -> DataFrame:
-    """Planner output (Q1 rows) for the non-empty envelopes of one pull."""
+                  past_days: int = 90, statuses: Sequence[str] | None = ("scheduled",),
+                  segments: int | str = 3, **plan_options) -> DataFrame:
+    """Planner output (Q1 rows) for the non-empty envelopes of one pull.
+
+    ``plan_options`` go to ``planner.plan_waypoints`` (``hour_anchor``,
+    ``nan_policy``, ``invert``, ``keep``, ...).
+    """
     good = envelopes.filter(F.size("data") > 0)
     schedule = flat_schedule(explode_records(good))
-    legs = planner.leg_metrics(planner.prepare_schedule(schedule, statuses), unique_airports)
-    return planner.plan_waypoints(legs, observed, forecast, cell_fn=cell_fn, past_days=past_days)
+    legs = planner.leg_metrics(planner.prepare_schedule(schedule, statuses), unique_airports,
+                               segments=segments)
+    return planner.plan_waypoints(legs, observed, forecast, cell_fn=cell_fn, past_days=past_days,
+                                  **plan_options)
 
 
 def start_refresh(spark: SparkSession, landing_dir: str, out_dir: str, checkpoint_location: str,
                   unique_airports: DataFrame, observed: DataFrame, forecast: DataFrame,
                   cell_fn: Callable[[Column, Column], Column] = planner.default_cell,
                   past_days: int = 90, statuses: Sequence[str] | None = ("scheduled",),
-                  available_now: bool = True, processing_time: str | None = None
-                  ) -> StreamingQuery:
-    """Start the refresh stream; returns the running query."""
+                  available_now: bool = True, processing_time: str | None = None,
+                  segments: int | str = 3, **plan_options) -> StreamingQuery:
+    """Start the refresh stream; returns the running query.
+
+    Planner options (``segments``, ``hour_anchor``, ``nan_policy``, ``invert``,
+    ...) are the same as for the batch planner.
+    """
     envelopes = (spark.readStream.schema(SCHEDULE_ENVELOPE).option("multiLine", True)
                  .json(landing_dir))
 
@@ -48,7 +58,7 @@ def start_refresh(spark: SparkSession, landing_dir: str, out_dir: str, checkpoin
         if batch.filter(F.size("data") > 0).isEmpty():
             return  # empty pull: keep the last good plan
         plan = plan_snapshot(batch, unique_airports, observed, forecast, cell_fn, past_days,
-                             statuses)
+                             statuses, segments, **plan_options)
         version = f"{out_dir}/v{epoch_id:08d}"
         # Re-running an epoch after a failure rewrites the same version: idempotent.
         plan.write.mode("overwrite").parquet(version)
