@@ -407,58 +407,58 @@ def arrivals_table_q(spark, d):
 
 QUERIES: dict[str, Query] = {
     # sources and sinks
-    "scan_nested_schedule": scan_nested_schedule,
-    "scan_airports": scan_airports,
-    "board_union": board_union,
-    "flight_detail_flat": flight_detail_flat,
-    "trail_rows": trail_rows_q,
-    "weather_unpivot_hours": weather_unpivot_hours,
-    "path_json_roundtrip": path_json_roundtrip,
-    "latest_nonempty_snapshot": latest_nonempty_snapshot_q,
-    "busy_airport_semi": busy_airport_semi_q,
-    "trail_to_json": trail_to_json,
+    "scan_nested_schedule": scan_nested_schedule,   # S1
+    "scan_airports": scan_airports,                 # S2, P4
+    "board_union": board_union,                     # S3, P3, U1
+    "flight_detail_flat": flight_detail_flat,       # S4, P7
+    "trail_rows": trail_rows_q,                     # S5, P5
+    "weather_unpivot_hours": weather_unpivot_hours, # S6, S7, W3
+    "path_json_roundtrip": path_json_roundtrip,     # S9, M14
+    "latest_nonempty_snapshot": latest_nonempty_snapshot_q,# S10, T2
+    "busy_airport_semi": busy_airport_semi_q,       # S11, J5
+    "trail_to_json": trail_to_json,                 # S12
     # projections
-    "flatten_by_map": flatten_by_map,
-    "flatten_dotted": flatten_dotted,
-    "leg_metrics": leg_metrics_q,
-    "arrivals_table": arrivals_table_q,
-    "planner_detail_subset": planner_detail_subset,
-    "path_coords": path_coords,
-    "normalize_whitespace": normalize_whitespace,
-    "flight_label": flight_label,
+    "flatten_by_map": flatten_by_map,               # P1
+    "flatten_dotted": flatten_dotted,               # P2
+    "leg_metrics": leg_metrics_q,                   # P6
+    "arrivals_table": arrivals_table_q,             # Q3: J2, P8, F3, F4, M7
+    "planner_detail_subset": planner_detail_subset, # P9
+    "path_coords": path_coords,                     # P10
+    "normalize_whitespace": normalize_whitespace,   # P11
+    "flight_label": flight_label,                   # P12
     # filters
-    "drop_null_status": drop_null_status_q,
-    "resolve_airports": resolve_airports_q,
-    "quality_report": quality_report_q,
-    "forecast_lookup": forecast_lookup_q,
-    "scheduled_only": scheduled_only_q,
+    "drop_null_status": drop_null_status_q,         # F1
+    "resolve_airports": resolve_airports_q,         # J1, F2, F7
+    "quality_report": quality_report_q,             # F5, A5
+    "forecast_lookup": forecast_lookup_q,           # J3, F6
+    "scheduled_only": scheduled_only_q,             # F8
     # joins
-    "valid_code_semi": valid_code_semi_q,
-    "invalid_code_anti": invalid_code_anti_q,
-    "trailing_history_join": trailing_history_join,
+    "valid_code_semi": valid_code_semi_q,           # J2
+    "invalid_code_anti": invalid_code_anti_q,       # J2
+    "trailing_history_join": trailing_history_join, # J4
     # aggregations
-    "percentile_of_score": percentile_of_score_q,
-    "weather_risk": weather_risk,
-    "airport_markers": airport_markers_q,
-    "flight_picker_lastwins": flight_picker_lastwins,
-    "path_with_risk": path_with_risk_q,
+    "percentile_of_score": percentile_of_score_q,   # A1
+    "weather_risk": weather_risk,                   # A2
+    "airport_markers": airport_markers_q,           # Q2: A3, L2
+    "flight_picker_lastwins": flight_picker_lastwins,# Q4: A4
+    "path_with_risk": path_with_risk_q,             # A6, J6
     # windows, sort, limit
-    "trail_every_nth": trail_every_nth,
-    "latest_position": latest_position,
-    "top_n_departures": top_n_departures,
+    "trail_every_nth": trail_every_nth,             # Q5: W1
+    "latest_position": latest_position,             # Q5: W2
+    "top_n_departures": top_n_departures,           # L1
     # scalar functions
-    "leg_distance": leg_distance,
-    "flight_path_points": flight_path_points,
-    "future_path": future_path_q,
-    "adaptive_segments": adaptive_segments,
-    "iso_to_epoch": iso_to_epoch_q,
-    "epoch_to_date": epoch_to_date_q,
-    "epoch_to_text": epoch_to_text_q,
-    "hour_offset": hour_offset_q,
-    "trailing_bounds": trailing_bounds,
-    "ordered_leg_times": ordered_leg_times,
-    "risk_band": risk_band_q,
-    "regex_extract_times": regex_extract_times,
+    "leg_distance": leg_distance,                   # M1, M11, M12
+    "flight_path_points": flight_path_points,       # M2, M17
+    "future_path": future_path_q,                   # Q5: M3
+    "adaptive_segments": adaptive_segments,         # M4
+    "iso_to_epoch": iso_to_epoch_q,                 # M5
+    "epoch_to_date": epoch_to_date_q,               # M6
+    "epoch_to_text": epoch_to_text_q,               # M7
+    "hour_offset": hour_offset_q,                   # M8
+    "trailing_bounds": trailing_bounds,             # M9
+    "ordered_leg_times": ordered_leg_times,         # M10
+    "risk_band": risk_band_q,                       # M13
+    "regex_extract_times": regex_extract_times,     # M15
     # user-level
-    "planner_flagship": planner_flagship,
+    "planner_flagship": planner_flagship,           # Q1
 }
