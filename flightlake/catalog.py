@@ -414,7 +414,7 @@ QUERIES: dict[str, Query] = {
     "trail_rows": trail_rows_q,                     # S5, P5
     "weather_unpivot_hours": weather_unpivot_hours, # S6, S7, W3
     "path_json_roundtrip": path_json_roundtrip,     # S9, M14
-    "latest_nonempty_snapshot": latest_nonempty_snapshot_q,# S10, T2
+    "latest_nonempty_snapshot": latest_nonempty_snapshot_q,  # S10, T2
     "busy_airport_semi": busy_airport_semi_q,       # S11, J5
     "trail_to_json": trail_to_json,                 # S12
     # projections
@@ -440,7 +440,7 @@ QUERIES: dict[str, Query] = {
     "percentile_of_score": percentile_of_score_q,   # A1
     "weather_risk": weather_risk,                   # A2
     "airport_markers": airport_markers_q,           # Q2: A3, L2
-    "flight_picker_lastwins": flight_picker_lastwins,# Q4: A4
+    "flight_picker_lastwins": flight_picker_lastwins,  # Q4: A4
     "path_with_risk": path_with_risk_q,             # A6, J6
     # windows, sort, limit
     "trail_every_nth": trail_every_nth,             # Q5: W1
