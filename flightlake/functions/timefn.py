@@ -15,8 +15,13 @@ def _c(x) -> Column:
 
 
 def iso_to_epoch(text) -> Column:
-    """ISO-8601 text -> UTC epoch seconds; naive text is read as UTC; bad text -> null."""
-    return F.unix_seconds(F.try_to_timestamp(_c(text)))
+    """ISO-8601 text -> UTC epoch seconds; naive text is read as UTC; bad text -> null.
+
+    Fractions of a second are truncated toward zero (as ``int(timestamp)``
+    does), so a time just before 1970 gives 0, not -1.
+    """
+    micros = F.unix_micros(F.try_to_timestamp(_c(text)))
+    return (micros / F.lit(1_000_000)).cast("long")
 
 
 def epoch_to_date(epoch) -> Column:

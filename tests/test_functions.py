@@ -185,3 +185,30 @@ def test_normalize_strings_recurses_through_nested_types(spark):
     assert r.arr[0].c == "d e" and r.arr[1] is None
     assert r.tags == ["f", None] and r.m == {"k": "v w"}
     assert got[2].st is None and got[2].arr is None  # null structs stay null
+
+
+def test_iso_to_epoch_edge_cases(spark):
+    from datetime import datetime, timezone
+
+    from flightlake.functions.timefn import epoch_to_text, iso_to_epoch
+    texts = ["2024-03-01T10:00:00.999999+00:00", "2024-03-01", "2024-03-01T10:00:00-04:00",
+             "2024-03-01 23:59:59", "1969-12-31T23:59:59.5+00:00", "2024-02-30T00:00:00", "",
+             "2024-03-01T10:00:00Z"]
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    got = [r.e for r in df.select(iso_to_epoch("s").alias("e")).collect()]
+
+    def ref(t):  # whole seconds since the epoch, fraction dropped; naive text is UTC
+        try:
+            d = datetime.fromisoformat(t)
+        except ValueError:
+            return None
+        if d.tzinfo is None:
+            d = d.replace(tzinfo=timezone.utc)
+        return int(d.timestamp())
+
+    assert got[:5] == [ref(t) for t in texts[:5]]
+    assert got[4] == 0           # truncated toward zero, also before 1970
+    assert got[5] is None and got[6] is None   # impossible date, empty text
+    assert got[7] == 1709287200  # a trailing Z is read as UTC
+    shown = df.select(epoch_to_text(F.lit(1709287200), tz="Asia/Kolkata").alias("x")).first().x
+    assert shown == "2024-03-01 15:30:00"
