@@ -80,8 +80,10 @@ def trailing_history_counts(scored: DataFrame, observed: DataFrame, past_days: i
     """
     day_no = (F.col("day0") / F.lit(SECONDS_PER_DAY)).cast("long")
     expanded = scored.withColumn("hday", F.explode(F.sequence(day_no - F.lit(past_days), day_no)))
-    hist = observed.select(F.col("cell"),
-                           F.floor(F.col("ts_hour") / F.lit(SECONDS_PER_DAY)).alias("hday"),
+    # A landed weather table carries its UTC day number; otherwise derive it.
+    day = F.col(DAY_COLUMN) if DAY_COLUMN in observed.columns \
+        else F.floor(F.col("ts_hour") / F.lit(SECONDS_PER_DAY))
+    hist = observed.select(F.col("cell"), day.cast("long").alias("hday"),
                            F.lit(1).alias("_h"),
                            *[F.col(m).alias(f"h_{m}") for m in metrics])
     joined = expanded.join(hist, ["cell", "hday"], "left")
