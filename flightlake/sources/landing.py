@@ -24,9 +24,12 @@ def schedule_table(records: DataFrame) -> DataFrame:
 
 
 def land_schedule(spark: SparkSession, json_path: str, out_path: str,
-                  mode: str = "append") -> None:
-    """Landed schedule envelopes -> parquet partitioned by ``flight_date``."""
-    table = schedule_table(read_schedule(spark, json_path))
+                  mode: str = "append", multiline: bool = True) -> None:
+    """Landed schedule envelopes -> parquet partitioned by ``flight_date``.
+
+    ``multiline=False`` for files holding one envelope per line.
+    """
+    table = schedule_table(read_schedule(spark, json_path, multiline))
     table.write.mode(mode).partitionBy("flight_date").parquet(out_path)
 
 

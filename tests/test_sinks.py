@@ -22,3 +22,20 @@ def test_path_with_risk_is_ordered(spark):
     scored = catalog._scored(spark, SF_SMALL)
     p = planner.path_with_risk(scored).first()["path"]
     assert [x["idx"] for x in p] == [0, 1, 2, 3]
+
+
+def test_planning_from_landed_parquet_equals_direct_plan(spark, tmp_path):
+    """Payload JSON files -> landing -> planner gives the flagship's waypoints."""
+    from flightlake.sources import fixtures as fx
+    from flightlake.sources.landing import land_schedule
+
+    json_dir, lake = str(tmp_path / "landing"), str(tmp_path / "schedule")
+    fx.schedule_payloads(spark, SF_SMALL).write.text(json_dir)  # one envelope per line
+    land_schedule(spark, json_dir, lake, multiline=False)
+    landed = planner.prepare_schedule(spark.read.parquet(lake), normalize=False)
+    w = fx.weather_v(spark, SF_SMALL)
+    from_lake = planner.plan_waypoints(
+        planner.leg_metrics(landed, catalog._unique(spark, SF_SMALL)), w, w,
+        cell_fn=fx.fixture_cell, past_days=catalog.FIXTURE_PAST_DAYS)
+    direct = catalog.planner_flagship(spark, SF_SMALL)
+    assert sorted(map(repr, from_lake.collect())) == sorted(map(repr, direct.collect()))
