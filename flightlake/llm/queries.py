@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flightlake.llm import ann
+from flightlake.llm import ann, mixing, quality_rules
 from flightlake.llm.common import read_table
 
 
@@ -16,8 +16,16 @@ def op1_block_matrix_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.block_matrix_join(rows.where(F.col("vec_id") % 100 == 0), rows, k=10)
 
 
+def op3_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op10_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.robust_outliers(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_block_matrix_neighbours,)
+    f.__name__: f for f in (op1_block_matrix_neighbours, op3_pivotal_mixing, op10_robust_outliers)
 }
 
 ORACLE_SQL: dict[str, str] = {
