@@ -5,7 +5,8 @@ copies ``target / source_size``.  The whole part is taken; the fractions are
 rounded by the pivotal method in its size-weighted form: two units of a source
 meet, words move from one to the other until one fraction becomes 0 or 1, with
 chances that keep each unit's expected copies.  The words taken from a source stay
-equal to its target but for the single fraction that is left at the very end.
+equal to its target but for the single fraction that is left at the very end; the
+units of the last group make up for its rounding (``land``).
 
 The meetings form a tree.  Units are dealt into buckets of about ``bucket_units``
 by a hash of their id (a source with a third of all documents is spread over all
@@ -126,21 +127,37 @@ def pivot(ids: list, sizes: list[int], fractions: list[float], label: str) -> tu
     return out, held, f
 
 
+def land(sizes: list[int], fractions: list[float], rounded: list[int]) -> list[int]:
+    """Flip rounded units, largest first, while that brings the words taken nearer to the words due.
+
+    The tree ends with one open unit per source; rounding it can miss by half its
+    size, which the smaller units of the last group make up for.
+    """
+    miss = sum(s * f for s, f in zip(sizes, fractions, strict=True)) - sum(
+        s * x for s, x in zip(sizes, rounded, strict=True))
+    out = list(rounded)
+    for k in sorted(range(len(sizes)), key=lambda k: -sizes[k]):
+        change = sizes[k] * (1 - 2 * out[k])
+        if 1e-12 < fractions[k] < 1 - 1e-12 and abs(miss - change) < abs(miss):
+            out[k], miss = 1 - out[k], miss - change
+    return out
+
+
 def _round_group(pdf: pd.DataFrame, level: int, last: bool) -> pd.DataFrame:
     pdf = pdf.sort_values(["size", "unit"], ascending=[False, True], kind="stable").reset_index(drop=True)
-    for _, part in pdf.groupby("source_key", sort=True):
-        rows = part.index.to_list()
-        ids = part["unit"].to_list()
-        label = f"{SEED}/{level}/{part['source_key'].iloc[0]}"
-        out, held, f = pivot(ids, part["size"].to_list(), part["fraction"].to_list(), label)
-        for r, x in zip(rows, out, strict=True):
-            pdf.at[r, "fraction"] = float(x)
-        if held is not None:
-            if last:
-                f = float(_chance(label, ids[held]) < f)
-            pdf.at[rows[held], "fraction"] = f
-            pdf.at[rows[held], "open"] = not last
-    return pdf
+    fraction, still_open = pdf["fraction"].to_numpy(copy=True), pdf["open"].to_numpy(copy=True)
+    for name, rows in pdf.groupby("source_key", sort=True).indices.items():
+        ids, sizes = pdf["unit"].iloc[rows].to_list(), pdf["size"].iloc[rows].to_list()
+        due = fraction[rows].tolist()
+        out, held, f = pivot(ids, sizes, due, f"{SEED}/{level}/{name}")
+        if last:
+            if held is not None:
+                out[held] = int(f >= 0.5)
+            out = land(sizes, due, out)
+        fraction[rows] = out
+        if held is not None and not last:
+            fraction[rows[held]], still_open[rows[held]] = f, True
+    return pdf.assign(fraction=fraction, open=still_open)
 
 
 def _rounder(level: int, last: bool):

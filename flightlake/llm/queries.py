@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flightlake.llm import ann, mixing, quality_rules
+from flightlake.llm import ann, mixing, packing, quality_rules
 from flightlake.llm.common import read_table
 
+#: Vocabulary files, by name.
+WORD_TOKENIZER = "word_bpe_49k.json"
+
 
 def op1_block_matrix_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read_table(spark, sf_dir, "embeddings")
@@ -20,12 +24,19 @@ def op3_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_ordered_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_TOKENIZER))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
+                         "offset")
+
+
 def op10_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.robust_outliers(read_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_block_matrix_neighbours, op3_pivotal_mixing, op10_robust_outliers)
+    f.__name__: f for f in (op1_block_matrix_neighbours, op3_pivotal_mixing, op5_ordered_packing,
+                          op10_robust_outliers)
 }
 
 ORACLE_SQL: dict[str, str] = {
