@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flightlake.llm import ann, mixing, packing, quality_rules
-from flightlake.llm.common import read_table
+from flightlake.llm import ann, mixing, packing, quality_net, quality_rules, toxicity
+from flightlake.llm.common import read_table, remainder
 
 #: Vocabulary files, by name.
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -20,6 +20,23 @@ def op1_block_matrix_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.block_matrix_join(rows.where(F.col("vec_id") % 100 == 0), rows, k=10)
 
 
+def _verdicts(scored: DataFrame, modulus: int, held: int) -> DataFrame:
+    return scored.select("doc_id", (remainder("doc_id", modulus) == held).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op2_counterfactual_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    weights = toxicity.fit_labels(docs, labels, "toxic", learn=remainder("doc_id", 5) != 0)
+    return _verdicts(toxicity.score(docs, weights, ["doc_id"]), 5, 0)
+
+
+def op4_byte_network(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    net = quality_net.fit_labels(docs, labels, "quality", learn=remainder("doc_id", 3) != 1)
+    return _verdicts(quality_net.score(docs, net, ["doc_id"]), 3, 1)
+
+
 def op3_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -35,7 +52,8 @@ def op10_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_block_matrix_neighbours, op3_pivotal_mixing, op5_ordered_packing,
+    f.__name__: f for f in (op1_block_matrix_neighbours, op2_counterfactual_toxicity, op3_pivotal_mixing,
+                          op4_byte_network, op5_ordered_packing,
                           op10_robust_outliers)
 }
 
