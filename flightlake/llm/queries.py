@@ -8,11 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flightlake.llm import ann, mixing, packing, quality_net, quality_rules, toxicity
+from flightlake.llm import ann, lattice_lm, mixing, packing, quality_net, quality_rules, token_counts, toxicity
 from flightlake.llm.common import read_table, remainder
 
 #: Vocabulary files, by name.
 WORD_TOKENIZER = "word_bpe_49k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def op1_block_matrix_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,6 +48,17 @@ def op5_ordered_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "offset")
 
 
+def op8_viterbi_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return token_counts.count_tokens(docs, public_tokenizers.path(PIECES), ["doc_id"])
+
+
+def op9_lattice_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = lattice_lm.score_documents(read_table(spark, sf_dir, "documents"), remainder("doc_id", 5) != 1,
+                                        public_tokenizers.path(PIECES))
+    return scored.withColumn("held_out", ~F.col("learned")).drop("learned")
+
+
 def op10_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.robust_outliers(read_table(spark, sf_dir, "documents"))
 
@@ -54,6 +66,7 @@ def op10_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_block_matrix_neighbours, op2_counterfactual_toxicity, op3_pivotal_mixing,
                           op4_byte_network, op5_ordered_packing,
+                          op8_viterbi_token_counts, op9_lattice_likelihood,
                           op10_robust_outliers)
 }
 
