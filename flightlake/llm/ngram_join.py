@@ -252,10 +252,15 @@ def _across(grouped: DataFrame, groups: DataFrame, sets: DataFrame, percent: int
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that stay: of each component the row with the smallest id (one row of equal ids).
+    """The rows of ``docs`` that stay: of each component the row with the smallest id.
 
-    Rows without id stay (they cannot name a component).
+    Of rows with equal id and text one stays; rows without id stay (they cannot name a component).
     """
     found = jaccard_components(docs, id_col, text_col, **options)
     gone = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(gone, id_col, "left_anti").select(*docs.columns)
+    kept = docs.join(gone, id_col, "left_anti").select(*docs.columns)
+    # rows that repeat an id are few: only they are compared
+    again = found.groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1 AND doc_id IS NOT NULL")
+    again = written(again.select(F.col("doc_id").alias(id_col)), "jaccard-repeated-ids")
+    once = kept.join(again, id_col, "left_anti").select(*docs.columns)
+    return once.unionByName(kept.join(again, id_col, "left_semi").select(*docs.columns).dropDuplicates([id_col, text_col]))

@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flightlake.llm.common import fresh
 from flightlake.llm.sampling import labelled_sample
 from flightlake.llm.textkit import text_blocks
 
@@ -174,7 +175,7 @@ def fit(sample: pd.DataFrame, epochs: int = EPOCHS, chunks: int = CHUNKS, seed:
     return net
 
 
-def _scorer(net: dict[str, np.ndarray]):
+def _scorer(net: dict[str, np.ndarray], out: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(batch.num_columns - 1)
@@ -182,15 +183,22 @@ def _scorer(net: dict[str, np.ndarray]):
             for row, data, bounds in text_blocks(texts):
                 score[row:row + len(bounds) - 1] = score_texts(net, data, bounds)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(score)],
-                                             names=[*batch.schema.names[:-1], "score"])
+                                             names=[*batch.schema.names[:-1], out])
     return run
 
 
-def score(docs: DataFrame, net: dict[str, np.ndarray], keep: list[str], text_col: str = "text") -> DataFrame:
-    """Columns ``keep`` of ``docs`` and ``score``, the probability of label 1 of the whole text."""
+def score(docs: DataFrame, net: dict[str, np.ndarray], keep: list[str], text_col: str = "text",
+          out: str = "score") -> DataFrame:
+    """Columns ``keep`` of ``docs`` and ``out``, the probability of label 1 of the whole text."""
     rows = docs.select(*[F.col(c) for c in keep], F.col(text_col).cast("string").alias("__text"))
-    schema = rows.select(*keep).schema.add("score", "double")
-    return rows.mapInArrow(_scorer(net), schema=schema)
+    schema = rows.select(*keep).schema.add(out, "double")
+    return rows.mapInArrow(_scorer(net, out), schema=schema)
+
+
+def accepted(docs: DataFrame, net: dict[str, np.ndarray], text_col: str = "text", least: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` that score ``least`` or more."""
+    out = fresh("quality_score", docs)
+    return score(docs, net, docs.columns, text_col, out).where(F.col(out) >= least).drop(out)
 
 
 def fit_labels(docs: DataFrame, labels: DataFrame, label: str = "quality", learn=None, rows: int = ROWS,

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flightlake.llm import (ann, lattice_lm, mixing, ngram_join, packing, quality_net, quality_rules, token_counts,
-                            toxicity)
+from flightlake.llm import (ann, lattice_lm, mixing, ngram_join, packing, quality_net, quality_rules, repeats,
+                            token_counts, toxicity)
 from flightlake.llm.common import read_table, remainder
 
 #: Vocabulary files, by name.
@@ -53,6 +53,11 @@ def op6_token_group_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(read_table(spark, sf_dir, "documents"))
 
 
+def op7_run_length_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = repeats.remove_repeats(read_table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_viterbi_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return token_counts.count_tokens(docs, public_tokenizers.path(PIECES), ["doc_id"])
@@ -71,7 +76,7 @@ def op10_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_block_matrix_neighbours, op2_counterfactual_toxicity, op3_pivotal_mixing,
                           op4_byte_network, op5_ordered_packing,
-                          op6_token_group_join,
+                          op6_token_group_join, op7_run_length_repeats,
                           op8_viterbi_token_counts, op9_lattice_likelihood,
                           op10_robust_outliers)
 }
