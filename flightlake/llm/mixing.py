@@ -5,8 +5,8 @@ copies ``target / source_size``.  The whole part is taken; the fractions are
 rounded by the pivotal method in its size-weighted form: two units of a source
 meet, words move from one to the other until one fraction becomes 0 or 1, with
 chances that keep each unit's expected copies.  The words taken from a source stay
-equal to its target but for the single fraction that is left at the very end; the
-units of the last group make up for its rounding (``land``).
+equal to its target but for the single fraction that is left at the very end. What
+rounding it misses is dealt to the buckets, where smaller units make up for it (``land``).
 
 The meetings form a tree.  Units are dealt into buckets of about ``bucket_units``
 by a hash of their id (a source with a third of all documents is spread over all
@@ -127,46 +127,55 @@ def pivot(ids: list, sizes: list[int], fractions: list[float], label: str) -> tu
     return out, held, f
 
 
-def land(sizes: list[int], fractions: list[float], rounded: list[int]) -> list[int]:
-    """Flip rounded units, largest first, while that brings the words taken nearer to the words due.
+def land(sizes: list[int], due: list[float], rounded: list[int], miss: float) -> list[int]:
+    """Flip rounded units, largest first, while that brings ``miss`` (words due less words taken) nearer to 0.
 
-    The tree ends with one open unit per source; rounding it can miss by half its
-    size, which the smaller units of the last group make up for.
+    The tree ends with one open unit per source, whose rounding can miss by half its size.
     """
-    miss = sum(s * f for s, f in zip(sizes, fractions, strict=True)) - sum(
-        s * x for s, x in zip(sizes, rounded, strict=True))
     out = list(rounded)
     for k in sorted(range(len(sizes)), key=lambda k: -sizes[k]):
         change = sizes[k] * (1 - 2 * out[k])
-        if 1e-12 < fractions[k] < 1 - 1e-12 and abs(miss - change) < abs(miss):
+        if 1e-12 < due[k] < 1 - 1e-12 and abs(miss - change) < abs(miss):
             out[k], miss = 1 - out[k], miss - change
     return out
 
 
-def _round_group(pdf: pd.DataFrame, level: int, last: bool) -> pd.DataFrame:
-    pdf = pdf.sort_values(["size", "unit"], ascending=[False, True], kind="stable").reset_index(drop=True)
-    fraction, still_open = pdf["fraction"].to_numpy(copy=True), pdf["open"].to_numpy(copy=True)
-    for name, rows in pdf.groupby("source_key", sort=True).indices.items():
-        ids, sizes = pdf["unit"].iloc[rows].to_list(), pdf["size"].iloc[rows].to_list()
-        due = fraction[rows].tolist()
-        out, held, f = pivot(ids, sizes, due, f"{SEED}/{level}/{name}")
-        if last:
-            if held is not None:
-                out[held] = int(f >= 0.5)
-            out = land(sizes, due, out)
-        fraction[rows] = out
-        if held is not None and not last:
-            fraction[rows[held]], still_open[rows[held]] = f, True
-    return pdf.assign(fraction=fraction, open=still_open)
+def _sorted(pdf: pd.DataFrame) -> pd.DataFrame:
+    return pdf.sort_values(["size", "unit"], ascending=[False, True], kind="stable").reset_index(drop=True)
 
 
 def _rounder(level: int, last: bool):
+    """Round a bucket's units; but for the last level one unit per source may stay open."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        return _round_group(pdf.assign(open=False), level, last)
+        pdf = _sorted(pdf)
+        fraction, still_open = pdf["fraction"].to_numpy(copy=True), pdf["open"].to_numpy(copy=True)
+        still_open[:] = False
+        for name, rows in pdf.groupby("source_key", sort=True).indices.items():
+            ids, sizes = pdf["unit"].iloc[rows].to_list(), pdf["size"].iloc[rows].to_list()
+            out, held, f = pivot(ids, sizes, fraction[rows].tolist(), f"{SEED}/{level}/{name}")
+            fraction[rows] = out
+            if held is not None:
+                fraction[rows[held]] = float(f >= 0.5) if last else f
+                still_open[rows[held]] = not last
+        return pdf.assign(fraction=fraction, open=still_open)
     return run
 
 
-_LEVEL = "source_key string, unit string, size long, whole int, fraction double, open boolean, bucket long"
+def _lander(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Let the units of a bucket make up for the bucket's part of each source's miss."""
+    pdf = _sorted(pdf)
+    fraction = pdf["fraction"].to_numpy(copy=True)
+    for _, rows in pdf.groupby("source_key", sort=True).indices.items():
+        sizes, due = pdf["size"].iloc[rows].to_list(), pdf["due"].iloc[rows].to_list()
+        able, total = int(pdf["able"].iloc[rows].sum()), int(pdf["total"].iloc[rows[0]])
+        if able:
+            fraction[rows] = land(sizes, due, fraction[rows].astype(int).tolist(),
+                                  pdf["miss"].iloc[rows[0]] * able / total)
+    return pdf.assign(fraction=fraction)[["source_key", "unit", "whole", "fraction"]]
+
+
+_LEVEL = ("source_key string, unit string, size long, whole int, due double, home long, fraction double, open boolean, "
+          "bucket long")
 
 
 def copies(units: DataFrame, bucket_units: int = BUCKET_UNITS, fan_in: int = FAN_IN) -> DataFrame:
@@ -174,13 +183,12 @@ def copies(units: DataFrame, bucket_units: int = BUCKET_UNITS, fan_in: int = FAN
     n = units.count()
     buckets = max(1, -(-n // bucket_units))
     level, done = 0, []
-    open_rows = units.select(
-        "source_key", "unit", "size", F.floor("share").cast("int").alias("whole"),
-        (F.col("share") - F.floor("share")).alias("fraction"), F.lit(False).alias("open"),
-        F.pmod(F.xxhash64("unit"), F.lit(buckets)).alias("bucket"))
+    home = F.pmod(F.xxhash64("unit"), F.lit(buckets))
+    due = F.col("share") - F.floor("share")
+    open_rows = units.select("source_key", "unit", "size", F.floor("share").cast("int").alias("whole"), due.alias("due"),
+                             home.alias("home"), due.alias("fraction"), F.lit(True).alias("open"), home.alias("bucket"))
     while True:
-        ruled = written(open_rows.groupBy("bucket").applyInPandas(
-            _rounder(level, buckets == 1), schema=_LEVEL), "mix-level")
+        ruled = written(open_rows.groupBy("bucket").applyInPandas(_rounder(level, buckets == 1), schema=_LEVEL), "mix-level")
         done.append(ruled.where(~F.col("open")))
         if buckets == 1:
             break
@@ -189,7 +197,16 @@ def copies(units: DataFrame, bucket_units: int = BUCKET_UNITS, fan_in: int = FAN
     out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)
-    return out.select("source_key", "unit", (F.col("whole") + F.round("fraction").cast("int")).alias("copies"))
+    # a source's miss is dealt to the buckets by the words that they can flip towards it
+    loose = (F.col("due") > 1e-12) & (F.col("due") < 1 - 1e-12)
+    words = F.when(loose, F.col("size")).otherwise(0)
+    miss = out.groupBy("source_key").agg(F.round(F.sum(words * F.col("due")) - F.sum(words * F.col("fraction")), 3).alias("miss"))
+    helps = (F.col("size") <= F.abs("miss")) & ((F.col("miss") > 0) == (F.col("fraction") < 0.5))
+    out = written(out.join(miss, "source_key").withColumn("able", F.when(loose & helps, F.col("size")).otherwise(0)), "mix-miss")
+    total = out.groupBy("source_key").agg(F.sum("able").alias("total"))
+    landed = out.join(total, "source_key").groupBy("home").applyInPandas(
+        _lander, schema="source_key string, unit string, whole int, fraction double")
+    return landed.select("source_key", "unit", (F.col("whole") + F.round("fraction").cast("int")).alias("copies"))
 
 
 def _keys(docs: DataFrame, id_col: str, source_col: str) -> tuple[Column, Column]:

@@ -114,7 +114,7 @@ class WordTokens:
         body, tail = [], []
         for w in names:
             core = w.rstrip(PUNCTUATION)
-            if len(core) != len(w) and core[-1:].isalnum():
+            if len(core) != len(w) and core[-1:].isalnum() and "<|" not in w:  # special tokens stay whole
                 body.append(core)
                 tail.append(w[len(core):])
             else:
