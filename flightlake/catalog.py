@@ -38,9 +38,6 @@ from flightlake.sources.schedule import (drop_null_status, explode_records, flat
 from flightlake.sources.sinks import decode_path, encode_path, trail_json
 from flightlake.sources.weather import unpivot_hours
 
-# Fixture history window: the driver's events cover one month, so 7 days
-# replace the planner's default of 90.
-FIXTURE_PAST_DAYS = 7
 TRAIL_EVERY = 10
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,8 +79,7 @@ def _keys(spark, d):
 
 def _scored(spark, d):
     w = _weather(spark, d)
-    return planner.plan_waypoints(_planned_legs(spark, d), w, w, cell_fn=fx.fixture_cell,
-                                  past_days=FIXTURE_PAST_DAYS)
+    return planner.plan_waypoints(_planned_legs(spark, d), w, w, cell_fn=fx.fixture_cell)
 
 
 def _schedule_records(spark, d):
@@ -217,7 +213,7 @@ def planner_detail_subset(spark, d):
     keep = ("flight_iata", "departure_epoch", "arrival_epoch")
     w = _weather(spark, d)
     scored = planner.plan_waypoints(_planned_legs(spark, d), w, w, cell_fn=fx.fixture_cell,
-                                    past_days=FIXTURE_PAST_DAYS, keep=keep)
+                                    keep=keep)
     paths = planner.path_with_risk(scored, key=keep)
     return paths.select("flight_iata", "arrival_epoch", "departure_epoch",
                         planner.path_text(F.col("path"), "risk").alias("risk_path"))
@@ -266,20 +262,20 @@ def forecast_lookup_q(spark, d):
 
 def trailing_history_join(spark, d):
     w = _weather(spark, d)
-    counts = trailing_history_counts(forecast_lookup(_keys(spark, d), w), w, FIXTURE_PAST_DAYS)
+    counts = trailing_history_counts(forecast_lookup(_keys(spark, d), w), w)
     cols = ["n_hist"] + [f"{p}_{m}" for m in SCORED_METRICS for p in ("s", "bad", "lt", "le")]
     return counts.select(*KEY, *cols)
 
 
 def percentile_of_score_q(spark, d):
     w = _weather(spark, d)
-    counts = trailing_history_counts(forecast_lookup(_keys(spark, d), w), w, FIXTURE_PAST_DAYS)
+    counts = trailing_history_counts(forecast_lookup(_keys(spark, d), w), w)
     return percentile_scores(counts).select(*KEY, *[f"pct_{m}" for m in SCORED_METRICS])
 
 
 def weather_risk(spark, d):
     w = _weather(spark, d)
-    return key_risk(_keys(spark, d), w, w, FIXTURE_PAST_DAYS).select(*KEY, "risk")
+    return key_risk(_keys(spark, d), w, w).select(*KEY, "risk")
 
 
 # ------------------------------------------------------------------ aggregations

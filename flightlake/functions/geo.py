@@ -95,9 +95,13 @@ def explode_path(df, lat0, lon0, lat1, lon1, t0, t1, segments=3, digits: int = 5
 
 
 def grid_cell(lat, lon, resolution_deg: float = 0.25) -> Column:
-    """Row-major id of the ``resolution_deg`` grid cell holding (lat, lon)."""
+    """Row-major id of the ``resolution_deg`` grid cell holding (lat, lon).
+
+    Longitudes wrap (180 is -180); latitude 90 belongs to the last row.
+    """
     res = F.lit(float(resolution_deg))
     n_lon = int(round(360.0 / resolution_deg))
-    row = F.floor((_c(lat) + F.lit(90.0)) / res)
-    col = F.floor((_c(lon) + F.lit(180.0)) / res)
+    n_lat = int(round(180.0 / resolution_deg))
+    row = F.least(F.floor((_c(lat) + F.lit(90.0)) / res), F.lit(n_lat - 1))
+    col = F.pmod(F.floor((_c(lon) + F.lit(180.0)) / res), F.lit(n_lon))
     return row * F.lit(n_lon) + col

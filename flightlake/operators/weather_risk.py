@@ -7,13 +7,13 @@ Scale design
   history work depends on the number of distinct places and hours, not on the
   number of flights.  The distinct is a partial + final hash aggregate, so a
   hub cell holding a third of all waypoints collapses map-side.
-* The trailing window is an *equi* join: every key is exploded to the
-  ``past_days + 1`` history days it needs and joined on ``(cell, day)``.
-  No history row is compared outside its window and no cell-wide cross
-  product is formed; each ``(cell, day)`` group holds at most 24 history rows.
+* The trailing window is an *equi* join of two small shapes: the distinct
+  ``(cell, day0)`` pairs, exploded to the ``past_days + 1`` days they need, and
+  the history with one row per ``(cell, day)``.  The hours of one window are
+  one array of at most ``(past_days + 1) * 24`` entries, shared by all keys of
+  that place and day.
 * Scoring is a single ``groupBy`` with conditional counts for all metrics at
-  once (constant state per key, partial aggregation before the shuffle);
-  histories are never collected into lists.
+  once, in the stage that holds the windows.
 """
 
 from __future__ import annotations
@@ -34,6 +34,9 @@ KEY = ["cell", "day0", "fts"]
 # four 8-byte values); beyond it the join back is salted.
 DEFAULT_MAX_BROADCAST_KEYS = 1_000_000
 DEFAULT_SALT_BUCKETS = 32
+# A key of more waypoints than this is spread over the salt buckets (the number of
+# such keys is at most the waypoints divided by it).
+HOT_KEY_POINTS = 100_000
 # Optional partition column of weather tables: UTC day number of ``ts_hour``.
 DAY_COLUMN = "day"
 
@@ -78,27 +81,47 @@ def trailing_history_counts(scored: DataFrame, observed: DataFrame, past_days: i
     history values above / at-or-above the score.
     Output: ``cell, day0, fts, n_hist, s_m, bad_m, lt_m, le_m`` for each metric.
     """
-    day_no = (F.col("day0") / F.lit(SECONDS_PER_DAY)).cast("long")
-    expanded = scored.withColumn("hday", F.explode(F.sequence(day_no - F.lit(past_days), day_no)))
-    # A landed weather table carries its UTC day number; otherwise derive it.
-    day = F.col(DAY_COLUMN) if DAY_COLUMN in observed.columns \
-        else F.floor(F.col("ts_hour") / F.lit(SECONDS_PER_DAY))
-    hist = observed.select(F.col("cell"), day.cast("long").alias("hday"),
-                           F.lit(1).alias("_h"),
-                           *[F.col(m).alias(f"h_{m}") for m in metrics])
-    joined = expanded.join(hist, ["cell", "hday"], "left")
-    aggs = [F.count("_h").alias("n_hist")]
+    h_cols = [f"h_{m}" for m in metrics]
+    windows = trailing_windows(scored.select("cell", "day0").distinct(), observed, past_days, metrics)
+    # Both sides are laid out by (cell, day0), which also satisfies the grouping by key.
+    hours = (scored.join(windows, ["cell", "day0"], "left")
+             .select(*KEY, *[f"s_{m}" for m in metrics], F.explode_outer("hours").alias("_h"))
+             .select(*KEY, *[f"s_{m}" for m in metrics], F.col("_h").isNotNull().alias("_seen"),
+                     *[F.col(f"_h.{c}").alias(c) for c in h_cols]))
+    aggs = [F.count_if("_seen").alias("n_hist")]
     for m in metrics:
         h, s = F.col(f"h_{m}"), F.col(f"s_{m}")
         bad = h.isNull() | F.isnan(h)
         below, at_or_below = ((h > s), (h >= s)) if m in invert else ((h < s), (h <= s))
         aggs += [
             F.max(s).alias(f"s_{m}"),
-            F.count_if(F.col("_h").isNotNull() & bad).alias(f"bad_{m}"),
+            F.count_if(F.col("_seen") & bad).alias(f"bad_{m}"),
             F.count_if(~bad & below).alias(f"lt_{m}"),
             F.count_if(~bad & at_or_below).alias(f"le_{m}"),
         ]
-    return joined.groupBy(*KEY).agg(*aggs)
+    return hours.groupBy(*KEY).agg(*aggs)
+
+
+def trailing_windows(starts: DataFrame, observed: DataFrame, past_days: int = 90,
+                     metrics: Sequence[str] = SCORED_METRICS) -> DataFrame:
+    """``cell, day0, hours``: the history hours of every distinct ``(cell, day0)``.
+
+    History is first one row per ``(cell, day)`` (its hours in an array), so the
+    exploded side carries two numbers per day and every day row is joined once
+    per window, not once per key and hour.  Observed tables hold one row per
+    ``(cell, ts_hour)`` (see ``sources.weather.latest_pull``): an array holds at
+    most ``(past_days + 1) * 24`` hours.
+    """
+    # A landed weather table carries its UTC day number; otherwise derive it.
+    day = F.col(DAY_COLUMN) if DAY_COLUMN in observed.columns \
+        else F.floor(F.col("ts_hour") / F.lit(SECONDS_PER_DAY))
+    days = (observed.select("cell", day.cast("long").alias("hday"),
+                            F.struct(*[F.col(m).alias(f"h_{m}") for m in metrics]).alias("_hour"))
+            .groupBy("cell", "hday").agg(F.collect_list("_hour").alias("_hours")))
+    day_no = (F.col("day0") / F.lit(SECONDS_PER_DAY)).cast("long")
+    wanted = starts.withColumn("hday", F.explode(F.sequence(day_no - F.lit(past_days), day_no)))
+    return (wanted.join(days, ["cell", "hday"], "inner").groupBy("cell", "day0")
+            .agg(F.flatten(F.collect_list("_hours")).alias("hours")))
 
 
 def percentile_scores(counts: DataFrame, metrics: Sequence[str] = SCORED_METRICS,
@@ -186,7 +209,7 @@ def score_waypoints(points: DataFrame, observed: DataFrame, forecast: DataFrame,
                     metrics: Sequence[str] = SCORED_METRICS,
                     nan_policy: str = "propagate", prune_weather: bool = True,
                     max_broadcast_keys: int = DEFAULT_MAX_BROADCAST_KEYS,
-                    salt_buckets: int = DEFAULT_SALT_BUCKETS,
+                    salt_buckets: int = DEFAULT_SALT_BUCKETS, hot_key_points: int = HOT_KEY_POINTS,
                     invert: Sequence[str] = (), materialize_keys: bool = True) -> DataFrame:
     """Attach ``risk`` to every waypoint row.
 
@@ -196,8 +219,8 @@ def score_waypoints(points: DataFrame, observed: DataFrame, forecast: DataFrame,
     Join back: the exact key count (one small aggregate, shared with the
     weather bounds) proves the risk table's size.  Up to ``max_broadcast_keys``
     it is broadcast and the waypoints are not shuffled at all; above it the
-    join is salted over ``salt_buckets`` so a key holding a large share of all
-    waypoints is spread over that many tasks instead of one.
+    join shuffles, and keys of more than ``hot_key_points`` waypoints are spread
+    over ``salt_buckets`` tasks instead of one.
     """
     pts = add_forecast_key(points, hour_anchor=hour_anchor)
     keys = pts.select(*KEY).distinct()
@@ -213,9 +236,14 @@ def score_waypoints(points: DataFrame, observed: DataFrame, forecast: DataFrame,
     if stats["n"] <= max_broadcast_keys:
         joined = pts.join(F.broadcast(risk), KEY, "left")
     else:
-        salt = F.pmod(F.xxhash64(*[F.col(c) for c in pts.columns]), F.lit(salt_buckets))
-        salted_risk = risk.withColumn("_salt", F.explode(F.sequence(F.lit(0),
-                                                                    F.lit(salt_buckets - 1))))
-        joined = (pts.withColumn("_salt", salt.cast("int"))
-                  .join(salted_risk, [*KEY, "_salt"], "left").drop("_salt"))
+        # Only keys of many waypoints are replicated; their waypoints are spread over the buckets.
+        hot = pts.groupBy(*KEY).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_key_points)
+        hot = materialize(hot.select(*KEY, F.lit(True).alias("_hot")), "hot-keys")
+        bucket = F.pmod(F.xxhash64(*[F.col(c) for c in pts.columns]), F.lit(salt_buckets)).cast("int")
+        last = F.when(F.col("_hot"), F.lit(salt_buckets - 1)).otherwise(F.lit(0))
+        spread_risk = (risk.join(hot, KEY, "left")
+                       .withColumn("_salt", F.explode(F.sequence(F.lit(0), last))).drop("_hot"))
+        joined = (pts.join(hot, KEY, "left")
+                  .withColumn("_salt", F.when(F.col("_hot"), bucket).otherwise(F.lit(0))).drop("_hot")
+                  .join(spread_risk, [*KEY, "_salt"], "left").drop("_salt"))
     return joined.withColumn("risk", F.coalesce(F.col("risk"), F.lit(MISSING_SCORE)))

@@ -100,17 +100,19 @@ def _points(src: str, name: str, segments: str = "3") -> str:
 
 _WEATHER = """
 wv AS (
-  SELECT user_id % 12 AS cell, e - (e % 3600) AS ts_hour,
+  SELECT CAST(least(floor(((event_id * 13) % 121 - 60 + 90) / 10), 17) * 36
+              + floor(((event_id * 29) % 301 - 150 + 180) / 10) % 36 AS BIGINT) AS cell,
+         e - (e % 3600) AS ts_hour,
          round(sum(value), 2) AS precipitation, round(max(value), 2) AS visibility,
          round(min(value), 2) AS snow_depth
-  FROM (SELECT user_id, value, CAST(floor(epoch(ts)) AS BIGINT) AS e FROM events)
+  FROM (SELECT event_id, value, CAST(floor(epoch(ts)) AS BIGINT) AS e FROM events)
   GROUP BY 1, 2
 )"""
 
 _KEYS = """
 wp AS (
   SELECT flight_iata, idx, lat, lon, t, least(departure_epoch, arrival_epoch) AS leg_start,
-         CAST((floor(lat) + 720 + floor(lon)) % 12 AS BIGINT) AS cell
+         CAST(least(floor((lat + 90) / 10), 17) * 36 + floor((lon + 180) / 10) % 36 AS BIGINT) AS cell
   FROM pts
 ),
 wk AS (
@@ -140,7 +142,7 @@ hc AS (
     count(*) FILTER (WHERE NOT (h.snow_depth IS NULL OR isnan(h.snow_depth)) AND h.snow_depth < k.s_snow_depth) AS lt_snow_depth,
     count(*) FILTER (WHERE NOT (h.snow_depth IS NULL OR isnan(h.snow_depth)) AND h.snow_depth <= k.s_snow_depth) AS le_snow_depth
   FROM sc k LEFT JOIN wv h
-    ON h.cell = k.cell AND h.ts_hour >= k.day0 - 7 * 86400 AND h.ts_hour < k.day0 + 86400
+    ON h.cell = k.cell AND h.ts_hour >= k.day0 - 90 * 86400 AND h.ts_hour < k.day0 + 86400
   GROUP BY k.cell, k.day0, k.fts
 ),
 pc AS (

@@ -14,54 +14,29 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flightlake.functions.geo import grid_cell
+
 # Fixed values of the fixture definitions.
 E0 = 1705363200  # 2024-01-16 00:00:00 UTC
 HOUR = 3600
 IST_OFFSET_S = 19800  # +05:30
-WEATHER_CELLS = 12
+CELL_DEGREES = 10.0
 DUPLICATED_CODES = (3, 7)
 BOARD_PAGE = 100
 TRAIL_CHUNK = 64
 TRACK_ARRIVAL0 = 1706659200  # 2024-01-31 00:00:00 UTC
-# Fact tables whose rows carry per-row work (nation is a 25-row dimension).
-SPREAD_TABLES = {"orders": "o_orderkey", "events": "event_id", "documents": "doc_id"}
 
 
-_SPLITS: dict[str, int] = {}
 _SCHEMAS: dict = {}
 
 
-def _slots(spark: SparkSession) -> int:
-    """Task slots of the cluster (0 when the session exposes no SparkContext)."""
-    try:
-        return spark.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session
-        return 0
-
-
-def _splits(df: DataFrame, path: str) -> int:
-    """Number of scan splits of a file (planned once per path and process)."""
-    if path not in _SPLITS:
-        _SPLITS[path] = df.rdd.getNumPartitions()
-    return _SPLITS[path]
-
-
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
-    """A driver table.  A file that scans as fewer splits than the cluster has
-    task slots (the test tables are single row groups) is spread round-robin,
-    so the per-row work after the scan runs on every core; inputs that already
-    have enough splits are read as they are, without a shuffle."""
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table, read as it is."""
     path = f"{sf_dir}/{name}.parquet"
     if path not in _SCHEMAS:
         _SCHEMAS[path] = spark.read.parquet(path).schema
     # The input files are immutable: after the first read, skip schema discovery.
-    df = spark.read.schema(_SCHEMAS[path]).parquet(path)
-    key = SPREAD_TABLES.get(name) if spread else None
-    slots = _slots(spark) if key else 0
-    if key and slots and _splits(df, path) < slots:
-        # Hash of the table's unique key: even spread, no sort, no hot partition.
-        df = df.repartition(slots, key)
-    return df
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def _epoch(ts: str = "ts") -> Column:
@@ -160,6 +135,13 @@ def schedule_v(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def schedule_repeats_v(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The schedule with flight numbers as they come: some null, the others used by several legs."""
+    k = F.col("flight_number").cast("long")
+    return schedule_v(spark, sf_dir).withColumn(
+        "flight_iata", F.when(k % 17 != 0, F.concat(F.lit("FL"), k % 500)))
+
+
 def schedule_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Schedule rows nested back into the landed record shape (plus page number)."""
     s = schedule_v(spark, sf_dir)
@@ -218,14 +200,12 @@ def schedule_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------------ weather
 def weather_v(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hourly weather per cell from ``events``: cell = user % 12, hour of ``ts``.
-
-    Read without spreading: the partial aggregate in the scan task already
-    shrinks the rows before the one shuffle on ``(cell, ts_hour)``.
-    """
-    e = table(spark, sf_dir, "events", spread=False)
+    """Hourly weather per grid cell from ``events``, placed like the trail fixes; hour of ``ts``."""
+    e = table(spark, sf_dir, "events")
     epoch = _epoch("ts")
-    return (e.select((F.col("user_id") % WEATHER_CELLS).alias("cell"),
+    i = F.col("event_id")
+    return (e.select(fixture_cell(((i * 13) % 121 - 60).cast("double"), ((i * 29) % 301 - 150).cast("double"))
+                     .alias("cell"),
                      (epoch - F.pmod(epoch, F.lit(HOUR))).alias("ts_hour"),
                      "value")
             .groupBy("cell", "ts_hour")
@@ -235,10 +215,19 @@ def weather_v(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fixture_cell(lat: str | Column = "lat", lon: str | Column = "lon") -> Column:
-    """Waypoint -> fixture weather cell: ``(floor(lat) + 720 + floor(lon)) % 12``."""
-    lat = F.col(lat) if isinstance(lat, str) else lat
-    lon = F.col(lon) if isinstance(lon, str) else lon
-    return (F.floor(lat) + F.lit(720) + F.floor(lon)) % WEATHER_CELLS
+    """Waypoint -> weather cell: the production grid, 10 degrees wide (``events`` are too few for 0.25)."""
+    return grid_cell(lat, lon, CELL_DEGREES)
+
+
+def weather_pulls_v(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overlapping pulls of the hourly weather: 1 holds all hours, 0 stale values of
+    every other hour, 2 newer values of every third hour; pull 1 is landed twice."""
+    w = weather_v(spark, sf_dir)
+    hour = (F.col("ts_hour") / F.lit(HOUR)).cast("long")
+    first = w.withColumn("pull", F.lit(1).cast("long"))
+    stale = w.where(hour % 2 == 0).withColumns({"precipitation": F.col("precipitation") - 5, "pull": F.lit(0).cast("long")})
+    newer = w.where(hour % 3 == 0).withColumns({"precipitation": F.col("precipitation") + 1, "pull": F.lit(2).cast("long")})
+    return first.unionByName(stale).unionByName(newer).unionByName(first)
 
 
 def weather_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,10 +13,27 @@ from flightlake.schemas import WEATHER_METRICS, WEATHER_PAYLOAD
 
 def read_weather(spark: SparkSession, path: str, resolution_deg: float = 0.25,
                  multiline: bool = True) -> DataFrame:
-    """Landed weather responses (parallel hourly arrays) as one row per hour."""
+    """Landed weather responses (parallel hourly arrays), one row per cell and hour.
+
+    The pull of a response is the time its file was written; the newest one wins.
+    """
     raw = spark.read.schema(WEATHER_PAYLOAD).option("multiLine", multiline).json(path)
-    located = raw.withColumn("cell", grid_cell("latitude", "longitude", resolution_deg))
-    return unpivot_hours(located, keep=("cell",))
+    located = raw.withColumns({"cell": grid_cell("latitude", "longitude", resolution_deg),
+                               "pull": F.unix_micros("_metadata.file_modification_time")})
+    return latest_pull(unpivot_hours(located, keep=("cell", "pull")))
+
+
+def latest_pull(rows: DataFrame, keys: Sequence[str] = ("cell", "ts_hour"),
+                metrics: Sequence[str] = WEATHER_METRICS, pull: str = "pull") -> DataFrame:
+    """One row per ``keys``: the values of the newest pull, with its ``pull``.
+
+    ``pull`` is a number that grows from pull to pull.  Rows of one pull that share
+    the keys are the same hour landed twice, or points of one cell; each metric then
+    takes its largest value (a decision: it makes the result unique).  Both
+    orderings are numbers, so this is a hash aggregate with a partial step.
+    """
+    newest = rows.groupBy(*keys, pull).agg(*[F.max(m).alias(m) for m in metrics])
+    return newest.groupBy(*keys).agg(*[F.max_by(m, pull).alias(m) for m in metrics], F.max(pull).alias(pull))
 
 
 def unpivot_hours(df: DataFrame, keep: Sequence[str] = ("cell",),

@@ -36,6 +36,6 @@ def test_planning_from_landed_parquet_equals_direct_plan(spark, tmp_path):
     w = fx.weather_v(spark, SF_SMALL)
     from_lake = planner.plan_waypoints(
         planner.leg_metrics(landed, catalog._unique(spark, SF_SMALL)), w, w,
-        cell_fn=fx.fixture_cell, past_days=catalog.FIXTURE_PAST_DAYS)
+        cell_fn=fx.fixture_cell)
     direct = catalog.planner_flagship(spark, SF_SMALL)
     assert sorted(map(repr, from_lake.collect())) == sorted(map(repr, direct.collect()))
