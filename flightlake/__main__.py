@@ -2,7 +2,7 @@
 cluster, ``spark-submit --py-files flightlake.zip flightlake/__main__.py <job> ...``.
 
 plan     schedule envelopes (or a landed parquet table) + airports + weather
-         -> risk-scored waypoints (and markers) as parquet
+         -> planner table, risk-scored waypoints, markers and rejects as parquet
 board    board payloads + airports -> arrivals table and flight picker
 track    flight-detail payloads -> sampled trail, current position, projected path
 refresh  start the planner refresh stream over a landing folder (availableNow)
@@ -16,16 +16,17 @@ import argparse
 from pyspark.sql import functions as F
 
 from flightlake.operators.lookup import unique_airports
-from flightlake.operators.markers import airport_markers
+from flightlake.operators.markers import sorted_markers
 from flightlake.plans import planner
 from flightlake.plans.board import arrivals_table, flight_picker
 from flightlake.plans.tracker import current_position, future_path, sampled_trail
-from flightlake.session import build_session
+from flightlake.session import build_session, materialize, run_folder
 from flightlake.sources.airports import read_airports
 from flightlake.sources.board import board_rows, read_board
 from flightlake.sources.detail import detail_flat, read_flight_detail, trail_rows
 from flightlake.sources.landing import land_schedule, land_weather
-from flightlake.sources.schedule import flat_schedule, read_schedule
+from flightlake.sources.pulls import newest_pull, pull_name
+from flightlake.sources.schedule import flat_schedule, read_newest_schedule
 from flightlake.sources.sinks import write_plan
 
 
@@ -35,35 +36,48 @@ def _weather(spark, path):
 
 def cmd_plan(spark, a):
     if a.schedule_format == "parquet":
-        schedule = planner.prepare_schedule(spark.read.parquet(a.schedule), normalize=False)
+        landed = spark.read.parquet(a.schedule)
+        # every pull on disk holds records: the newest one is planned
+        newest = landed.agg(F.max(F.col("pull").cast("string"))).first()[0]
+        schedule = planner.prepare_schedule(landed.where(F.col("pull") == newest), normalize=False)
     else:
         schedule = planner.prepare_schedule(flat_schedule(
-            read_schedule(spark, a.schedule, multiline=not a.json_lines)))
+            read_newest_schedule(spark, a.schedule, multiline=not a.json_lines)))
     uniq = unique_airports(read_airports(spark, a.airports))
+    schedule = materialize(schedule, "schedule")  # parsed once for legs, markers and rejects
     legs = planner.leg_metrics(schedule, uniq,
                                segments="by_distance" if a.by_distance else 3,
                                max_flights=a.max_flights)
     w = _weather(spark, a.weather)
     forecast = _weather(spark, a.forecast) if a.forecast else w
-    keep = ("flight_date", "flight_iata", "departure_epoch", "arrival_epoch")
-    scored = planner.plan_waypoints(legs, w, forecast, past_days=a.past_days,
-                                    hour_anchor=a.hour_anchor, keep=keep)
-    write_plan(scored, f"{a.out}/waypoints", fmt=a.format)
-    write_plan(airport_markers(legs), f"{a.out}/markers", fmt=a.format)
+    legs = planner.identified(legs)
+    table = planner.planner_table(legs, w, forecast, past_days=a.past_days, hour_anchor=a.hour_anchor)
+    write_plan(table, f"{a.out}/plan", fmt=a.format)
+    if a.format == "parquet":
+        points = spark.read.parquet(f"{a.out}/plan")
+    else:
+        points = materialize(table, "plan")
+    keep = ["leg_id", "flight_date", "flight_iata", "departure_epoch", "arrival_epoch"]
+    write_plan(points.select(*keep, F.inline("risk_path")), f"{a.out}/waypoints", fmt=a.format)
+    write_plan(sorted_markers(legs), f"{a.out}/markers", fmt=a.format)
+    write_plan(planner.leg_rejects(schedule, uniq), f"{a.out}/rejects", fmt=a.format)
 
 
 def cmd_board(spark, a):
     rows = board_rows(read_board(spark, a.boards, multiline=not a.json_lines))
     uniq = unique_airports(read_airports(spark, a.airports))
-    arrivals = arrivals_table(rows, tz=a.tz, valid_airports=uniq)
+    arrivals = materialize(arrivals_table(rows, tz=a.tz, valid_airports=uniq), "arrivals")
     write_plan(arrivals, f"{a.out}/arrivals", fmt=a.format)
     write_plan(flight_picker(arrivals), f"{a.out}/picker", fmt=a.format)
 
 
 def cmd_track(spark, a):
-    details = read_flight_detail(spark, a.details, multiline=not a.json_lines)
-    trail = trail_rows(details)
-    write_plan(sampled_trail(trail, a.every), f"{a.out}/trail", fmt=a.format)
+    details = read_flight_detail(spark, a.details, multiline=not a.json_lines).withColumn("pull", pull_name())
+    # parsed once; of a flight that was pulled several times the newest pull counts
+    details = materialize(newest_pull(details.withColumn("_flight", F.col("identification.id")), "_flight").drop("_flight"),
+                          "details")
+    trail = materialize(trail_rows(details), "trail")
+    write_plan(sampled_trail(trail, a.every, written=True), f"{a.out}/trail", fmt=a.format)
     latest = current_position(trail)
     write_plan(latest, f"{a.out}/position", fmt=a.format)
     dest = detail_flat(details).select(
@@ -141,7 +155,8 @@ def main(argv=None) -> None:
 
     a = p.parse_args(argv)
     spark = build_session("flightlake-" + a.cmd, master=a.master)
-    a.fn(spark, a)
+    with run_folder(spark):
+        a.fn(spark, a)
 
 
 if __name__ == "__main__":

@@ -19,7 +19,7 @@ from flightlake.functions.timefn import (epoch_to_date, epoch_to_text, hour_offs
 from flightlake.operators.flatten import flatten_keys
 from flightlake.operators.lookup import (busy_airport_semi, invalid_code_anti, unique_airports,
                                          valid_code_semi)
-from flightlake.operators.markers import airport_markers
+from flightlake.operators.markers import airport_markers, sorted_markers
 from flightlake.operators.quality import quality_report
 from flightlake.operators.snapshot import latest_nonempty_snapshot
 from flightlake.operators.weather_risk import (KEY, add_forecast_key, forecast_lookup,
@@ -28,7 +28,7 @@ from flightlake.operators.weather_risk import (KEY, add_forecast_key, forecast_l
 from flightlake.plans import planner
 from flightlake.plans.board import arrivals_table, flight_picker
 from flightlake.plans.tracker import current_position, future_path, sampled_trail
-from flightlake.schemas import SCORED_METRICS
+from flightlake.schemas import SCHEDULE_COLUMNS, SCORED_METRICS
 from flightlake.sources import fixtures as fx
 from flightlake.sources.airports import parse_airport_lines
 from flightlake.sources.board import board_entries, board_rows, parse_board_text
@@ -36,7 +36,8 @@ from flightlake.sources.detail import detail_flat, parse_detail_text, trail_rows
 from flightlake.sources.schedule import (drop_null_status, explode_records, flat_schedule,
                                          parse_schedule_text, scheduled_only)
 from flightlake.sources.sinks import decode_path, encode_path, trail_json
-from flightlake.sources.weather import unpivot_hours
+from flightlake.sources.pulls import newest_pull
+from flightlake.sources.weather import latest_pull, unpivot_hours
 
 TRAIL_EVERY = 10
 
@@ -82,6 +83,17 @@ def _scored(spark, d):
     return planner.plan_waypoints(_planned_legs(spark, d), w, w, cell_fn=fx.fixture_cell)
 
 
+def _scored_legs(spark, d, keep):
+    w = _weather(spark, d)
+    return planner.plan_waypoints(planner.identified(_planned_legs(spark, d)), w, w, cell_fn=fx.fixture_cell,
+                                  keep=(planner.LEG_KEY, *keep))
+
+
+def _repeated_legs(spark, d):
+    """Legs of a schedule with null and repeated flight numbers."""
+    return planner.leg_metrics(planner.prepare_schedule(fx.schedule_repeats_v(spark, d)), _unique(spark, d))
+
+
 def _schedule_records(spark, d):
     return explode_records(parse_schedule_text(fx.schedule_payloads(spark, d)))
 
@@ -209,12 +221,8 @@ def flight_label(spark, d):
 
 
 def planner_detail_subset(spark, d):
-    # The leg epochs ride along on the waypoint rows: no second leg computation.
     keep = ("flight_iata", "departure_epoch", "arrival_epoch")
-    w = _weather(spark, d)
-    scored = planner.plan_waypoints(_planned_legs(spark, d), w, w, cell_fn=fx.fixture_cell,
-                                    keep=keep)
-    paths = planner.path_with_risk(scored, key=keep)
+    paths = planner.path_with_risk(_scored_legs(spark, d, keep), keep=keep)
     return paths.select("flight_iata", "arrival_epoch", "departure_epoch",
                         planner.path_text(F.col("path"), "risk").alias("risk_path"))
 
@@ -283,12 +291,59 @@ def airport_markers_q(spark, d):
     return airport_markers(_planned_legs(spark, d))
 
 
+def sorted_markers_q(spark, d):
+    return sorted_markers(_repeated_legs(spark, d))
+
+
+def planner_table_q(spark, d):
+    w = _weather(spark, d)
+    t = planner.planner_table(planner.identified(_repeated_legs(spark, d)), w, w, cell_fn=fx.fixture_cell)
+    path = F.col("risk_path")
+    return t.select(*SCHEDULE_COLUMNS.values(), "departure_lat", "departure_lon", "arrival_lat", "arrival_lon", "departure_epoch",
+                    "arrival_epoch", "airport_distance", F.size(path).alias("n_points"),
+                    planner.path_text(F.col("flight_path"), "t").alias("path_times"),
+                    planner.path_text(path, "risk").alias("risk_path"), planner.path_text(path, "band").alias("band_path"))
+
+
+def leg_rejects_q(spark, d):
+    r = planner.leg_rejects(fx.schedule_repeats_v(spark, d), _unique(spark, d))
+    return r.select("flight_number", "flight_iata", "departure_iata", "arrival_iata", "reject_reason")
+
+
+def weather_latest_pull(spark, d):
+    w = latest_pull(fx.weather_pulls_v(spark, d), metrics=SCORED_METRICS)
+    return w.select("cell", "ts_hour", *SCORED_METRICS, "pull")
+
+
+def trail_repeated_pull(spark, d):
+    """Every tenth fix of flights that were pulled twice: the older pull does not count."""
+    t = _trail(spark, d)
+    pulled = t.withColumn("pull", F.lit(2)).unionByName(
+        t.where(F.col("time") % 2 == 0).withColumn("pull", F.lit(1)))
+    s = sampled_trail(newest_pull(pulled, "flight_id"), TRAIL_EVERY)
+    return s.select("rn", *FIX_COLS)
+
+
+def weather_risk_options(spark, d):
+    """Risk by the true hour, NaN history omitted, low visibility ranked as the risk."""
+    w = _weather(spark, d).withColumn("visibility", F.when(F.col("ts_hour") % 7 == 0, F.lit(float("nan")))
+                                      .otherwise(F.col("visibility")))
+    pts = planner.waypoints(_planned_legs(spark, d)).withColumn("cell", fx.fixture_cell("lat", "lon"))
+    keys = add_forecast_key(pts, hour_anchor="utc").select(*KEY).distinct()
+    return key_risk(keys, w, w, nan_policy="omit", invert=("visibility",)).select(*KEY, "risk")
+
+
+def epoch_to_text_zone(spark, d):
+    b = fx.board_v(spark, d)
+    return b.select("pos", epoch_to_text("sched_dep", "+05:30").alias("departure_time"))
+
+
 def flight_picker_lastwins(spark, d):
     return flight_picker(_arrivals(spark, d))
 
 
 def path_with_risk_q(spark, d):
-    p = planner.path_with_risk(_scored(spark, d))
+    p = planner.path_with_risk(_scored_legs(spark, d, ("flight_iata",)), keep=("flight_iata",))
     return p.select("flight_iata", F.size("path").alias("n_points"),
                     planner.path_text(F.col("path"), "risk").alias("risk_path"),
                     planner.path_text(F.col("path"), "band").alias("band_path"))
@@ -455,6 +510,14 @@ QUERIES: dict[str, Query] = {
     "ordered_leg_times": ordered_leg_times,         # M10
     "risk_band": risk_band_q,                       # M13
     "regex_extract_times": regex_extract_times,     # M15
+    # pulls, leg identity and options
+    "weather_latest_pull": weather_latest_pull,     # S6, S7
+    "trail_repeated_pull": trail_repeated_pull,     # Q5: W1
+    "weather_risk_options": weather_risk_options,   # A1, A2
+    "epoch_to_text_zone": epoch_to_text_zone,       # M7
+    "planner_table": planner_table_q,               # S8, A6, J6
+    "leg_rejects": leg_rejects_q,                   # F5
+    "sorted_markers": sorted_markers_q,             # L2
     # user-level
     "planner_flagship": planner_flagship,           # Q1
 }

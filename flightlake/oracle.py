@@ -578,6 +578,67 @@ FROM (
 )
 """
 
+# ------------------------------------------------------------------ pulls, leg identity and options
+ORACLE_SQL["weather_latest_pull"] = _with(_WEATHER) + """
+SELECT cell, ts_hour,
+       precipitation + CASE WHEN (ts_hour // 3600) % 3 = 0 THEN 1 ELSE 0 END AS precipitation,
+       visibility, snow_depth,
+       CAST(CASE WHEN (ts_hour // 3600) % 3 = 0 THEN 2 ELSE 1 END AS BIGINT) AS pull
+FROM wv
+"""
+
+ORACLE_SQL["trail_repeated_pull"] = ORACLE_SQL["trail_every_nth"]
+
+_OMIT = _PLANNED.replace("""leg_start - (leg_start % 86400)
+           + (CAST(trunc(CAST(t - leg_start AS DOUBLE) / CAST(3600 AS DOUBLE)) AS BIGINT)) * 3600 AS fts""",
+                         "t - (t % 3600) AS fts")
+_OMIT = _OMIT.replace("round(max(value), 2) AS visibility",
+                      "CASE WHEN (e - (e % 3600)) % 7 = 0 THEN CAST('NaN' AS DOUBLE) ELSE round(max(value), 2) END AS visibility")
+_OMIT = _OMIT.replace("h.visibility < k.s_visibility", "h.visibility > k.s_visibility")
+_OMIT = _OMIT.replace("h.visibility <= k.s_visibility", "h.visibility >= k.s_visibility")
+for _m in ("precipitation", "visibility", "snow_depth"):
+    _OMIT = _OMIT.replace(f"OR bad_{_m} > 0 OR n_hist = 0", f"OR n_hist - bad_{_m} = 0")
+    _OMIT = _OMIT.replace(f"CASE WHEN lt_{_m} < le_{_m} THEN 1 ELSE 0 END)\n              * (CAST(50 AS DOUBLE) / CAST(n_hist AS DOUBLE))",
+                          f"CASE WHEN lt_{_m} < le_{_m} THEN 1 ELSE 0 END)\n              * (CAST(50 AS DOUBLE) / CAST(n_hist - bad_{_m} AS DOUBLE))")
+ORACLE_SQL["weather_risk_options"] = _OMIT + "SELECT cell, day0, fts, risk FROM kr"
+
+ORACLE_SQL["epoch_to_text_zone"] = _with(_BOARD) + f"""
+SELECT pos, {_txt('sched_dep + 19800')} AS departure_time FROM board_v
+"""
+
+# Repeated and missing flight numbers: legs are told apart by the order key.
+_REPEATS = _PLANNED.replace("'FL' || k AS flight_iata", "CAST(k AS VARCHAR) AS flight_iata")
+_NUMBER = "CASE WHEN l.k % 17 <> 0 THEN 'FL' || (l.k % 500) END"
+
+ORACLE_SQL["planner_table"] = _REPEATS + f"""
+SELECT strftime(make_timestamp(l.departure_epoch * 1000000), '%Y-%m-%d') AS flight_date, l.flight_status,
+       l.departure_airport, l.departure_iata, 'ICAO' || l.departure_iata AS departure_icao,
+       {_iso_sql('l.departure_epoch', 'l.k % 3')} AS departure_scheduled, CAST(NULL AS VARCHAR) AS departure_estimated,
+       l.arrival_airport, l.arrival_iata, 'ICAO' || l.arrival_iata AS arrival_icao,
+       {_iso_sql('l.arrival_epoch', 'l.k % 3')} AS arrival_scheduled, CAST(NULL AS VARCHAR) AS arrival_estimated,
+       o.o_orderpriority AS airline_name, 'A' || substr(o.o_orderpriority, 1, 1) AS airline_iata,
+       'AL' || substr(o.o_orderpriority, 1, 1) AS airline_icao, CAST(l.k AS VARCHAR) AS flight_number,
+       {_NUMBER} AS flight_iata, 'FLT' || l.k AS flight_icao,
+       l.departure_lat, l.departure_lon, l.arrival_lat, l.arrival_lon, l.departure_epoch, l.arrival_epoch,
+       l.airport_distance, p.n_points, p.path_times, p.risk_path, p.band_path
+FROM legs l JOIN orders o ON o.o_orderkey = l.k JOIN (
+  SELECT flight_iata, CAST(count(*) AS INTEGER) AS n_points, string_agg(CAST(t AS VARCHAR), '|' ORDER BY idx) AS path_times,
+         string_agg(CAST(risk AS VARCHAR), '|' ORDER BY idx) AS risk_path, string_agg(band, '|' ORDER BY idx) AS band_path
+  FROM banded GROUP BY flight_iata) p ON p.flight_iata = l.flight_iata
+"""
+
+ORACLE_SQL["leg_rejects"] = _with(_AIRPORTS, _FLIGHTS) + """
+SELECT CAST(l.k AS VARCHAR) AS flight_number, CASE WHEN l.k % 17 <> 0 THEN 'FL' || (l.k % 500) END AS flight_iata,
+       l.departure_iata, l.arrival_iata,
+       CASE WHEN d.code IS NULL THEN 'departure_code' ELSE 'arrival_code' END AS reject_reason
+FROM flights l LEFT JOIN uniq d ON l.departure_iata = d.code LEFT JOIN uniq a ON l.arrival_iata = a.code
+WHERE d.code IS NULL OR a.code IS NULL
+"""
+
+ORACLE_SQL["sorted_markers"] = ORACLE_SQL["airport_markers"].replace("arg_min(departure_lat, flight_iata)", "min(departure_lat)") \
+    .replace("arg_min(departure_lon, flight_iata)", "min(departure_lon)").replace("arg_min(arrival_lat, flight_iata)", "min(arrival_lat)") \
+    .replace("arg_min(arrival_lon, flight_iata)", "min(arrival_lon)")
+
 # ------------------------------------------------------------------ user-level
 ORACLE_SQL["planner_flagship"] = _PLANNED + """
 SELECT flight_iata, idx, lat, lon, t, risk, band FROM banded

@@ -24,6 +24,8 @@ from flightlake.session import materialize
 from flightlake.sources.schedule import drop_null_status, scheduled_only
 
 FLIGHT_KEY = "flight_iata"
+# Names one leg; flight numbers repeat from day to day and may be null.
+LEG_KEY = "leg_id"
 
 
 def prepare_schedule(schedule: DataFrame, statuses: Sequence[str] | None = ("scheduled",),
@@ -64,6 +66,26 @@ def leg_metrics(schedule: DataFrame, unique_airports: DataFrame,
     return legs
 
 
+def identified(legs: DataFrame) -> DataFrame:
+    """Legs with ``leg_id``, written once so that the id is the same wherever they are read.
+
+    Date, number, codes, epochs and pull do not tell legs apart for certain (pages
+    overlap, numbers are missing): the id is a row id of the written table.
+    """
+    return materialize(legs.withColumn(LEG_KEY, F.monotonically_increasing_id()), "legs")
+
+
+def planner_table(legs: DataFrame, observed: DataFrame, forecast: DataFrame, **plan_options) -> DataFrame:
+    """The planner's product: one row per leg with schedule columns, coordinates, epochs,
+    distance, ``flight_path`` and its ``risk_path`` (S8, A6).
+
+    ``legs`` come from ``identified``; ``plan_options`` go to ``plan_waypoints``.
+    """
+    scored = plan_waypoints(legs, observed, forecast, keep=(LEG_KEY,), **plan_options)
+    paths = path_with_risk(scored).select(LEG_KEY, F.col("path").alias("risk_path"))
+    return legs.drop("n_segments").join(paths, LEG_KEY, "left")
+
+
 def leg_rejects(schedule: DataFrame, unique_airports: DataFrame) -> DataFrame:
     """Flights that cannot be planned, with the reason (unresolved code or bad time)."""
     dep_ok = unique_airports.select(F.col("code").alias("_dc"))
@@ -119,14 +141,13 @@ def plan_waypoints(legs: DataFrame, observed: DataFrame, forecast: DataFrame,
                          risk_band(F.col("risk")).alias("band"))
 
 
-def path_with_risk(scored: DataFrame, key: str | Sequence[str] = FLIGHT_KEY) -> DataFrame:
+def path_with_risk(scored: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Per leg, the ordered path with risk and band re-assembled.
 
-    ``key`` must identify one leg (e.g. flight number plus date when the
-    schedule spans several days).  Arrays per leg are bounded by the segment
-    count (at most 31 points), so the collect never grows with the data.
+    ``scored`` carries ``leg_id`` (see ``identified``), which names one leg, so an
+    array holds at most 31 points.  ``keep`` are further columns of the leg.
     """
-    keys = [key] if isinstance(key, str) else list(key)
+    keys = [LEG_KEY, *keep]
     pts = F.array_sort(F.collect_list(F.struct("idx", "lat", "lon", "t", "risk", "band")))
     return scored.groupBy(*keys).agg(pts.alias("path"))
 

@@ -7,11 +7,16 @@ from pyspark.sql import functions as F
 
 from flightlake.functions.geo import path_points
 from flightlake.operators.sampling import latest_fix, sample_every_nth
+from flightlake.session import materialize
 
 
-def sampled_trail(trail: DataFrame, every: int = 10) -> DataFrame:
-    """Every ``every``-th fix of each flight, newest first."""
-    return sample_every_nth(trail, every)
+def sampled_trail(trail: DataFrame, every: int = 10, written: bool = False) -> DataFrame:
+    """Every ``every``-th fix of each flight, newest first.
+
+    Row numbers and bucket counts both read the trail: it is written once, so a
+    payload is parsed once (``written``: it comes from a table already).
+    """
+    return sample_every_nth(trail if written else materialize(trail, "trail"), every)
 
 
 def current_position(trail: DataFrame) -> DataFrame:

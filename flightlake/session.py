@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -61,7 +63,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         sc = None
     if not configured:
         master = (sc.master if sc is not None else spark.conf.get("spark.master", "")) or ""
-        if not master.startswith("local"):
+        # "local-cluster" has executors of their own: it needs the setting like any cluster.
+        if master != "local" and not master.startswith("local["):
             raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster "
                              f"(master {master!r}); a machine-local folder would be lost "
                              "with its executor")
@@ -77,9 +80,28 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+_RUN: list[str] = []
+
+
 def table_path(spark: SparkSession, name: str) -> str:
     """A location for an intermediate table inside the shared checkpoint folder."""
-    return os.path.join(checkpoint_dir(spark), name)
+    return os.path.join(checkpoint_dir(spark), *_RUN, name)
+
+
+@contextmanager
+def run_folder(spark: SparkSession):
+    """Intermediates written inside the block go to a folder of their own, removed at its end.
+
+    For jobs that finish inside the block (the commands, a refresh batch).
+    """
+    _RUN.append(f"run-{uuid.uuid4().hex}")
+    path = os.path.join(checkpoint_dir(spark), *_RUN)
+    try:
+        yield path
+    finally:
+        _RUN.pop()
+        jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+        jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
 
 
 def materialize(df, name: str):
@@ -89,8 +111,6 @@ def materialize(df, name: str):
     once) and to cut long lineages: a lost executor then recomputes from the
     written table, not from the sources.
     """
-    import uuid
-
     spark = df.sparkSession
     path = table_path(spark, f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)

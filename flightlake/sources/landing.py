@@ -12,25 +12,35 @@ from pyspark.sql import functions as F
 
 from flightlake.functions.text import normalize_strings
 from flightlake.functions.timefn import SECONDS_PER_DAY, iso_to_epoch
-from flightlake.sources.schedule import flat_schedule, read_schedule
-from flightlake.sources.weather import read_weather
+from flightlake.operators.flatten import flatten_by_map
+from flightlake.schemas import SCHEDULE_COLUMNS
+from flightlake.session import materialize
+from flightlake.sources.schedule import read_schedule
+from flightlake.sources.weather import latest_pull, read_weather
 
 
-def schedule_table(records: DataFrame) -> DataFrame:
+# Most files of a partition that one landing writes.
+FILES_PER_DAY = 4
+
+
+def schedule_table(records: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Flat, whitespace-cleaned schedule with UTC epochs of both scheduled times."""
-    flat = normalize_strings(flat_schedule(records))
+    flat = normalize_strings(flatten_by_map(records, SCHEDULE_COLUMNS | {c: c for c in keep}))
     return flat.withColumns({"departure_epoch": iso_to_epoch("departure_scheduled"),
                              "arrival_epoch": iso_to_epoch("arrival_scheduled")})
 
 
 def land_schedule(spark: SparkSession, json_path: str, out_path: str,
                   mode: str = "append", multiline: bool = True) -> None:
-    """Landed schedule envelopes -> parquet partitioned by ``flight_date``.
+    """Landed schedule envelopes -> parquet partitioned by ``pull`` and ``flight_date``.
 
     ``multiline=False`` for files holding one envelope per line.
     """
-    table = schedule_table(read_schedule(spark, json_path, multiline))
-    table.write.mode(mode).partitionBy("flight_date").parquet(out_path)
+    records = read_schedule(spark, json_path, multiline)
+    table = schedule_table(records, keep=("pull",))
+    # One task per date and slice of its flights: files follow the data, not the tasks.
+    spread = F.pmod(F.xxhash64("flight_number", "flight_iata", "departure_epoch"), F.lit(FILES_PER_DAY))
+    _replace_partitions(table.repartition("flight_date", spread), out_path, ("pull", "flight_date"), mode)
 
 
 def land_weather(spark: SparkSession, json_path: str, out_path: str,
@@ -42,4 +52,23 @@ def land_weather(spark: SparkSession, json_path: str, out_path: str,
     """
     rows = read_weather(spark, json_path, resolution_deg)
     rows = rows.withColumn("day", F.floor(F.col("ts_hour") / F.lit(SECONDS_PER_DAY)))
-    rows.write.mode(mode).partitionBy("day").parquet(out_path)
+    if mode == "append" and _exists(spark, out_path):
+        # Hours that are landed already: the newest pull of each stays.
+        days = materialize(rows.select("day").distinct(), "landed-days")
+        old = spark.read.parquet(out_path).join(days, "day", "left_semi").select(*rows.columns)
+        rows = materialize(latest_pull(rows.unionByName(old), keys=("cell", "ts_hour", "day")), "landed-weather")
+    spread = F.pmod(F.xxhash64("cell"), F.lit(FILES_PER_DAY))
+    _replace_partitions(rows.repartition("day", spread), out_path, ("day",), mode)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
+def _replace_partitions(rows: DataFrame, path: str, by: tuple[str, ...], mode: str) -> None:
+    """Write partitions; with ``append`` only those that ``rows`` holds are replaced, so a re-run adds nothing."""
+    writer = rows.write.mode("overwrite").partitionBy(*by)
+    if mode == "append":
+        writer = writer.option("partitionOverwriteMode", "dynamic")
+    writer.parquet(path)

@@ -6,11 +6,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flightlake.schemas import SCHEDULE_COLUMNS, SCHEDULE_ENVELOPE
+from flightlake.sources.pulls import newest_nonempty, pull_name
 
 
 def read_schedule_envelopes(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
-    """Landed schedule files, one envelope per file (or per line)."""
-    return spark.read.schema(SCHEDULE_ENVELOPE).option("multiLine", multiline).json(path)
+    """Landed schedule files, one envelope per file (or per line), with the ``pull`` they belong to."""
+    return (spark.read.schema(SCHEDULE_ENVELOPE).option("multiLine", multiline).json(path)
+            .withColumn("pull", pull_name()))
 
 
 def parse_schedule_text(df: DataFrame, text_col: str = "payload") -> DataFrame:
@@ -20,16 +22,21 @@ def parse_schedule_text(df: DataFrame, text_col: str = "payload") -> DataFrame:
 
 
 def explode_records(envelopes: DataFrame) -> DataFrame:
-    """One row per schedule record; the page's pagination is kept as ``pagination``."""
-    return (envelopes.select("pagination", F.explode("data").alias("_r"))
-            .select("pagination", "_r.*"))
+    """One row per schedule record; the page's pagination (and pull, if known) is kept."""
+    keep = ["pagination", *(c for c in ("pull",) if c in envelopes.columns)]
+    return envelopes.select(*keep, F.explode("data").alias("_r")).select(*keep, "_r.*")
 
 
 def read_schedule(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
-    """Landed envelopes -> one row per record with the nested record schema."""
+    """Landed envelopes -> one row per record with the nested record schema (all pulls)."""
     return explode_records(read_schedule_envelopes(spark, path, multiline)).drop("pagination")
 
 
+def read_newest_schedule(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+    """The records of the newest non-empty pull: what the planner plans."""
+    return explode_records(newest_nonempty(read_schedule_envelopes(spark, path, multiline))).drop("pagination")
+
+
 def flat_schedule(records: DataFrame) -> DataFrame:
     """The 18-column planner table."""
     from flightlake.operators.flatten import flatten_by_map

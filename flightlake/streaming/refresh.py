@@ -1,9 +1,11 @@
 """Periodic planner refresh as a Structured Streaming job.
 
 Schedule envelopes land as files in a folder.  A file-source stream picks up
-each new file exactly once (the checkpoint records what was read); every
-micro-batch is planned as a whole new pull and written to a versioned output
-folder, then a small pointer is moved to it.  Batches whose envelopes are all
+each new file exactly once (the checkpoint records what was read).  Of a
+micro-batch the newest non-empty pull is planned (see ``sources.pulls``) and
+written to a versioned output folder, then a marker of that version is written.
+Markers are never changed or removed: the current plan is the one with the
+greatest complete marker, at every moment.  Batches whose envelopes are all
 empty are skipped, so the last good plan stays current.  Run it on a schedule
 with ``trigger(availableNow=True)``: each run drains what has landed and stops.
 """
@@ -12,15 +14,18 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from flightlake.plans import planner
 from flightlake.schemas import SCHEDULE_ENVELOPE
+from flightlake.session import run_folder
+from flightlake.sources.pulls import newest_nonempty, pull_name
 from flightlake.sources.schedule import explode_records, flat_schedule
 
-POINTER = "_current"
+MARKERS = "_versions"
 
 
 def plan_snapshot(envelopes: DataFrame, unique_airports: DataFrame, observed: DataFrame,
@@ -32,7 +37,7 @@ def plan_snapshot(envelopes: DataFrame, unique_airports: DataFrame, observed: Da
     ``plan_options`` go to ``planner.plan_waypoints`` (``hour_anchor``,
     ``nan_policy``, ``invert``, ``keep``, ...).
     """
-    good = envelopes.filter(F.size("data") > 0)
+    good = newest_nonempty(envelopes) if "pull" in envelopes.columns else envelopes.filter(F.size("data") > 0)
     schedule = flat_schedule(explode_records(good))
     legs = planner.leg_metrics(planner.prepare_schedule(schedule, statuses), unique_airports,
                                segments=segments)
@@ -52,19 +57,20 @@ def start_refresh(spark: SparkSession, landing_dir: str, out_dir: str, checkpoin
     ...) are the same as for the batch planner.
     """
     envelopes = (spark.readStream.schema(SCHEDULE_ENVELOPE).option("multiLine", True)
-                 .json(landing_dir))
+                 .json(landing_dir).withColumn("pull", pull_name()))
 
     def plan_batch(batch: DataFrame, epoch_id: int) -> None:
         if batch.filter(F.size("data") > 0).isEmpty():
             return  # empty pull: keep the last good plan
-        plan = plan_snapshot(batch, unique_airports, observed, forecast, cell_fn, past_days,
-                             statuses, segments, **plan_options)
+        session = batch.sparkSession
         version = f"{out_dir}/v{epoch_id:08d}"
-        # Re-running an epoch after a failure rewrites the same version: idempotent.
-        plan.write.mode("overwrite").parquet(version)
-        pointer = batch.sparkSession.createDataFrame([(version, int(epoch_id))],
-                                                     "path string, epoch long")
-        pointer.coalesce(1).write.mode("overwrite").json(f"{out_dir}/{POINTER}")
+        with run_folder(session):
+            plan = plan_snapshot(batch, unique_airports, observed, forecast, cell_fn, past_days,
+                                 statuses, segments, **plan_options)
+            # Re-running an epoch after a failure rewrites the same version: idempotent.
+            plan.write.mode("overwrite").parquet(version)
+        marker = session.createDataFrame([(version, int(epoch_id))], "path string, epoch long")
+        marker.coalesce(1).write.mode("overwrite").json(f"{out_dir}/{MARKERS}/epoch={epoch_id:08d}")
 
     writer = (envelopes.writeStream.foreachBatch(plan_batch)
               .option("checkpointLocation", checkpoint_location))
@@ -76,9 +82,15 @@ def start_refresh(spark: SparkSession, landing_dir: str, out_dir: str, checkpoin
 
 
 def read_current_plan(spark: SparkSession, out_dir: str) -> DataFrame | None:
-    """The plan the pointer names, or None before the first good refresh."""
+    """The plan of the greatest complete marker, or None before the first good refresh.
+
+    Only a missing marker folder means "no plan"; any other error is raised.
+    """
     try:
-        ptr = spark.read.schema("path string, epoch long").json(f"{out_dir}/{POINTER}").first()
-    except Exception:  # noqa: BLE001 - no pointer yet
-        return None
-    return spark.read.parquet(ptr["path"]) if ptr else None
+        markers = spark.read.schema("path string, epoch long").json(f"{out_dir}/{MARKERS}/*")
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    newest = markers.agg(F.max_by("path", "epoch").alias("path")).first()
+    return spark.read.parquet(newest["path"]) if newest and newest["path"] else None

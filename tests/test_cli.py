@@ -6,6 +6,13 @@ from flightlake.__main__ import main
 from tests.test_goldens import AIRPORTS_DAT, BOARD, SCHEDULE, _detail
 
 
+def ckpt_runs(spark):
+    from pathlib import Path
+
+    from flightlake.session import checkpoint_dir
+    return Path(checkpoint_dir(spark)).glob("run-*")
+
+
 def test_cli_jobs(spark, tmp_path):
     (tmp_path / "airports.dat").write_text(AIRPORTS_DAT)
     (tmp_path / "sched").mkdir()
@@ -23,6 +30,10 @@ def test_cli_jobs(spark, tmp_path):
           "--weather", str(tmp_path / "weather"), "--past-days", "7", "--out", out + "/plan"])
     wp = spark.read.parquet(out + "/plan/waypoints")
     assert {r.flight_iata for r in wp.select("flight_iata").distinct().collect()} == {"R1", "R8", "R9"}
+    table = spark.read.parquet(out + "/plan/plan")
+    assert table.count() == 3 and {"flight_path", "risk_path", "airport_distance", "departure_lat"} <= set(table.columns)
+    assert spark.read.parquet(out + "/plan/rejects").where("reject_reason IS NULL").count() == 0
+    assert not list(ckpt_runs(spark))  # intermediates go with the job
     assert wp.count() == 12 and spark.read.parquet(out + "/plan/markers").count() > 0
 
     main(["board", "--boards", str(tmp_path / "board.json"), "--airports", a,

@@ -226,8 +226,7 @@ def test_weather_payload_unpivot(spark, tmp_path):
                            "visibility", "weather_code", "lifted_index"]):
         hourly[m] = [float(10 * j + i) for i in range(3)]
     p.write_text(json.dumps({"latitude": 10.1, "longitude": 20.2, "hourly": hourly}))
-    rows = read_weather(spark, str(p)).orderBy("hour_index").collect()
-    assert [r["hour_index"] for r in rows] == [0, 1, 2]
+    rows = read_weather(spark, str(p)).orderBy("ts_hour").collect()
     assert [r["precipitation"] for r in rows] == [20.0, 21.0, 22.0]
     assert rows[1]["ts_hour"] == 1709254800
     assert rows[0]["cell"] == (math.floor((10.1 + 90) / 0.25)) * 1440 + math.floor((20.2 + 180) / 0.25)
@@ -285,7 +284,7 @@ def test_landing_tables(spark, files, tmp_path):
     r1 = t.filter("flight_iata = 'R1'").first()
     assert r1["departure_airport"] == "Alpha Intl" and r1["departure_epoch"] == 1709287200
     plan = t.filter("flight_date = '2024-03-01'")._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters" in plan
+    assert "PartitionFilters: [isnotnull(flight_date" in plan and "= 2024-03-01" in plan
     # landed tables are already clean: the status filter reaches the parquet scan
     ready = planner.prepare_schedule(t, normalize=False)
     plan = ready._jdf.queryExecution().executedPlan().toString()
@@ -304,3 +303,59 @@ def test_landing_tables(spark, files, tmp_path):
     land_weather(spark, str(w), wout, mode="overwrite")
     days = sorted(r["day"] for r in spark.read.parquet(wout).select("day").distinct().collect())
     assert days == [19783, 19784]
+    # landing the same file again adds no row, a newer pull replaces the hours it holds
+    land_weather(spark, str(w), wout)
+    assert spark.read.parquet(wout).count() == 30
+    hourly["precipitation"] = [9.0] * 30
+    newer = tmp_path / "w2.json"
+    newer.write_text(json.dumps({"latitude": 1.0, "longitude": 2.0, "hourly": {k: v[24:] for k, v in hourly.items()}}))
+    import os
+    os.utime(newer, (2_000_000_000, 2_000_000_000))
+    land_weather(spark, str(newer), wout)
+    values = sorted((r["ts_hour"], r["precipitation"]) for r in spark.read.parquet(wout).collect())
+    assert len(values) == 30 and [p for _, p in values] == [1.0] * 24 + [9.0] * 6
+    files = [f for _, _, names in os.walk(wout) for f in names if f.endswith(".parquet")]
+    assert len(files) <= 2 * 4
+    land_schedule(spark, str(files_again(files_dir := tmp_path / "again")), str(tmp_path / "s2"))
+    land_schedule(spark, str(files_dir), str(tmp_path / "s2"))
+    assert spark.read.parquet(str(tmp_path / "s2")).count() == 9
+
+
+def files_again(folder):
+    folder.mkdir()
+    (folder / "p.json").write_text(json.dumps(SCHEDULE))
+    return folder
+
+
+def test_weather_latest_pull(spark):
+    from flightlake.sources.weather import latest_pull
+    rows = [(1, 0, 5.0, 1), (1, 0, 7.0, 2), (1, 0, 7.0, 2), (1, 3600, 3.0, 1), (2, 0, None, 4), (2, 0, 1.0, 3)]
+    df = spark.createDataFrame(rows, "cell long, ts_hour long, precipitation double, pull long")
+    got = sorted(tuple(r) for r in latest_pull(df, metrics=["precipitation"]).collect())
+    assert [(c, t, p) for c, t, p, _ in got] == [(1, 0, 7.0), (1, 3600, 3.0), (2, 0, None)]
+
+
+def test_grid_cell_edges(spark):
+    from flightlake.functions.geo import grid_cell
+    points = [(10.0, 180.0), (10.0, -180.0), (10.25, -180.0), (90.0, 0.0), (89.9, 0.0), (-90.0, -180.0), (0.1, 179.9)]
+    df = spark.createDataFrame(points, "lat double, lon double").select(grid_cell("lat", "lon").alias("c"))
+    c = [r.c for r in df.collect()]
+    assert c[0] == c[1] != c[2] and c[3] == c[4] and c[5] == 0 and c[6] == 360 * 1440 + 1439
+
+
+def test_markers_without_flight_numbers(spark):
+    from flightlake.operators.markers import sorted_markers
+    rows = [(None, "A", "B", 1.0, 2.0, 3.0, 4.0, 5, 6, "AA", "BB"), (None, "A", "C", None, None, 7.0, 8.0, 5, 6, "AA", "CC")]
+    legs = spark.createDataFrame(rows, "flight_iata string, departure_airport string, arrival_airport string, "
+                                       "departure_lat double, departure_lon double, arrival_lat double, arrival_lon double, "
+                                       "departure_epoch long, arrival_epoch long, departure_iata string, arrival_iata string")
+    got = [tuple(r) for r in sorted_markers(legs).collect()]
+    assert got == [("departure", "A", 1.0, 2.0), ("arrival", "B", 3.0, 4.0), ("arrival", "C", 7.0, 8.0)]
+
+
+def test_legs_with_null_numbers_keep_their_own_paths(spark):
+    from flightlake.plans import planner as plan
+    rows = [(i, j, float(i), 0.0, j, 1.0, "white") for i in range(400) for j in range(4)]
+    scored = spark.createDataFrame(rows, "leg_id long, idx int, lat double, lon double, t long, risk double, band string")
+    sizes = [len(r.path) for r in plan.path_with_risk(scored).collect()]
+    assert sizes == [4] * 400

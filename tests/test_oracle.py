@@ -10,8 +10,9 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 
 def _keys():
-    from __spark_entry__ import oracle_sql, queries
-    return sorted(queries()), oracle_sql()
+    from flightlake.catalog import QUERIES
+    from flightlake.oracle import ORACLE_SQL
+    return sorted(QUERIES), ORACLE_SQL
 
 
 KEYS, SQL = _keys()

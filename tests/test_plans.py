@@ -13,8 +13,8 @@ def _plan(df):
 
 
 def _keys():
-    from __spark_entry__ import queries
-    return sorted(queries())
+    from flightlake.catalog import QUERIES
+    return sorted(QUERIES)
 
 
 @pytest.mark.parametrize("name", _keys())
@@ -34,19 +34,46 @@ def test_airport_lookup_is_broadcast_and_pruned(spark):
     assert "o_totalprice" not in plan and "o_orderdate" not in plan
 
 
-def test_status_filter_reaches_the_scan(spark):
-    from __spark_entry__ import queries
-    df = queries()["scheduled_only"](spark, SF_SMALL)
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "PushedFilters: [IsNotNull(o_orderstatus)" in plan or "o_orderstatus" in plan
+def test_status_filter_reaches_the_scan(spark, tmp_path):
+    from flightlake.sources.schedule import scheduled_only
+    path = str(tmp_path / "s")
+    spark.createDataFrame([("a", "scheduled"), ("b", None)], "flight_iata string, flight_status string").write.parquet(path)
+    plan = _plan(scheduled_only(spark.read.parquet(path)))
+    assert "PushedFilters: [IsNotNull(flight_status), EqualTo(flight_status,scheduled)]" in plan \
+        or "PushedFilters: [In(flight_status, [scheduled])]" in plan
 
 
-def test_history_join_is_equi_join_on_cell_and_day(spark):
-    from flightlake import catalog
-    df = catalog.weather_risk(spark, SF_SMALL)
-    plan = _plan(df)
-    assert "hday" in plan  # the trailing window is joined on (cell, day)
-    assert "Window" not in plan
+def test_history_join_keys_and_exchanges(spark):
+    """Without broadcasts: joined on (cell, day); keys are not shuffled per history day."""
+    import re
+
+    from flightlake.operators.weather_risk import key_risk
+
+    keys = spark.createDataFrame([(1, 86400 * 19750, 86400 * 19750)], "cell long, day0 long, fts long")
+    w = spark.createDataFrame([(1, 86400 * 19740, 1.0, 1.0, 0.0)],
+                              "cell long, ts_hour long, precipitation double, visibility double, snow_depth double")
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        risk = key_risk(keys, w, w)
+        plan = _plan(risk).split("Initial Plan")[-1]
+        joins = re.findall(r"SortMergeJoin \[(.*?)\], \[(.*?)\]", plan)
+        names = [re.sub(r"#\d+L?", "", a) for a, _ in joins]
+        assert "cell, hday" in names and "cell, day0" in names and "cell, fts" in names
+        # forecast (2), pairs for the days (1), history days (1) and their join side, windows (1), keys by window (1)
+        assert len(re.findall(r"Exchange hashpartitioning", plan)) <= 9
+        assert "Window" not in plan and "Cartesian" not in plan
+        assert risk.count() == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+
+
+def test_size_check_moves_no_rows_to_one_task(spark):
+    from flightlake.operators.broadcast import is_bounded
+    df = spark.range(5000)
+    assert is_bounded(df, 5000) and not is_bounded(df, 4999)
+    plan = _plan(df.groupBy().count())
+    assert "GlobalLimit" not in plan and "partial_count" in plan
 
 
 def test_weather_scan_prunes_day_partitions(spark, tmp_path):
@@ -81,8 +108,8 @@ def test_join_back_broadcast_and_salted_paths_agree(spark):
     pts = catalog.planner.waypoints(catalog._planned_legs(spark, SF_SMALL)).withColumn(
         "cell", fx.fixture_cell("lat", "lon"))
     w = fx.weather_v(spark, SF_SMALL)
-    small = score_waypoints(pts, w, w, past_days=7)
-    salted = score_waypoints(pts, w, w, past_days=7, max_broadcast_keys=0, salt_buckets=4)
+    small = score_waypoints(pts, w, w)
+    salted = score_waypoints(pts, w, w, max_broadcast_keys=0, salt_buckets=4, hot_key_points=2)
     assert "BroadcastHashJoin" in _plan(small)
     assert sorted(map(tuple, small.collect())) == sorted(map(tuple, salted.collect()))
 

@@ -19,7 +19,7 @@ def test_plan_roundtrip(spark, tmp_path):
 
 
 def test_path_with_risk_is_ordered(spark):
-    scored = catalog._scored(spark, SF_SMALL)
+    scored = catalog._scored_legs(spark, SF_SMALL, ())
     p = planner.path_with_risk(scored).first()["path"]
     assert [x["idx"] for x in p] == [0, 1, 2, 3]
 

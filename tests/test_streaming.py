@@ -32,19 +32,27 @@ def test_refresh_stream(spark, tmp_path):
         q.awaitTermination(120)
         assert q.exception() is None
 
-    (land / "p1.json").write_text(_env([("F1", "AAA", "BBB")]))
-    (land / "p2.json").write_text(_env([("F2", "BBB", "AAA")]))
+    assert read_current_plan(spark, out) is None
+    # two pulls between runs: only the newer one is planned, with all its pages
+    for pull, page, flight in (("1", "a", "F0"), ("2", "a", "F1"), ("2", "b", "F2")):
+        (land / f"pull={pull}").mkdir(exist_ok=True)
+        (land / f"pull={pull}" / f"{page}.json").write_text(_env([(flight, "AAA", "BBB")]))
     run()
     first = read_current_plan(spark, out)
     assert sorted({r.flight_iata for r in first.collect()}) == ["F1", "F2"]
+    # a plan that was written without its marker (a crash in between) is not current
+    first.limit(0).write.parquet(out + "/v99999999")
+    assert read_current_plan(spark, out).count() == 8
 
-    (land / "p3.json").write_text(_env([("F3", "AAA", "BBB")]))
+    (land / "pull=3").mkdir()
+    (land / "pull=3" / "a.json").write_text(_env([("F3", "AAA", "BBB")]))
     run()
     second = read_current_plan(spark, out)
     assert {r.flight_iata for r in second.collect()} == {"F3"}  # only the new file
     assert second.count() == 4
 
-    (land / "p4.json").write_text(json.dumps({"pagination": {"count": 0}, "data": []}))
+    (land / "pull=4").mkdir()
+    (land / "pull=4" / "a.json").write_text(json.dumps({"pagination": {"count": 0}, "data": []}))
     run()
     third = read_current_plan(spark, out)
     assert {r.flight_iata for r in third.collect()} == {"F3"}  # empty pull ignored
