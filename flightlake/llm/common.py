@@ -18,11 +18,15 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+#: Row groups of intermediate tables: rows may hold packed megabytes, and a writer buffers a group.
+ROW_GROUP_BYTES = 16 << 20
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` under ``spark.checkpoint.dir`` and read it back (cuts lineage)."""
     spark = df.sparkSession
     path = table_path(spark, f"{name}-{uuid.uuid4().hex}")
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

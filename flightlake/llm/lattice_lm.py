@@ -40,7 +40,7 @@ from flightlake.llm.pieces import SPACE, load_pieces
 from flightlake.llm.textkit import prefix_hash, span_hash
 
 #: Text bytes per vocabulary shard, documents of a batch, words of a lattice pass.
-SHARD_BYTES, BATCH_ROWS, LATTICE_WORDS = 24 << 20, 4096, 4096
+SHARD_BYTES, BATCH_ROWS, LATTICE_WORDS = 24 << 20, 1024, 2048
 #: Pieces longer than this many bytes are left out of the lattice.
 LONGEST = 18
 #: Rounds of expectation-maximisation, and pseudo-count of every piece and byte.
@@ -61,6 +61,8 @@ class Lattice:
         h = span_hash(prefix_hash(data), end - size, end)
         order = np.argsort(h)
         self.hashes, self.ids = h[order], np.array(self.index)[order]
+        self.seen = np.zeros(1 << 20, bool)  # most strings are no piece: told by the first bits of their hash
+        self.seen[(self.hashes >> np.uint64(44)).astype(np.int64)] = True
         self.sizes = sorted(set(size.tolist()))
         self.log_probs = log_probs  # pieces, then 256 bytes
 
@@ -74,8 +76,11 @@ class Lattice:
                 break
             at = starts[:, None] + np.arange(width - size + 1)[None, :]
             h = span_hash(sums, at, at + size)
+            rows, cols = np.nonzero(self.seen[(h >> np.uint64(44)).astype(np.int64)])
+            h = h[rows, cols]
             k = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-            found[:, size:, size] = np.where(self.hashes[k] == h, self.ids[k], -1)
+            same = self.hashes[k] == h
+            found[rows[same], cols[same] + size, size] = self.ids[k[same]]
         return found, data[starts[:, None] + np.arange(width)].astype(np.int32) + len(self.blobs)
 
     def forward(self, found: np.ndarray, single: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
