@@ -30,7 +30,7 @@ from flightlake.plans.board import arrivals_table, flight_picker
 from flightlake.plans.tracker import current_position, future_path, sampled_trail
 from flightlake.schemas import SCHEDULE_COLUMNS, SCORED_METRICS
 from flightlake.sources import fixtures as fx
-from flightlake.sources.airports import parse_airport_lines
+from flightlake.sources.airports import busy_airports, parse_airport_lines
 from flightlake.sources.board import board_entries, board_rows, parse_board_text
 from flightlake.sources.detail import detail_flat, parse_detail_text, trail_rows
 from flightlake.sources.schedule import (drop_null_status, explode_records, flat_schedule,
@@ -192,6 +192,11 @@ def busy_airport_semi_q(spark, d):
     return busy_airport_semi(b, busy, "airport_code").select("pos", "airport_code")
 
 
+def busy_list_boards(spark, d):
+    """Board entries at the airports of the built-in busy list."""
+    return busy_airport_semi(fx.busy_board_v(spark, d), busy_airports(spark), "airport_code").select("pos", "airport_code")
+
+
 # ------------------------------------------------------------------ projections
 def normalize_whitespace(spark, d):
     docs = normalize_strings(fx.table(spark, d, "documents").select("doc_id", "text"))
@@ -466,7 +471,8 @@ QUERIES: dict[str, Query] = {
     "weather_unpivot_hours": weather_unpivot_hours, # S6, S7, W3
     "path_json_roundtrip": path_json_roundtrip,     # S9, M14
     "latest_nonempty_snapshot": latest_nonempty_snapshot_q,  # S10, T2
-    "busy_airport_semi": busy_airport_semi_q,       # S11, J5
+    "busy_airport_semi": busy_airport_semi_q,       # J5
+    "busy_list_boards": busy_list_boards,           # S11, J5
     "trail_to_json": trail_to_json,                 # S12
     # projections
     "flatten_by_map": flatten_by_map,               # P1

@@ -11,11 +11,16 @@ def latest_nonempty_snapshot(snapshots: DataFrame, source: str = "source",
                              tiebreak: str | None = None) -> DataFrame:
     """For each source, the newest snapshot whose ``data`` array is not empty.
 
-    Empty payloads never replace the last good one; runs as one aggregate.
+    Empty payloads never replace the last good one.  ``tiebreak`` must tell snapshots of
+    one time apart; without it one of them is taken.
     """
-    order = F.struct(F.col(ingest), F.col(tiebreak)) if tiebreak else F.col(ingest)
-    cols = [c for c in snapshots.columns if c != source]
-    best = F.max_by(F.struct(*[F.col(c) for c in cols]), order)
-    return (snapshots.filter(F.size(F.col(data)) > 0)
-            .groupBy(source).agg(best.alias("_s"))
-            .select(source, "_s.*"))
+    good = snapshots.filter(F.size(F.col(data)) > 0)
+    names = [ingest, *([tiebreak] if tiebreak else [])]
+    # The newest (time, tie-break) of a source is found without its payload; the payload follows by a join.
+    newest = good.groupBy(F.col(source).alias("_source")).agg(
+        F.max(F.struct(*[F.col(c).alias(f"_{c}") for c in names])).alias("_newest")).select("_source", "_newest.*")
+    same = F.col(source).eqNullSafe(F.col("_source"))
+    for c in names:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    out = good.join(newest, same).select(source, *[c for c in snapshots.columns if c != source])
+    return out if tiebreak else out.dropDuplicates([source])

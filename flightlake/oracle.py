@@ -8,6 +8,8 @@ agreement is an independent check.  Fixture views are shared CTEs.
 
 from __future__ import annotations
 
+from flightlake.sources.airports import BUSY_AIRPORT_LIST
+
 # ------------------------------------------------------------------ shared CTEs
 _AIRPORTS = """
 airports_v AS (
@@ -326,6 +328,11 @@ SELECT pos, airport_code FROM board_v
 WHERE airport_code IN (SELECT iata FROM airports_v WHERE CAST(iata AS INTEGER) < 10)
 """
 
+_BUSY = ", ".join(f"'{code}'" for _, code in BUSY_AIRPORT_LIST)
+ORACLE_SQL["busy_list_boards"] = _with(_BOARD) + f"""
+SELECT pos, list_extract([{_BUSY}], CAST(pos % 60 AS INTEGER) + 1) AS airport_code FROM board_v WHERE pos % 60 < 50
+"""
+
 ORACLE_SQL["trail_to_json"] = _with(_TRAILS) + """
 SELECT flight_id, rn,
        CAST(to_json(struct_pack(lat := lat, lng := lng, alt := alt, spd := spd, time := time, hd := hd)) AS VARCHAR) AS fix_json

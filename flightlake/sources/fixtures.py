@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flightlake.functions.geo import grid_cell
+from flightlake.sources.airports import BUSY_AIRPORT_LIST
 
 # Fixed values of the fixture definitions.
 E0 = 1705363200  # 2024-01-16 00:00:00 UTC
@@ -264,6 +265,15 @@ def board_v(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def busy_board_v(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Board entries at real codes: 50 of 60 positions carry a code of the built-in busy list."""
+    codes = F.array(*[F.lit(code) for _, code in BUSY_AIRPORT_LIST])
+    place = (F.col("pos") % 60).cast("int")
+    return board_v(spark, sf_dir).withColumn(
+        "airport_code", F.when(place < len(BUSY_AIRPORT_LIST), F.get(codes, place)).otherwise(
+            F.concat(F.lit("X"), place)))
+
+
 def board_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Board pages as landed JSON text: per (airport, page of 100 keys) both lists."""
     b = board_v(spark, sf_dir)
