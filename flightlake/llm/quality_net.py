@@ -34,6 +34,8 @@ CHUNK, HALF = 256, 128
 WIDTH, DIMS, FILTERS, HIDDEN = 6, 4, 16, 8
 #: Most labelled rows of the fit, chunks of a text in an epoch, epochs, texts of a step, step size, seed.
 ROWS, CHUNKS, EPOCHS, BATCH, RATE, SEED = 4000, 8, 8, 32, 0.01, 11
+#: Least number of steps: small samples are gone over more often.
+LEAST_STEPS = 600
 SCORE_BLOCK = 1 << 18
 
 
@@ -145,7 +147,8 @@ def _step(net: dict[str, np.ndarray], data: np.ndarray, owner: np.ndarray, y: np
             "bias": np.array([d.sum()], np.float32)}
 
 
-def fit(sample: pd.DataFrame, epochs: int = EPOCHS, chunks: int = CHUNKS, seed: int = SEED) -> dict[str, np.ndarray]:
+def fit(sample: pd.DataFrame, epochs: int = EPOCHS, chunks: int = CHUNKS, seed: int = SEED,
+        least_steps: int = LEAST_STEPS) -> dict[str, np.ndarray]:
     """Fit the network to columns ``text`` and ``y`` of a bounded sample."""
     rng = np.random.default_rng(seed)
     net = new_net(rng)
@@ -159,7 +162,9 @@ def fit(sample: pd.DataFrame, epochs: int = EPOCHS, chunks: int = CHUNKS, seed:
     net["bias"][0] = np.log(share / (1 - share))
     m = {k: np.zeros_like(v) for k, v in net.items()}
     s = {k: np.zeros_like(v) for k, v in net.items()}
-    t, total = 0, epochs * -(-len(texts) // BATCH)
+    per_epoch = -(-len(texts) // BATCH)
+    epochs = max(epochs, -(-least_steps // per_epoch))
+    t, total = 0, epochs * per_epoch
     for _ in range(epochs):
         order = rng.permutation(len(texts))
         for lo in range(0, len(order), BATCH):

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flightlake.llm import (ann, lattice_lm, mixing, ngram_join, packing, quality_net, quality_rules, repeats,
-                            token_counts, toxicity)
+from flightlake.llm import (ann, lattice_lm, mixing, ngram_join, packing, quality_net, quality_rules, quality_rules_sql,
+                            repeats, token_counts, toxicity)
 from flightlake.llm.common import read_table, remainder
 
 #: Vocabulary files, by name.
@@ -70,7 +70,7 @@ def op9_lattice_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.robust_outliers(read_table(spark, sf_dir, "documents"))
+    return quality_rules.robust_outliers(read_table(spark, sf_dir, "documents")).drop("distance")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -97,4 +97,5 @@ ORACLE_SQL: dict[str, str] = {
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
             SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS rank FROM d)
         WHERE rank <= 10""",
+    "op10_robust_outliers": quality_rules_sql.sql(),
 }

@@ -134,8 +134,7 @@ def fit(sample: pd.DataFrame, features: int = FEATURES, swap: float = SWAP, step
         g = np.bincount(cols, weights=d[rows], minlength=k) + RIDGE * w
         if pairs and swap:
             change = (np.bincount(a_rows, weights=w[a_cols], minlength=len(pairs))
-                      - np.bincount(b_rows, weights=w[b_cols], minlength=len(pairs)))
-            change *= 2 * swap / len(pairs)
+                      - np.bincount(b_rows, weights=w[b_cols], minlength=len(pairs))) * (2 * swap / len(pairs))
             g += np.bincount(a_cols, weights=change[a_rows], minlength=k)
             g -= np.bincount(b_cols, weights=change[b_rows], minlength=k)
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g

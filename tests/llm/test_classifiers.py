@@ -25,8 +25,8 @@ def texts_and_labels(n=240, seed=3):
 
 def test_network_learns_and_reruns_agree():
     sample = texts_and_labels()
-    net = quality_net.fit(sample, epochs=4)
-    again = quality_net.fit(sample, epochs=4)
+    net = quality_net.fit(sample, epochs=4, least_steps=0)
+    again = quality_net.fit(sample, epochs=4, least_steps=0)
     assert all((net[k] == again[k]).all() for k in net)
     test = texts_and_labels(seed=4)
     data = [t.encode() for t in test["text"]]
@@ -145,7 +145,7 @@ def test_held_out_accuracy(spark, name, label, modulus, held, least):
 
 def test_awkward_rows_are_scored(spark):
     df = frame(spark, awkward_rows(), extra=True)
-    net = quality_net.fit(texts_and_labels(60), epochs=1)
+    net = quality_net.fit(texts_and_labels(60), epochs=1, least_steps=0)
     out = quality_net.accepted(df, net, least=0.0)
     assert out.columns == df.columns and out.count() == df.count()
     for scored in (quality_net.score(df, net, ["doc_id"]), toxicity.score(df, {"": -1.0, "=one": 1.0}, ["doc_id"])):

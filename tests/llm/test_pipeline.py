@@ -1,5 +1,4 @@
 import corpus_pipeline
-from flightlake.llm import quality_net
 from flightlake.llm.common import read_table, written
 from flightlake.llm.queries import ORACLE_SQL, QUERIES
 from tests.conftest import SF_SMALL
@@ -26,8 +25,7 @@ def test_stage_names():
     assert set(ORACLE_SQL) <= set(QUERIES)
 
 
-def test_later_stages_take_awkward_rows(spark, monkeypatch):
-    monkeypatch.setattr(quality_net, "EPOCHS", 1)
+def test_later_stages_take_awkward_rows(spark):
     docs = frame(spark, awkward_rows())
     for _, stage in corpus_pipeline.STAGES[1:]:
         docs = written(stage(spark, docs, SF_SMALL), "test-awkward")
