@@ -48,6 +48,8 @@ from flightlake.llm.textkit import prefix_hash, span_hash, text_blocks
 LENGTH, KGRAM = 100, 24
 #: Documents of a batch, text bytes per anchor shard, bytes of an index block.
 BATCH_ROWS, SHARD_BYTES, BLOCK = 4096, 16 << 20, 1 << 20
+#: An anchor shard takes the anchors of so many index shards' texts (an anchor is far smaller than its segment).
+ANCHOR_FACTOR = 4
 #: Places handled by one pass; their number fits into PLACE_BITS.
 STRETCH, PLACE_BITS = 1 << 21, np.uint64(22)
 _LAST = (1 << 63) - 1
@@ -442,12 +444,13 @@ def _cleaner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _marks(rows: DataFrame, length: int, shard_bytes: int, block: int) -> DataFrame:
     """``key, marks``: lists of marked ranges of every document that has some."""
-    shards = shards_for(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0, shard_bytes)
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shards = shards_for(size, shard_bytes)
     texts = rows.select("key", "ord", "th", F.octet_length("text").alias("n"))
     first = texts.groupBy("th").agg(F.min(F.struct("ord", "key")).alias("first"))
     copies = written(texts.join(first, "th").where((F.col("key") != F.col("first.key")) & (F.col("n") >= length))
                      .select("key", F.col("n").cast("long").alias("n")).distinct(), "repeat-copies")
-    anchors = (rows.select("key", "text", "th").mapInArrow(_anchor_packer(shards, length), schema=_ANCHOR_SQL)
+    anchors = (rows.select("key", "text", "th").mapInArrow(_anchor_packer(shards_for(size, ANCHOR_FACTOR * shard_bytes), length), schema=_ANCHOR_SQL)
                .groupBy("grp").applyInArrow(_repeated_anchors, schema=_ANCHOR_SQL)
                .groupBy("batch").applyInArrow(_by_document, schema="key string, anchors binary"))
     anchors = written(anchors.dropDuplicates(["key"]).join(copies, "key", "left_anti"), "repeat-anchors")
