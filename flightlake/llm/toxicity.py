@@ -21,6 +21,7 @@ score is the smoothed share of toxic rows.
 from __future__ import annotations
 
 import re
+import sys
 from collections import Counter
 from collections.abc import Iterator
 
@@ -85,7 +86,12 @@ def swapped_pairs(text: str, place: dict[str, int]) -> list[tuple[list[int], lis
     return out
 
 
-def _choose(texts: list[set[str]], y: np.ndarray, features: int) -> dict[str, int]:
+def _word_set(text: str) -> tuple[str, ...]:
+    """The different words in order; equal words of all texts are one string object."""
+    return tuple(sorted({sys.intern(w) for w in _words(text)}))
+
+
+def _choose(texts: list[tuple[str, ...]], y: np.ndarray, features: int) -> dict[str, int]:
     """The features whose presence differs most between the classes (chi-square), and all group terms."""
     seen, bad = Counter(), Counter()
     for words, label in zip(texts, y, strict=True):
@@ -117,11 +123,11 @@ def fit(sample: pd.DataFrame, features: int = FEATURES, swap: float = SWAP, step
     start = float(np.log(share / (1 - share)))
     if len(y) == 0 or y.sum() in (0, len(y)):
         return {"": start}
-    texts = [set(_words(t)) for t in sample["text"]]
+    texts = [_word_set(t) for t in sample["text"]]
     place = _choose(texts, y, features)
     if not place:
         return {"": start}
-    rows, cols = _pair_rows([_indices(sorted(t), place) for t in texts])
+    rows, cols = _pair_rows([_indices(t, place) for t in texts])
     pairs = [p for t in sample["text"] for p in swapped_pairs(t, place)]
     a_rows, a_cols = _pair_rows([p[0] for p in pairs])
     b_rows, b_cols = _pair_rows([p[1] for p in pairs])
