@@ -14,11 +14,12 @@ Jaccard similarity is at least 0.8.  The result is exact:
    two linked documents share one of their rarest tokens, those that make up the
    last 20 % and one more.  Documents with a common rare token meet in a bucket; each is compared with
    the bucket leader it shares most buckets with.  The components of these links
-   are the groups.
-4. *Token-group matrix.*  For a document and a group it meets in a bucket without
-   belonging to it, the overlap with the group's token union bounds the overlap with each
-   member.  Only groups that reach 80 % of the document's tokens are opened, and
-   the members that share a bucket with it are compared.
+   are the groups; then every document that meets another group is offered one
+   member or two of such, for as long as one offer in ten links.
+4. *Token-group matrix.*  The union of the members' rare tokens is stored per group.
+   For a document and a group that it does not belong to, the overlap with this
+   union bounds the overlap with each member (``_least_common``).  Only groups that
+   reach the bound are opened, and the members that share a bucket are compared.
 
 No step lists pairs within a group: members are joined to it by one comparison.
 
@@ -45,6 +46,12 @@ from flightlake.llm.textkit import SHINGLE, ranges, shingle_hashes, text_blocks
 
 #: Similarity in hundredths, documents of a batch, text bytes per token shard.
 PERCENT, BATCH_ROWS, SHARD_BYTES = 80, 4096, 12 << 20
+#: Rounds of offers go on while one in so many links (what they leave is compared in step 4).
+OFFERS_PER_LINK = 10
+#: Members that a bucket offers in a round, and offers that a document takes up.
+OFFERED, TAKEN = 8, 2
+#: Bytes of a hash that travel.
+TOKEN_BYTES = 6
 
 _ROW = pa.schema([("grp", pa.int64()), ("batch", pa.int64()), ("kind", pa.int32()), ("a", pa.binary()), ("b", pa.binary()),
                   ("c", pa.binary()), ("d", pa.binary())])
@@ -53,33 +60,32 @@ _DOC_SQL = "doc_id long, n_shingles long, set_key binary, tokens array<long>"
 HEAD, SHARD = 0, 1
 
 
-def fold(sorted_values: np.ndarray) -> bytes:
-    """Sorted 64-bit values as differences, bytes by place value: the shuffle's compression shrinks the high ones."""
-    if not len(sorted_values):
-        return b""
-    diff = np.diff(sorted_values, prepend=np.uint64(0)).astype("<u8")
-    return diff.view(np.uint8).reshape(-1, 8).T.tobytes()
+def narrow(tokens: np.ndarray) -> bytes:
+    """48-bit tokens as six bytes each."""
+    return tokens.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :TOKEN_BYTES].tobytes()
 
 
-def unfold(blob: bytes) -> np.ndarray:
-    if not blob:
-        return np.zeros(0, np.uint64)
-    planes = np.frombuffer(blob, np.uint8).reshape(8, -1)
-    return np.cumsum(np.ascontiguousarray(planes.T).view("<u8").reshape(-1), dtype=np.uint64)
+def widen(blob: bytes) -> np.ndarray:
+    out = np.zeros((len(blob) // TOKEN_BYTES, 8), np.uint8)
+    out[:, :TOKEN_BYTES] = np.frombuffer(blob, np.uint8).reshape(-1, TOKEN_BYTES)
+    return out.view("<u8").reshape(-1)
 
 
-def batch_sets(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-    """Distinct shingle hashes of all documents (each sorted), documents' counts, and a key per set."""
-    parts, counts, keys = [], [], []
+def batch_sets(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+    """Tokens of all documents, tokens per document, set sizes, and a key per set.
+
+    Sizes and keys come from the 64-bit hashes, the tokens that travel are their low 48 bits.
+    """
+    parts, counts, sizes, keys = [np.zeros(0, np.uint64)], [], [], []
     for _, data, bounds in text_blocks(texts):
         h, cut = shingle_hashes(data, bounds, size)
         for i in range(len(bounds) - 1):
             s = np.unique(h[cut[i]:cut[i + 1]])
-            parts.append(s)
-            counts.append(len(s))
+            sizes.append(len(s))
             keys.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
-    tokens = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
-    return tokens, np.array(counts, np.int64), keys
+            parts.append(np.unique(s & np.uint64((1 << 8 * TOKEN_BYTES) - 1)))
+            counts.append(len(parts[-1]))
+    return np.concatenate(parts), np.array(counts, np.int64), np.array(sizes, np.int64), keys
 
 
 def _packer(shards: int, size: int):
@@ -94,24 +100,42 @@ def _packer(shards: int, size: int):
 
 
 def _pack(batch: pa.RecordBatch, number: int, shards: int, size: int) -> Iterator[pa.RecordBatch]:
-    tokens, counts, keys = batch_sets(batch.column(1), size)
-    doc = np.repeat(np.arange(len(counts), dtype=np.uint16), counts)
-    shard = (tokens % np.uint64(shards)).astype(np.int32)
-    order = np.lexsort((tokens, shard))
-    tokens, shard, doc = tokens[order], shard[order], doc[order]
-    first = np.ones(len(tokens), bool)
-    first[1:] = tokens[1:] != tokens[:-1]
+    """Rows of a batch: its documents (HEAD) and, per shard, its tokens.
+
+    Tokens of one document of the batch go in document order, so that the head only
+    needs their numbers; tokens of several documents go once, and the head lists the documents.
+    """
+    tokens, counts, sizes, keys = batch_sets(batch.column(1), size)
+    n_docs = len(counts)
+    doc = np.repeat(np.arange(n_docs), counts)
+    order = np.argsort(tokens, kind="stable")
+    ordered = tokens[order]
+    first = np.ones(len(ordered), bool)
+    first[1:] = ordered[1:] != ordered[:-1]
     at = np.flatnonzero(first)
-    held = np.diff(np.append(at, len(tokens))).astype("<u4")
-    different, own = tokens[at], shard[at]
+    held = np.diff(np.append(at, len(ordered)))
+    shared = np.repeat(held > 1, held)
+    alone = order[~shared]
+    own = (tokens[alone] % np.uint64(shards)).astype(np.int64)
+    by_place = np.lexsort((alone, own))  # places are in document order
+    alone, own = alone[by_place], own[by_place]
+    singles = np.bincount(own * n_docs + doc[alone], minlength=shards * n_docs)
     cut = np.searchsorted(own, np.arange(shards + 1))
+    several = ordered[at[held > 1]]
+    its_shard = (several % np.uint64(shards)).astype(np.int64)
+    by_shard = np.argsort(its_shard, kind="stable")
+    several, several_held = several[by_shard], held[held > 1][by_shard]
+    several_docs = doc[order[ranges(at[held > 1][by_shard], several_held)]]
+    several_cut = np.searchsorted(its_shard[by_shard], np.arange(shards + 1))
     ids = batch.column(0).cast(pa.string()).fill_null("").to_pylist()
-    rows = [(-1 - number, number, HEAD, "\n".join(ids).encode(), counts.astype("<u4").tobytes() + b"".join(keys),
-             held.astype("<u4").tobytes() + cut.astype("<u8").tobytes(), doc.astype("<u2").tobytes())]
+    rows = [(-1 - number, number, HEAD, "\n".join(ids).encode(), sizes.astype("<u4").tobytes() + b"".join(keys),
+             singles.astype("<u4").tobytes(),
+             several_cut.astype("<u4").tobytes() + several_held.astype("<u2").tobytes() + several_docs.astype("<u2").tobytes())]
     for s in range(shards):
-        lo, hi = cut[s], cut[s + 1]
-        if lo < hi:
-            rows.append((s, number, SHARD, fold(different[lo:hi]), held[lo:hi].tobytes(), b"", b""))
+        one, many = slice(cut[s], cut[s + 1]), slice(several_cut[s], several_cut[s + 1])
+        if cut[s] < cut[s + 1] or several_cut[s] < several_cut[s + 1]:
+            rows.append((s, number, SHARD, narrow(tokens[alone[one]]), narrow(several[many]),
+                         several_held[many].astype("<u4").tobytes(), b""))
     for lo in range(0, len(rows), 32):
         yield pa.RecordBatch.from_pylist([dict(zip(_ROW.names, r, strict=True)) for r in rows[lo:lo + 32]], schema=_ROW)
 
@@ -120,10 +144,13 @@ def _answer(table: pa.Table) -> pa.Table:
     """A shard: which tokens two or more documents hold, told to every batch that holds them."""
     if table.column("kind")[0].as_py() == HEAD:
         return table
-    parts = [unfold(x.as_py()) for x in table.column("a")]
-    held = np.concatenate([np.frombuffer(x.as_py(), "<u4") for x in table.column("b")]).astype(np.int64)
+    parts, held = [], []
+    for one, many, times in zip(table.column("a"), table.column("b"), table.column("c"), strict=True):
+        single, several = widen(one.as_py()), widen(many.as_py())
+        parts.append(np.concatenate([single, several]))
+        held.append(np.concatenate([np.ones(len(single), np.int64), np.frombuffer(times.as_py(), "<u4")]))
     size = np.cumsum([0] + [len(p) for p in parts])
-    tokens = np.concatenate(parts)
+    tokens, held = np.concatenate(parts), np.concatenate(held)
     order = np.argsort(tokens, kind="stable")
     ordered = tokens[order]
     first = np.ones(len(ordered), bool)
@@ -136,34 +163,50 @@ def _answer(table: pa.Table) -> pa.Table:
         part = docs[size[k]:size[k + 1]]
         shared = np.flatnonzero(part >= 2)
         if len(shared):
-            out.append((table.column("grp")[0].as_py(), batch, SHARD, shared.astype("<u4").tobytes(),
-                        parts[k][shared].astype("<u8").tobytes(), np.minimum(part[shared], 2**32 - 1).astype("<u4").tobytes(), b""))
+            out.append((table.column("grp")[0].as_py(), batch, SHARD, shared.astype("<u4").tobytes(), narrow(parts[k][shared]),
+                        np.minimum(part[shared], 2**32 - 1).astype("<u4").tobytes(), b""))
     return pa.Table.from_pylist([dict(zip(_ROW.names, r, strict=True)) for r in out], schema=_ROW)
 
 
+def _owners(head: dict, n_docs: int, replies: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Document, token and number of documents of every shared token of a batch."""
+    singles = np.frombuffer(head["c"], "<u4").astype(np.int64).reshape(-1, n_docs)
+    shards = len(singles)
+    raw = head["d"]
+    cut = np.frombuffer(raw[: 4 * (shards + 1)], "<u4").astype(np.int64)
+    several = int(cut[-1])
+    held = np.frombuffer(raw[4 * (shards + 1): 4 * (shards + 1) + 2 * several], "<u2").astype(np.int64)
+    docs = np.frombuffer(raw[4 * (shards + 1) + 2 * several:], "<u2")
+    start = np.cumsum(held) - held
+    owner, value, many = [], [], []
+    for r in replies:
+        s = r["grp"]
+        at = np.frombuffer(r["a"], "<u4").astype(np.int64)
+        token, total = widen(r["b"]), np.frombuffer(r["c"], "<u4").astype(np.int64)
+        ends = np.cumsum(singles[s])
+        one = at < ends[-1]
+        owner.append(np.searchsorted(ends, at[one], side="right"))
+        value.append(token[one])
+        many.append(total[one])
+        k = cut[s] + at[~one] - ends[-1]
+        owner.append(docs[ranges(start[k], held[k])].astype(np.int64))
+        value.append(np.repeat(token[~one], held[k]))
+        many.append(np.repeat(total[~one], held[k]))
+    return np.concatenate(owner), np.concatenate(value), np.concatenate(many)
+
+
 def _assembler(percent: int):
     def run(table: pa.Table) -> pa.Table:
         """A batch: its documents, with the shared tokens (rarest first) of those that can link."""
-        head = next(r for r in table.to_pylist() if r["kind"] == HEAD)
+        rows = table.to_pylist()
+        head = next(r for r in rows if r["kind"] == HEAD)
+        replies = [r for r in rows if r["kind"] != HEAD]
         ids = [int(x) if x else None for x in head["a"].decode().split("\n")]
         n = np.frombuffer(head["b"][: 4 * len(ids)], "<u4").astype(np.int64)
         keys = [head["b"][4 * len(ids) + 16 * i: 4 * len(ids) + 16 * i + 16] for i in range(len(ids))]
-        doc = np.frombuffer(head["d"], "<u2")
-        replies = [r for r in table.to_pylist() if r["kind"] != HEAD]
         tokens: list = [None] * len(ids)
         if replies:
-            raw = head["c"]
-            # the cut table ends the blob; its last entry is the number of different tokens
-            different = int(np.frombuffer(raw[-8:], "<u8")[0])
-            held = np.frombuffer(raw[: 4 * different], "<u4").astype(np.int64)
-            cut = np.frombuffer(raw[4 * different:], "<u8").astype(np.int64)
-            start = np.concatenate([[0], np.cumsum(held)])
-            at = np.concatenate([cut[r["grp"]] + np.frombuffer(r["a"], "<u4").astype(np.int64) for r in replies])
-            value = np.concatenate([np.frombuffer(r["b"], "<u8") for r in replies])
-            docs = np.concatenate([np.frombuffer(r["c"], "<u4") for r in replies])
-            per = held[at]
-            owner = doc[ranges(start[at], per)]
-            value, docs = np.repeat(value, per), np.repeat(docs, per)
+            owner, value, docs = _owners(head, len(ids), replies)
             shared = np.bincount(owner, minlength=len(ids))
             able = (n > 0) & (100 * shared >= percent * n)
             pick = able[owner]
@@ -213,9 +256,19 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     links = written(_similar(met.select(F.col("node").alias("a"), F.col("leader").alias("b")), sets, percent),
                     "jaccard-links")
     groups = components(links)
-    grouped = written(rare.join(groups, "node", "left").select(
-        "token", "node", "n", F.coalesce("label", "node").alias("grp")), "jaccard-grouped")
-    links = links.union(_across(grouped, groups, sets, percent))
+    grouped, turn = _grouped(rare, groups), 0
+    while True:  # each round offers every document that meets another group one member of it
+        offers = written(_offers(grouped, turn), "jaccard-offers")
+        new = written(_similar(offers, sets, percent), "jaccard-links")
+        found = new.count()
+        if found:
+            links = links.union(new)
+            groups = components(links)
+            turn += 1
+            grouped = _grouped(rare, groups)
+        if found * OFFERS_PER_LINK < offers.count():
+            break
+    links = links.union(_across(grouped, sets, percent))
     final = components(links)
     label = final.select(F.col("node").alias("set_key"), "label")
     named = (sizes.withColumnRenamed("node", "set_key").join(label, "set_key", "left")
@@ -226,28 +279,70 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")))
 
 
-def _across(grouped: DataFrame, groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _least_common(n: Column, other: Column, percent: int) -> Column:
+    """Least number of common rare tokens of linked documents of ``n`` and ``other`` tokens.
+
+    Of two documents the one whose rare tokens end earlier in the common order has
+    all its common ones among the other's.  It has at most ceil(p n) - 1 tokens behind
+    them, and the overlap must reach p / (1 + p) of both sizes.
+    """
+    overlap = F.ceil((n + other) * percent / (100 + percent))
+    return F.greatest(overlap - _needed(F.greatest(n, other), percent) + 1, F.lit(1))
+
+
+def _grouped(rare: DataFrame, groups: DataFrame) -> DataFrame:
+    """The bucket rows with their groups and the groups' sizes, of buckets that hold several groups."""
+    sizes = groups.groupBy("label").agg(F.count("*").alias("docs"))
+    rows = (rare.join(groups.join(sizes, "label"), "node", "left")
+            .select("token", "node", "n", F.coalesce("label", "node").alias("grp"), F.coalesce("docs", F.lit(1)).alias("docs")))
+    mixed = rows.groupBy("token").agg(F.min("grp").alias("low"), F.max("grp").alias("high")).where(F.col("low") != F.col("high"))
+    return written(rows.join(mixed.select("token"), "token"), "jaccard-grouped")
+
+
+def _offers(grouped: DataFrame, turn: int) -> DataFrame:
+    """For every document some members of other groups, those that most of its buckets offer.
+
+    A bucket offers the first of its members in ``OFFERED`` orders (hashes, other ones each turn).
+    """
+    def first(i: int) -> Column:
+        return F.min(F.struct(F.xxhash64(F.lit(turn * OFFERED + i), "node").alias("place"), "node", "grp"))
+
+    offered = grouped.groupBy("token").agg(F.array(*[first(i) for i in range(OFFERED)]).alias("offers"))
+    met = (grouped.select("token", "node", "grp").join(offered, "token")
+           .select("node", "grp", F.explode(F.array_distinct(F.transform("offers", lambda o: F.struct(
+               o["node"].alias("other"), o["grp"].alias("its"))))).alias("o"))
+           .where(F.col("grp") != F.col("o.its")).groupBy("node", F.col("o.other").alias("other")).agg(F.count("*").alias("k")))
+    best = F.slice(F.sort_array(F.collect_list(F.struct("k", "other")), asc=False), 1, TAKEN)  # OFFERED per bucket order at most
+    return (met.groupBy("node").agg(best.alias("best")).select("node", F.explode("best.other").alias("other"))
+            .select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct())
+
+
+def _across(grouped: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between documents of different groups: bound by token unions, then open the groups that qualify."""
-    mixed = (grouped.groupBy("token").agg(F.min("grp").alias("low"), F.max("grp").alias("high"))
-             .where(F.col("low") != F.col("high")).select("token"))
-    here = written(grouped.join(mixed, "token"), "jaccard-mixed")
-    per_token = here.select("token", F.col("grp").alias("other")).distinct()
-    wanted = (here.join(per_token, "token").where(F.col("grp") != F.col("other"))
-              .select("node", "n", "other").distinct())
-    tokens = sets.select("node", F.explode("tokens").alias("token"))
-    # the token-group matrix, for the groups that are asked for
-    member = groups.select("node", F.col("label").alias("grp"))
-    matrix = (tokens.join(member, "node", "left").select(F.coalesce("grp", "node").alias("other"), "token")
-              .join(wanted.select("other").distinct(), "other", "left_semi").distinct())
-    overlap = (wanted.join(tokens, "node").join(matrix, ["other", "token"])
-               .groupBy("node", "n", "other").agg(F.count("*").alias("both")))
-    opened = written(overlap.where(F.col("both") >= _needed(F.col("n"), percent)).select("node", "other"), "jaccard-opened")
+    here = grouped.select("token", "node", "n", "grp", "docs")
+    # the matrix: rare tokens of each group, with the sizes of the members that hold them
+    matrix = here.groupBy("token", F.col("grp").alias("other")).agg(F.min("n").alias("low"), F.max("n").alias("high"),
+                                                                    F.first("docs").alias("other_docs"))
+    # a pair is met once: documents of the smaller group ask the larger one
+    smaller = F.struct("docs", "grp") < F.struct(F.col("other_docs").alias("docs"), F.col("other").alias("grp"))
+    met = (here.join(matrix, "token").where(smaller
+                                            & (100 * F.col("high") >= percent * F.col("n"))
+                                            & (percent * F.col("low") <= 100 * F.col("n")))
+           .groupBy("node", "n", "other").agg(F.count("*").alias("both"), F.min("low").alias("low"), F.max("high").alias("high")))
+    # sizes that can link lie between p n and n / p; without rounding the bound is least at an end of the range
+    low = F.greatest(F.col("low"), F.ceil(F.col("n") * percent / 100))
+    high = F.least(F.col("high"), F.floor(F.col("n") * 100 / percent))
+    more_than = [(F.col("n") + x) * percent / (100 + percent) - F.greatest(F.col("n"), x) * percent / 100 for x in (low, high)]
+    opened = written(met.where(F.col("both") > F.least(*more_than) - 1e-6).select("node", "other"), "jaccard-opened")
     left = here.select("token", F.col("node").alias("a"), F.col("n").alias("n_a")).join(
         opened.withColumnRenamed("node", "a"), "a")
     right = here.select("token", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("grp").alias("other"))
     pairs = (left.join(right, ["token", "other"])
              .where((100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")))
-             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+             .groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
+                      F.least("n_a", "n_b").alias("n_low"), F.greatest("n_a", "n_b").alias("n_high"))
+             .agg(F.count_distinct("token").alias("both"))
+             .where(F.col("both") >= _least_common(F.col("n_low"), F.col("n_high"), percent)).select("a", "b"))
     return written(_similar(pairs, sets, percent), "jaccard-links-across")
 
 

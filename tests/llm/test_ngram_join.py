@@ -78,3 +78,17 @@ def test_tokens_travel_in_six_bytes():
     import numpy as np
     v = np.random.default_rng(0).integers(0, 1 << 48, 500, dtype=np.uint64)
     assert (ngram_join.widen(ngram_join.narrow(v)) == v).all() and len(ngram_join.widen(b"")) == 0
+
+
+def test_sizes_differ_within_a_group(spark):
+    """Contained documents: the bound for other groups must allow for sizes that differ."""
+    rng = random.Random(21)
+    rows = []
+    for family in range(8):
+        base = sentence(rng, 200, stock=10 ** 6).split(" ")
+        for k, (lo, hi) in enumerate([(0, 200), (0, 170), (20, 195), (8, 172), (0, 186), (30, 200)]):
+            text = base[lo:hi]
+            for _ in range(rng.randrange(3)):
+                text[rng.randrange(len(text))] = f"y{rng.randrange(10 ** 6)}"
+            rows.append((family * 10 + k, " ".join(text), "en", "a", 1))
+    assert run(spark, rows) == brute(rows)
