@@ -266,7 +266,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             groups = components(links)
             turn += 1
             grouped = _grouped(rare, groups)
-        if found * OFFERS_PER_LINK < offers.count():
+        if not found or found * OFFERS_PER_LINK < offers.count():
             break
     links = links.union(_across(grouped, sets, percent))
     final = components(links)

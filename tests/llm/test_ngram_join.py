@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from flightlake.llm import ngram_join
 from tests.llm.data import awkward_rows, frame, sentence, words
 
@@ -92,3 +94,25 @@ def test_sizes_differ_within_a_group(spark):
                 text[rng.randrange(len(text))] = f"y{rng.randrange(10 ** 6)}"
             rows.append((family * 10 + k, " ".join(text), "en", "a", 1))
     assert run(spark, rows) == brute(rows)
+
+
+@pytest.mark.parametrize("linked", [True, False])
+def test_rounds_of_offers_end_without_offers(spark, monkeypatch, linked):
+    """No bucket spans two groups: all that share a rare shingle are linked, or none is shared."""
+    rng = random.Random(5)
+    rows = []
+    for family in range(3):
+        base = sentence(rng, 80, stock=10 ** 6).split(" ")
+        rows += [(family * 10 + k, " ".join(base if linked else sentence(rng, 80, stock=10 ** 6).split(" ")) + (f" end{k}" if k else ""),
+                  "en", "a", 1) for k in range(3)]
+    offers, turns = ngram_join._offers, []
+
+    def counted(grouped, turn):
+        turns.append(turn)
+        assert len(turns) < 4, "the rounds do not end"
+        return offers(grouped, turn)
+
+    monkeypatch.setattr(ngram_join, "_offers", counted)
+    want = brute(rows)
+    assert (len({w[2] for w in want}) == 3) == linked
+    assert run(spark, rows) == want
