@@ -454,7 +454,8 @@ def _marks(rows: DataFrame, length: int, shard_bytes: int, block: int) -> DataFr
                .groupBy("grp").applyInArrow(_repeated_anchors, schema=_ANCHOR_SQL)
                .groupBy("batch").applyInArrow(_by_document, schema="key string, anchors binary"))
     anchors = written(anchors.dropDuplicates(["key"]).join(copies, "key", "left_anti"), "repeat-anchors")
-    cut = (rows.select("key", "doc_id", "text").join(anchors, "key")
+    # rows of one key are one document, which must not meet itself as a repeat
+    cut = (rows.select("key", "doc_id", "text").join(anchors, "key").dropDuplicates(["key"])
            .select(F.coalesce("doc_id", F.lit(_LAST)).alias("ord"), "key", "text", "anchors")
            .mapInArrow(_cutter(shards, length), schema=_SEG_SQL))
     found = cut.groupBy("grp").applyInArrow(_indexer(length, block), schema=_MARK_SQL)

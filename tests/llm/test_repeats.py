@@ -62,6 +62,21 @@ def test_passages_and_families(spark, options):
     check(spark, rows, **options)
 
 
+@pytest.mark.parametrize("parts", [1, 3])
+def test_repeated_rows_keep_the_first_passage(spark, parts):
+    """A row that stands twice is one document: its first passage is no repeat of itself."""
+    rng = random.Random(12)
+    p, q = sentence(rng, 60), sentence(rng, 60)
+    rows = [(1, "one " + p + " end", "en", "a", 1)] * 3 + [(2, p + " two", "en", "a", 1)]
+    rows += [(3, q + " again " + q, "en", "b", 1)] * 2 + [(None, q + " last", "en", "b", 1)] * 2
+    df = frame(spark, rows).repartition(parts)
+    got = {(r.doc_id, r.n_removed) for r in repeats.remove_repeats(df).collect()}
+    assert got == {(doc, v[1]) for (doc, _), v in brute(rows).items()}
+    assert (1, 0) in got
+    texts = [r.text for r in repeats.without_repeats(df).collect() if r.doc_id == 1]
+    assert texts == ["one " + p + " end"] * 3
+
+
 def test_text_stage(spark):
     rng = random.Random(2)
     p = "é" * 3 + sentence(rng, 60)
