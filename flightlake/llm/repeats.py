@@ -17,8 +17,9 @@ document of smaller id, or earlier in the same one) is removed.  The result is e
    gives the matching statistics of all other places, as both the match and its
    source move by one.  Places matching over ``length`` bytes are grouped in suffix
    order, and all but the first in document order are marked.
-   An anchor with more bytes of different segments than a block is solved window
-   offset by window offset: its windows at one offset are compared as strings.
+   An anchor that could have more bytes of segments than ``HOT_BLOCKS`` blocks is in no
+   shard: its windows travel one by one, as 128-bit hashes, to the window's own shard, where
+   all but the first in document order are marked.  Equal windows of a batch travel once.
 4. Marked ranges meet their texts, and the bytes that remain are hashed.
 
 Exact copies of a text are found by its hash beforehand, so a large group of copies
@@ -33,6 +34,7 @@ are ignored.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,6 +52,8 @@ LENGTH, KGRAM = 100, 24
 BATCH_ROWS, SHARD_BYTES, BLOCK = 4096, 16 << 20, 1 << 20
 #: An anchor shard takes the anchors of so many index shards' texts (an anchor is far smaller than its segment).
 ANCHOR_FACTOR = 4
+#: Blocks of segments beyond which an anchor is hot, shards of windows per index shard, windows a batch holds before they go.
+HOT_BLOCKS, WINDOW_FACTOR, HELD_WINDOWS = 4, 16, 50_000
 #: Places handled by one pass; their number fits into PLACE_BITS.
 STRETCH, PLACE_BITS = 1 << 21, np.uint64(22)
 _LAST = (1 << 63) - 1
@@ -128,8 +132,17 @@ def _anchor_packer(shards: int, length: int):
     return run
 
 
-def _repeated_anchors(table: pa.Table) -> pa.Table:
-    """A shard: the anchors in two texts or twice in a document, told to every batch."""
+def _repeated_anchors(hot_from: int):
+    """A shard: the anchors in two texts or twice in a document, told to every batch.
+
+    ``texts`` of an answer tells which of them are hot: those of ``hot_from`` segments and more, copies of a text aside.
+    """
+    def run(table: pa.Table) -> pa.Table:
+        return _answer(table, hot_from)
+    return run
+
+
+def _answer(table: pa.Table, hot_from: int) -> pa.Table:
     if table.column("head")[0].as_py():
         return table
     anchors = [np.frombuffer(x.as_py(), "<u8") for x in table.column("anchors")]
@@ -148,30 +161,38 @@ def _repeated_anchors(table: pa.Table) -> pa.Table:
     found[number[1:][other]] = True
     hit = np.empty(len(a), bool)
     hit[order] = found[number]
+    # occurrences in the first row of each text
+    of_text = np.concatenate([[True], ~same | (text[order][1:] != text[order][:-1])])
+    first_row = row[order][np.flatnonzero(of_text)][np.cumsum(of_text) - 1]
+    hot = np.empty(len(a), bool)
+    hot[order] = np.bincount(number, weights=row[order] == first_row)[number] >= hot_from
     out = []
     for k, batch in enumerate(table.column("batch").to_pylist()):
         mine = np.flatnonzero(hit[size[k]:size[k + 1]])
         if len(mine):
-            out.append((table.column("grp")[0].as_py(), batch, False, anchors[k][mine].tobytes(), docs[k][mine].tobytes(), b""))
+            out.append((table.column("grp")[0].as_py(), batch, False, anchors[k][mine].tobytes(), docs[k][mine].tobytes(),
+                        hot[size[k]:size[k + 1]][mine].tobytes()))
     return pa.Table.from_pylist([dict(zip(_ANCHOR.names, r, strict=True)) for r in out], schema=_ANCHOR)
 
 
 def _by_document(table: pa.Table) -> pa.Table:
-    """A batch: the repeated anchors of each of its documents."""
+    """A batch: the repeated anchors of each of its documents, and the hot ones of them."""
     rows = table.to_pylist()
     keys = next(r for r in rows if r["head"])["anchors"].decode().split("\n")
     answers = [r for r in rows if not r["head"]]
-    names, blobs = [], []
+    names, blobs, hots = [], [], []
     if answers:
         a = np.concatenate([np.frombuffer(r["anchors"], "<u8") for r in answers])
         d = np.concatenate([np.frombuffer(r["docs"], "<u2") for r in answers])
+        hot = np.concatenate([np.frombuffer(r["texts"], bool) for r in answers])
         order = np.lexsort((a, d))
-        a, d = a[order], d[order]
+        a, d, hot = a[order], d[order], hot[order]
         for i in np.unique(d).tolist():
             lo, hi = np.searchsorted(d, [i, i + 1])
             names.append(keys[i])
             blobs.append(np.unique(a[lo:hi]).tobytes())
-    return pa.table({"key": pa.array(names, pa.string()), "anchors": pa.array(blobs, pa.binary())})
+            hots.append(np.unique(a[lo:hi][hot[lo:hi]]).tobytes())
+    return pa.table({"key": pa.array(names, pa.string()), "anchors": pa.array(blobs, pa.binary()), "hot": pa.array(hots, pa.binary())})
 
 
 # -- segments and the run-length index -----------------------------------------------------------------------
@@ -182,14 +203,29 @@ _SEG = pa.schema([("grp", pa.int64()), ("anchor", pa.int64()), ("bytes", pa.bina
 _MARK_SQL = "key string, marks binary"
 
 
+def _seg_batches(out: list[tuple]) -> Iterator[pa.RecordBatch]:
+    for k in range(0, len(out), 20_000):
+        cols = list(zip(*out[k:k + 20_000], strict=True))
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, _SEG, strict=True)], schema=_SEG)
+
+
+def _window_rows(windows: dict[bytes, tuple], shards: int) -> list[tuple]:
+    """Windows of hot anchors, in shards behind those of the segments."""
+    return [(shards + int.from_bytes(w[:8], "little") % (WINDOW_FACTOR * shards), 0, w, o, k, p) for w, (o, k, p) in windows.items()]
+
+
 def _cutter(shards: int, length: int):
-    """Segments with repeated anchors; of equal ones in a batch the first in document order, the others as marks."""
+    """Segments with repeated anchors; of equal ones in a batch the first in document order, the others as marks.
+
+    Of hot anchors the same with windows instead of segments.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for lo in range(0, whole.num_rows, BATCH_ROWS // 4):
                 batch = whole.slice(lo, BATCH_ROWS // 4)
-                ords, keys, wanted = (batch.column(i).to_pylist() for i in (0, 1, 3))
+                ords, keys, wanted, heat = (batch.column(i).to_pylist() for i in (0, 1, 3, 4))
                 best: dict[bytes, tuple] = {}
+                windows: dict[bytes, tuple] = {}
                 marks: dict[str, list[int]] = {}
                 for row, data, bounds in text_blocks(batch.column(2)):
                     first, last, anchor, doc = segments(data, bounds, length)
@@ -198,8 +234,26 @@ def _cutter(shards: int, length: int):
                     for i in range(len(bounds) - 1):
                         a, b = int(cut[i]), int(cut[i + 1])
                         mine = np.flatnonzero(np.isin(anchor[a:b], np.frombuffer(wanted[row + i], "<u8"))) + a
+                        hot = np.isin(anchor[mine], np.frombuffer(heat[row + i], "<u8"))
                         who, o, base = keys[row + i], ords[row + i], int(bounds[i])
-                        for f, e, h in zip(first[mine].tolist(), last[mine].tolist(), anchor[mine].tolist(), strict=True):
+                        for f, e, h, many in zip(first[mine].tolist(), last[mine].tolist(), anchor[mine].tolist(), hot.tolist(), strict=True):
+                            if many:
+                                for p in range(f, e + 1):
+                                    w = hashlib.blake2b(raw[p:p + length], digest_size=16).digest()
+                                    mark, seen = (o, who, p - base), windows.get(w)
+                                    if seen is None:
+                                        windows[w] = mark
+                                        continue
+                                    windows[w], late = min(seen, mark), max(seen, mark)
+                                    own = marks.setdefault(late[1], [])
+                                    if own and own[-2] <= late[2] <= own[-1]:  # follows the mark before
+                                        own[-1] = max(own[-1], late[2] + length)
+                                    else:
+                                        own.extend((late[2], late[2] + length))
+                                if len(windows) >= HELD_WINDOWS:
+                                    yield from _seg_batches(_window_rows(windows, shards))
+                                    windows = {}
+                                continue
                             text = raw[f:e + length]
                             new, old = (o, who, f - base, h), best.get(text)
                             if old is None:
@@ -209,10 +263,9 @@ def _cutter(shards: int, length: int):
                             best[text] = min(old, new)
                             marks.setdefault(later[1], []).extend((later[2], later[2] + len(text)))
                 out = [(int(h % shards), h - (1 << 64) if h >> 63 else h, t, o, k, p) for t, (o, k, p, h) in best.items()]
+                out += _window_rows(windows, shards)
                 out += [(-1 - int(k[:8], 16) % shards, 0, np.array(m, "<i8").tobytes(), 0, k, 0) for k, m in marks.items()]
-                for k in range(0, len(out), 20_000):
-                    cols = list(zip(*out[k:k + 20_000], strict=True))
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, _SEG, strict=True)], schema=_SEG)
+                yield from _seg_batches(out)
     return run
 
 
@@ -313,7 +366,7 @@ def later_windows(parts: list[bytes], doc: np.ndarray, pos: np.ndarray, length:
 
 def later_windows_by_offset(parts: list[bytes], anchor_at: np.ndarray, doc: np.ndarray, pos: np.ndarray,
                             length: int = LENGTH) -> list[np.ndarray]:
-    """The same for segments of one anchor (at ``anchor_at``), an offset to the anchor at a time."""
+    """The same for segments of one anchor (at ``anchor_at``), an offset to the anchor at a time (the tests compare with it)."""
     out: list[list[int]] = [[] for _ in parts]
     for d in range(int(anchor_at.max()) + 1):
         rows = [i for i, p in enumerate(parts) if 0 <= anchor_at[i] - d and anchor_at[i] - d + length <= len(p)]
@@ -329,25 +382,21 @@ def later_windows_by_offset(parts: list[bytes], anchor_at: np.ndarray, doc: np.n
     return [np.array(sorted(o), np.int64) for o in out]
 
 
-def _anchor_places(parts: list[bytes], anchor: int, kgram: int = KGRAM) -> np.ndarray:
-    flat = np.frombuffer(b"".join(parts), np.uint8)
-    size = np.array([len(p) for p in parts])
-    begin = np.cumsum(size) - size
-    at = np.arange(len(flat) - kgram + 1)
-    hits = at[span_hash(prefix_hash(flat), at, at + kgram) == np.uint64(anchor)]
-    # the anchor lies in every window: behind the start of the last and before the end of the first
-    owner = np.searchsorted(begin, hits, side="right") - 1
-    inside = hits - begin[owner]
-    fits = (inside + kgram <= size[owner]) & (inside >= size[owner] - LENGTH) & (inside + kgram <= LENGTH)
-    out = np.full(len(parts), -1)
-    out[owner[fits][::-1]] = inside[fits][::-1]
-    return out
-
-
-def _indexer(length: int, block: int):
+def _late_windows(table: pa.Table, length: int) -> pa.Table:
+    """A shard of windows: all but the first of their kind as marks."""
+    t = table.select(["bytes", "ord", "key", "pos"]).sort_by([(c, "ascending") for c in ("bytes", "ord", "key", "pos")])
+    kind = t.column("bytes").combine_chunks().dictionary_encode().indices.to_numpy()
+    t = t.filter(pa.array(np.concatenate([[False], kind[1:] == kind[:-1]])))
+    pos = t.column("pos").to_numpy().astype("<i8")
+    return pa.table({"key": t.column("key"), "marks": pa.array([m.tobytes() for m in np.column_stack([pos, pos + length])], pa.binary())})
+
+
+def _indexer(shards: int, length: int, block: int):
     def run(table: pa.Table) -> pa.Table:
         if table.column("grp")[0].as_py() < 0:
             return pa.table({"key": table.column("key"), "marks": table.column("bytes")})
+        if table.column("grp")[0].as_py() >= shards:
+            return _late_windows(table, length)
         seg = table.column("bytes").combine_chunks().dictionary_encode()
         code = seg.indices.to_numpy().astype(np.int64)
         ords, pos = table.column("ord").to_numpy(), table.column("pos").to_numpy()
@@ -381,17 +430,10 @@ def _indexer(length: int, block: int):
         while at < len(edges) - 1:
             stop = max(at + 1, int(np.searchsorted(total[edges], total[edges[at]] + block, side="right")) - 1)
             mine = rows[edges[at]:edges[stop]]
-            at_row, at = at, stop
+            at = stop
             if len(mine) < 2:
                 continue
-            parts = [texts[c] for c in code[mine].tolist()]
-            places = None
-            if stop == at_row + 1 and total[edges[stop]] - total[edges[at_row]] > 4 * block:
-                places = _anchor_places(parts, int(anchor[mine[0]]) & ((1 << 64) - 1))
-            if places is None or (places < 0).any():
-                late = later_windows(parts, doc[mine], pos[mine], length)
-            else:
-                late = later_windows_by_offset(parts, places, doc[mine], pos[mine], length)
+            late = later_windows([texts[c] for c in code[mine].tolist()], doc[mine], pos[mine], length)
             for r, offsets in zip(mine.tolist(), late, strict=True):
                 if len(offsets):
                     runs = np.split(offsets, np.flatnonzero(np.diff(offsets) > 1) + 1)
@@ -446,19 +488,20 @@ def _marks(rows: DataFrame, length: int, shard_bytes: int, block: int) -> DataFr
     """``key, marks``: lists of marked ranges of every document that has some."""
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = shards_for(size, shard_bytes)
+    hot_from = HOT_BLOCKS * block // (2 * length - KGRAM) + 1  # a segment's windows all hold its anchor
     texts = rows.select("key", "ord", "th", F.octet_length("text").alias("n"))
     first = texts.groupBy("th").agg(F.min(F.struct("ord", "key")).alias("first"))
     copies = written(texts.join(first, "th").where((F.col("key") != F.col("first.key")) & (F.col("n") >= length))
                      .select("key", F.col("n").cast("long").alias("n")).distinct(), "repeat-copies")
     anchors = (rows.select("key", "text", "th").mapInArrow(_anchor_packer(shards_for(size, ANCHOR_FACTOR * shard_bytes), length), schema=_ANCHOR_SQL)
-               .groupBy("grp").applyInArrow(_repeated_anchors, schema=_ANCHOR_SQL)
-               .groupBy("batch").applyInArrow(_by_document, schema="key string, anchors binary"))
+               .groupBy("grp").applyInArrow(_repeated_anchors(hot_from), schema=_ANCHOR_SQL)
+               .groupBy("batch").applyInArrow(_by_document, schema="key string, anchors binary, hot binary"))
     anchors = written(anchors.dropDuplicates(["key"]).join(copies, "key", "left_anti"), "repeat-anchors")
     # rows of one key are one document, which must not meet itself as a repeat
     cut = (rows.select("key", "doc_id", "text").join(anchors, "key").dropDuplicates(["key"])
-           .select(F.coalesce("doc_id", F.lit(_LAST)).alias("ord"), "key", "text", "anchors")
+           .select(F.coalesce("doc_id", F.lit(_LAST)).alias("ord"), "key", "text", "anchors", "hot")
            .mapInArrow(_cutter(shards, length), schema=_SEG_SQL))
-    found = cut.groupBy("grp").applyInArrow(_indexer(length, block), schema=_MARK_SQL)
+    found = cut.groupBy("grp").applyInArrow(_indexer(shards, length, block), schema=_MARK_SQL)
     whole = copies.select("key", F.unhex(F.concat(F.lit("0" * 16), _little(F.col("n")))).alias("marks"))
     return found.unionByName(whole).groupBy("key").agg(F.collect_list("marks").alias("marks"))
 

@@ -77,6 +77,34 @@ def test_repeated_rows_keep_the_first_passage(spark, parts):
     assert texts == ["one " + p + " end"] * 3
 
 
+def test_no_anchor_is_one_group(spark, monkeypatch):
+    """A phrase under 100 bytes in every document, with other text around it: its windows are dealt out."""
+    rng = random.Random(13)
+    phrase = sentence(rng, 16)
+    assert 24 < len(phrase) < 100
+    rows = [(i, f"{sentence(rng, 30, stock=10 ** 6)} {phrase} {sentence(rng, 30, stock=10 ** 6)}", "en", "a", 1) for i in range(120)]
+    rows += [(500 + i, rows[i][1][60:] + f" end{i}", "en", "a", 1) for i in range(0, 120, 7)]
+    size = sum(len(r[1]) for r in rows)
+    options = {"shard_bytes": size, "block": 1000}
+    over, largest, real = spark.sparkContext.accumulator(0), 4 * options["block"], repeats._indexer
+
+    def counted(*args):
+        run = real(*args)
+
+        def count(table):
+            held = {}
+            for g, a, b in zip(*(table.column(c).to_pylist() for c in ("grp", "anchor", "bytes")), strict=True):
+                if g >= 0 and len(b) >= 100:  # segments: windows travel as hashes
+                    held[a] = held.get(a, 0) + len(b)
+            over.add(max(held.values(), default=0) > largest)
+            return run(table)
+        return count
+
+    monkeypatch.setattr(repeats, "_indexer", counted)
+    check(spark, rows, **options)
+    assert over.value == 0
+
+
 def test_text_stage(spark):
     rng = random.Random(2)
     p = "é" * 3 + sentence(rng, 60)
