@@ -41,7 +41,7 @@ from flightlake.llm.textkit import prefix_hash, span_hash
 
 #: Text bytes per vocabulary shard, documents of a batch, words of a lattice pass.
 SHARD_BYTES, BATCH_ROWS, LATTICE_WORDS = 24 << 20, 1024, 2048
-#: Pieces longer than this many bytes are left out of the lattice.
+#: Longest piece of the tests' first oracle; the lattice takes pieces of any length.
 LONGEST = 18
 #: Rounds of expectation-maximisation, and pseudo-count of every piece and byte.
 ROUNDS, PSEUDO = 1, 0.1
@@ -54,7 +54,7 @@ class Lattice:
 
     def __init__(self, pieces: list[str], log_probs: np.ndarray):
         self.blobs = [p.encode() for p in pieces]
-        self.index = [i for i, b in enumerate(self.blobs) if 0 < len(b) <= LONGEST]
+        self.index = [i for i, b in enumerate(self.blobs) if b]
         data = np.frombuffer(b"".join(self.blobs[i] for i in self.index), np.uint8)
         size = np.array([len(self.blobs[i]) for i in self.index])
         end = np.cumsum(size)
@@ -64,13 +64,14 @@ class Lattice:
         self.seen = np.zeros(1 << 20, bool)  # most strings are no piece: told by the first bits of their hash
         self.seen[(self.hashes >> np.uint64(44)).astype(np.int64)] = True
         self.sizes = sorted(set(size.tolist()))
+        self.longest = max(self.sizes, default=0)
         self.log_probs = log_probs  # pieces, then 256 bytes
 
     def edges(self, data: np.ndarray, starts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
         """For words of ``width`` bytes: piece ids (or -1) per word, end place and size, and byte ids."""
         n = len(starts)
         sums = prefix_hash(data)
-        found = np.full((n, width + 1, LONGEST + 1), -1, np.int32)
+        found = np.full((n, width + 1, min(width, self.longest) + 1), -1, np.int32)
         for size in self.sizes:
             if size > width:
                 break
@@ -90,7 +91,7 @@ class Lattice:
         alpha[:, 0] = 0.0
         for j in range(1, places):
             a = alpha[:, j - 1] + self.log_probs[single[:, j - 1]]
-            for size in range(1, min(j, LONGEST) + 1):
+            for size in range(1, min(j, self.longest) + 1):
                 s = score[:, j, size]
                 if size in self.sizes and np.isfinite(s).any():
                     a = np.logaddexp(a, alpha[:, j - size] + s)
@@ -129,7 +130,7 @@ class Lattice:
             g = np.exp(alpha[:, j - 1] + edge + beta[:, j] - total) * weight
             counts += np.bincount(single[:, j - 1], weights=g, minlength=len(counts))
             beta[:, j - 1] = np.logaddexp(beta[:, j - 1], edge + beta[:, j])
-            for size in range(1, min(j, LONGEST) + 1):
+            for size in range(1, min(j, self.longest) + 1):
                 s = score[:, j, size]
                 live = np.isfinite(s)
                 if size in self.sizes and live.any():

@@ -85,6 +85,23 @@ def test_lattice_sums_all_segmentations():
     assert (counts * sizes).sum() == pytest.approx(2 * len((SPACE + "ab").encode()))
 
 
+def test_long_pieces_are_in_the_lattice():
+    pieces, scores = load_pieces(PATH)
+    log_probs = lattice_lm.start_probabilities(scores)
+    edges = {p.encode(): math.exp(log_probs[i]) for i, p in enumerate(pieces)}
+    assert max(map(len, edges)) > lattice_lm.LONGEST
+    ws = [w.encode() for w in ("Населення", "Становништво", "использования", "администрация", SPACE * 9, "plain", "x" * 70)]
+    want = []
+    for w in ws:
+        text = SPACE.encode() + w
+        total = [1.0] + [0.0] * len(text)
+        for j in range(1, len(text) + 1):
+            total[j] = total[j - 1] * math.exp(log_probs[len(pieces) + text[j - 1]])
+            total[j] += sum(total[i] * edges.get(text[i:j], 0.0) for i in range(j))
+        want.append(math.log(total[-1]))
+    assert lattice_lm.Lattice(pieces, log_probs).words(ws) == pytest.approx(want)
+
+
 def brute_base(rows):
     import zlib
     learn = [zlib.crc32(("" if r[0] is None else str(r[0])).encode()) % 5 != 1 for r in rows]
