@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flightlake.llm import (ann, lattice_lm, mixing, ngram_join, packing, quality_net, quality_rules, quality_rules_sql,
-                            repeats, token_counts, toxicity)
+from flightlake.llm import (ann, lattice_lm, line_filter, mixing, ngram_join, packing, periodic_runs, quality_net,
+                            quality_rules, quality_rules_sql, repeats, token_counts, toxicity)
 from flightlake.llm.common import read_table, remainder
 
 #: Vocabulary files, by name.
@@ -73,12 +73,23 @@ def op10_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.robust_outliers(read_table(spark, sf_dir, "documents")).drop("distance")
 
 
+def op12_recompression_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", periodic_runs.looped_tail().alias("text"))
+    return periodic_runs.periodic_runs(docs, columns=("doc_id", "n_runs", "start", "length", "period", "exponent_milli",
+                                                      "runs_sha256", "collapsed_sha256"))
+
+
+def op13_two_filter_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = line_filter.remove_common_lines(read_table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_block_matrix_neighbours, op2_counterfactual_toxicity, op3_pivotal_mixing,
                           op4_byte_network, op5_ordered_packing,
                           op6_token_group_join, op7_run_length_repeats,
                           op8_viterbi_token_counts, op9_lattice_likelihood,
-                          op10_robust_outliers)
+                          op10_robust_outliers, op12_recompression_runs, op13_two_filter_lines)
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -98,4 +109,19 @@ ORACLE_SQL: dict[str, str] = {
             SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS rank FROM d)
         WHERE rank <= 10""",
     "op10_robust_outliers": quality_rules_sql.sql(),
+    "op13_two_filter_lines": r"""
+        WITH lines AS (
+            SELECT doc_id, pos, line,
+                   translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+            FROM (SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS pos
+                  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents))),
+        common AS (
+            SELECT key, max(doc_id) AS stays FROM lines WHERE length(key) >= 20
+            GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+        told AS (
+            SELECT l.*, c.key IS NOT NULL AND l.doc_id <> c.stays AS gone FROM lines l LEFT JOIN common c USING (key))
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+        FROM told GROUP BY doc_id""",
 }

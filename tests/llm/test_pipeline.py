@@ -21,7 +21,7 @@ def test_stages_keep_the_columns_and_take_effect(spark):
 def test_stage_names():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_filter", "near_duplicates", "repeated_passages", "source_mix", "windows"]
     assert corpus_pipeline.ORACLE_SQL is None
-    assert sorted(n.split("_")[0] for n in QUERIES) == sorted(f"op{i}" for i in range(1, 11))
+    assert sorted(n.split("_")[0] for n in QUERIES) == sorted(f"op{i}" for i in range(1, 14))
     assert set(ORACLE_SQL) <= set(QUERIES)
 
 
