@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flightlake.llm import (ann, lattice_lm, line_filter, mixing, ngram_join, packing, periodic_runs, quality_net,
-                            quality_rules, quality_rules_sql, repeats, token_counts, toxicity)
+                            quality_rules, quality_rules_sql, repeats, source_audit, token_counts, toxicity)
 from flightlake.llm.common import read_table, remainder
 
 #: Vocabulary files, by name.
@@ -73,6 +73,10 @@ def op10_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.robust_outliers(read_table(spark, sf_dir, "documents")).drop("distance")
 
 
+def op11_quadtree_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.audit(read_table(spark, sf_dir, "documents"))
+
+
 def op12_recompression_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", periodic_runs.looped_tail().alias("text"))
     return periodic_runs.periodic_runs(docs, columns=("doc_id", "n_runs", "start", "length", "period", "exponent_milli",
@@ -89,7 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
                           op4_byte_network, op5_ordered_packing,
                           op6_token_group_join, op7_run_length_repeats,
                           op8_viterbi_token_counts, op9_lattice_likelihood,
-                          op10_robust_outliers, op12_recompression_runs, op13_two_filter_lines)
+                          op10_robust_outliers, op11_quadtree_source_audit, op12_recompression_runs, op13_two_filter_lines)
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -109,6 +113,7 @@ ORACLE_SQL: dict[str, str] = {
             SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS rank FROM d)
         WHERE rank <= 10""",
     "op10_robust_outliers": quality_rules_sql.sql(),
+    "op11_quadtree_source_audit": source_audit.sql(),
     "op13_two_filter_lines": r"""
         WITH lines AS (
             SELECT doc_id, pos, line,
