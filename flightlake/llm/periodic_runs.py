@@ -295,9 +295,10 @@ def looped_tail(id_col: str = "doc_id", text_col: str = "text") -> Column:
     """
     h = F.crc32(F.col(id_col).cast("string").cast("binary"))
     words = F.filter(F.split(F.col(text_col), SEPARATOR_RUN), lambda w: w != "")
-    n, g = F.size(words).cast("long"), F.floor(h / 10)
-    a = g % n
-    p = 1 + F.floor((n - a) / (3 + g % 8))
-    at = F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: F.when(i >= a, a + (i - a) % p).otherwise(i))
-    text = F.concat_ws(" ", F.transform(at, lambda i: F.get(words, i.cast("int"))))
+    n, g = F.size(words), F.floor(h / 10)
+    a = (g % n).cast("int")
+    p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    # whole arrays only: an expression inside a lambda would be computed again for every word
+    loops = F.flatten(F.array_repeat(F.slice(words, a + 1, p), F.ceil((n - a) / p).cast("int")))
+    text = F.concat_ws(" ", F.slice(words, F.lit(1), a), F.slice(loops, F.lit(1), n - a))
     return F.when((h % 10 == 0) & (n > 0), text).otherwise(F.col(text_col))
