@@ -7,13 +7,10 @@ Scale design
   history work depends on the number of distinct places and hours, not on the
   number of flights.  The distinct is a partial + final hash aggregate, so a
   hub cell holding a third of all waypoints collapses map-side.
-* The trailing window is an *equi* join of two small shapes: the distinct
-  ``(cell, day0)`` pairs, exploded to the ``past_days + 1`` days they need, and
-  the history with one row per ``(cell, day)``.  The hours of one window are
-  one array of at most ``(past_days + 1) * 24`` entries, shared by all keys of
-  that place and day.
-* Scoring is a single ``groupBy`` with conditional counts for all metrics at
-  once, in the stage that holds the windows.
+* The trailing window is an *equi* join by blocks: history is shuffled once, to
+  one row per cell and block of ``past_days + 1`` days with its values sorted, and
+  a window touches two blocks at most.  Keys of one ``(cell, day0)`` travel as a row.
+* Ranks are binary searches in the sorted values; no row per key and hour is made.
 """
 
 from __future__ import annotations
@@ -25,6 +22,7 @@ from pyspark.sql import functions as F
 
 from flightlake.functions.geo import round_half_even
 from flightlake.functions.risk import MISSING_SCORE, percentile_of_score
+from flightlake.functions.search import count_at_or_below, count_below
 from flightlake.functions.timefn import SECONDS_PER_DAY, SECONDS_PER_HOUR, day_start, hour_offset
 from flightlake.schemas import SCORED_METRICS
 from flightlake.session import materialize
@@ -80,48 +78,62 @@ def trailing_history_counts(scored: DataFrame, observed: DataFrame, past_days: i
     the other way round (a lower value is riskier): their counts are of
     history values above / at-or-above the score.
     Output: ``cell, day0, fts, n_hist, s_m, bad_m, lt_m, le_m`` for each metric.
+
+    A block of history is as long as a window, so a window lies in two blocks at
+    most: the keys of a ``(cell, day0)`` meet these two, take the days that they
+    share and search the sorted values.  What travels behind the join are counts.
     """
-    h_cols = [f"h_{m}" for m in metrics]
-    windows = trailing_windows(scored.select("cell", "day0").distinct(), observed, past_days, metrics)
-    # Both sides are laid out by (cell, day0), which also satisfies the grouping by key.
-    hours = (scored.join(windows, ["cell", "day0"], "left")
-             .select(*KEY, *[f"s_{m}" for m in metrics], F.explode_outer("hours").alias("_h"))
-             .select(*KEY, *[f"s_{m}" for m in metrics], F.col("_h").isNotNull().alias("_seen"),
-                     *[F.col(f"_h.{c}").alias(c) for c in h_cols]))
-    aggs = [F.count_if("_seen").alias("n_hist")]
+    days = past_days + 1
+    blocks = history_blocks(observed, days, metrics)
+    s_cols = [f"s_{m}" for m in metrics]
+    last = (F.col("day0") / F.lit(SECONDS_PER_DAY)).cast("long")
+    # one row per (cell, day0) with its forecast hours: few, however many flights there are
+    starts = (scored.groupBy("cell", "day0").agg(F.collect_list(F.struct("fts", *s_cols)).alias("_keys"))
+              .withColumns({"_last": last, "_first": last - F.lit(past_days)})
+              .withColumn("block", F.explode(F.sequence(F.floor(F.col("_first") / days), F.floor(F.col("_last") / days)))))
+    inside = lambda day: (day >= F.col("_first")) & (day <= F.col("_last"))
+    shared = {f"_v_{m}": F.transform(F.filter(f"_sorted_{m}", lambda x: inside(x["hday"])), lambda x: x["v"]) for m in metrics}
+    met = (starts.join(blocks, ["cell", "block"], "left")
+           .withColumns(shared | {"_n": F.size(F.filter("_days", inside))})
+           .select("cell", "day0", "_n", *shared, F.explode("_keys").alias("_key")))
+    # the arrays are columns by now (see ``explode``): a search reads them in place
+    counts = {}
+    for m in metrics:
+        values, score = F.col(f"_v_{m}"), F.col(f"_key.s_{m}")
+        n = F.coalesce(F.size(values), F.lit(0))
+        lt, le = count_below(values, score), count_at_or_below(values, score)
+        if m in invert:
+            lt, le = n - le, n - lt
+        counts[f"bad_{m}"] = F.coalesce(F.col("_n"), F.lit(0)) - n
+        counts[f"lt_{m}"] = F.when(score.isNotNull(), lt).otherwise(F.lit(0))
+        counts[f"le_{m}"] = F.when(score.isNotNull(), le).otherwise(F.lit(0))
+    halves = met.select("cell", "day0", F.col("_key.fts").alias("fts"), F.coalesce("_n", F.lit(0)).alias("n_hist"),
+                        *[F.col(f"_key.{c}").alias(c) for c in s_cols], *[c.alias(name) for name, c in counts.items()])
+    aggs = [F.sum("n_hist").alias("n_hist")]
     for m in metrics:
-        h, s = F.col(f"h_{m}"), F.col(f"s_{m}")
-        bad = h.isNull() | F.isnan(h)
-        below, at_or_below = ((h > s), (h >= s)) if m in invert else ((h < s), (h <= s))
-        aggs += [
-            F.max(s).alias(f"s_{m}"),
-            F.count_if(F.col("_seen") & bad).alias(f"bad_{m}"),
-            F.count_if(~bad & below).alias(f"lt_{m}"),
-            F.count_if(~bad & at_or_below).alias(f"le_{m}"),
-        ]
-    return hours.groupBy(*KEY).agg(*aggs)
-
-
-def trailing_windows(starts: DataFrame, observed: DataFrame, past_days: int = 90,
-                     metrics: Sequence[str] = SCORED_METRICS) -> DataFrame:
-    """``cell, day0, hours``: the history hours of every distinct ``(cell, day0)``.
-
-    History is first one row per ``(cell, day)`` (its hours in an array), so the
-    exploded side carries two numbers per day and every day row is joined once
-    per window, not once per key and hour.  Observed tables hold one row per
-    ``(cell, ts_hour)`` (see ``sources.weather.latest_pull``): an array holds at
-    most ``(past_days + 1) * 24`` hours.
+        aggs += [F.max(f"s_{m}").alias(f"s_{m}"), *[F.sum(f"{c}_{m}").alias(f"{c}_{m}") for c in ("bad", "lt", "le")]]
+    return halves.groupBy(*KEY).agg(*aggs)
+
+
+def history_blocks(observed: DataFrame, days: int, metrics: Sequence[str] = SCORED_METRICS) -> DataFrame:
+    """``cell, block, _days, _sorted_<metric>``: history by blocks of ``days`` days.
+
+    ``_days`` has the day of every hour; ``_sorted_m`` the hours with a value, as
+    ``(v, hday)`` in the order of the values (NaN and null have none).  Observed tables
+    hold one row per ``(cell, ts_hour)`` (see ``sources.weather.latest_pull``): an array
+    has at most ``days * 24`` entries.  The one shuffle of the history is this one.
     """
     # A landed weather table carries its UTC day number; otherwise derive it.
     day = F.col(DAY_COLUMN) if DAY_COLUMN in observed.columns \
         else F.floor(F.col("ts_hour") / F.lit(SECONDS_PER_DAY))
-    days = (observed.select("cell", day.cast("long").alias("hday"),
-                            F.struct(*[F.col(m).alias(f"h_{m}") for m in metrics]).alias("_hour"))
-            .groupBy("cell", "hday").agg(F.collect_list("_hour").alias("_hours")))
-    day_no = (F.col("day0") / F.lit(SECONDS_PER_DAY)).cast("long")
-    wanted = starts.withColumn("hday", F.explode(F.sequence(day_no - F.lit(past_days), day_no)))
-    return (wanted.join(days, ["cell", "hday"], "inner").groupBy("cell", "day0")
-            .agg(F.flatten(F.collect_list("_hours")).alias("hours")))
+    hours = observed.select("cell", day.cast("long").alias("hday"), *metrics)
+    hours = hours.withColumn("block", F.floor(F.col("hday") / F.lit(days)))
+
+    def ordered(m: str):
+        value = F.struct(F.col(m).cast("double").alias("v"), "hday")
+        return F.sort_array(F.collect_list(F.when(F.col(m).isNotNull() & ~F.isnan(m), value))).alias(f"_sorted_{m}")
+
+    return hours.groupBy("cell", "block").agg(F.collect_list("hday").alias("_days"), *[ordered(m) for m in metrics])
 
 
 def percentile_scores(counts: DataFrame, metrics: Sequence[str] = SCORED_METRICS,
