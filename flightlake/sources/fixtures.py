@@ -40,6 +40,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Deal rows to tasks by key, always: a driver table may be one row group, and what is derived from its rows
+    (payload text, paths) costs far more than moving their few columns."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
+
+
 def _epoch(ts: str = "ts") -> Column:
     """Epoch seconds of a driver timestamp (stored without zone, read as UTC)."""
     return F.unix_seconds(F.col(ts).cast("timestamp"))
@@ -91,7 +97,7 @@ def airport_csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------------ schedules
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders")
+    o = spread(table(spark, sf_dir, "orders"), "o_orderkey")
     dep_e = F.lit(E0) + (F.col("o_orderkey") % 240) * HOUR
     return o.select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority",

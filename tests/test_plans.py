@@ -43,15 +43,18 @@ def test_status_filter_reaches_the_scan(spark, tmp_path):
         or "PushedFilters: [In(flight_status, [scheduled])]" in plan
 
 
-def test_history_join_keys_and_exchanges(spark):
-    """Without broadcasts: joined on (cell, day); keys are not shuffled per history day."""
+def test_history_is_shuffled_once_by_blocks(spark):
+    """Without broadcasts: joined on (cell, block); no row per key and history hour, no copy per window day."""
     import re
 
     from flightlake.operators.weather_risk import key_risk
 
-    keys = spark.createDataFrame([(1, 86400 * 19750, 86400 * 19750)], "cell long, day0 long, fts long")
-    w = spark.createDataFrame([(1, 86400 * 19740, 1.0, 1.0, 0.0)],
-                              "cell long, ts_hour long, precipitation double, visibility double, snow_depth double")
+    metrics = "precipitation double, visibility double, snow_depth double"
+    day = 86400
+    keys = spark.createDataFrame([(1, day * (19750 + d), day * (19750 + d) + 3600 * h) for d in range(40) for h in range(5)],
+                                 "cell long, day0 long, fts long")
+    hours = [(1, day * (19600 + d) + 3600 * h, float(d % 7), float(h), 0.0) for d in range(250) for h in range(24)]
+    w = spark.createDataFrame(hours, f"cell long, ts_hour long, {metrics}")
     prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
@@ -59,15 +62,38 @@ def test_history_join_keys_and_exchanges(spark):
         plan = _plan(risk).split("Initial Plan")[-1]
         joins = re.findall(r"SortMergeJoin \[(.*?)\], \[(.*?)\]", plan)
         names = [re.sub(r"#\d+L?", "", a) for a, _ in joins]
-        assert "cell, hday" in names and "cell, day0" in names and "cell, fts" in names
-        # forecast (2), pairs for the days (1), history days (1) and their join side, windows (1), keys by window (1)
-        assert len(re.findall(r"Exchange hashpartitioning", plan)) <= 9
-        assert "Window" not in plan and "Cartesian" not in plan
-        assert risk.count() == 1
+        assert names == ["cell, block", "cell, fts"]
+        # history (1), forecast and its keys (2), keys by (cell, day0), their blocks, counts by key
+        assert len(re.findall(r"Exchange hashpartitioning", plan)) <= 6
+        assert plan.count("Generate explode") == 2 and "Window" not in plan and "Cartesian" not in plan
+        before = _rows_shuffled(spark, risk)
+        assert before <= len(hours) * 2 + 200 * 5  # history and forecast once each, keys a few times
+        assert risk.count() == 200
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
 
 
+def _rows_shuffled(spark, df):
+    """Rows written to exchanges when ``df`` is executed (SQL metrics of the executed plan)."""
+    df.collect()
+    plan, total = df._jdf.queryExecution().executedPlan(), 0
+    todo = [plan]
+    while todo:
+        node = todo.pop()
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            todo.append(node.executedPlan())
+            continue
+        if name in ("ShuffleQueryStage", "BroadcastQueryStage"):
+            todo.append(node.plan())
+            continue
+        if name == "Exchange":
+            total += node.metrics().get("shuffleRecordsWritten").get().value()
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return total
+
+
 def test_size_check_moves_no_rows_to_one_task(spark):
     from flightlake.operators.broadcast import is_bounded
     df = spark.range(5000)
