@@ -6,7 +6,7 @@ plan     schedule envelopes (or a landed parquet table) + airports + weather
 board    board payloads + airports -> arrivals table and flight picker
 track    flight-detail payloads -> sampled trail, current position, projected path
 refresh  start the planner refresh stream over a landing folder (availableNow)
-land     convert landed schedule / weather JSON into partitioned parquet
+land     convert landed schedule / weather / forecast JSON into partitioned, versioned parquet
 """
 
 from __future__ import annotations
@@ -24,14 +24,16 @@ from flightlake.session import build_session, materialize, run_folder
 from flightlake.sources.airports import read_airports
 from flightlake.sources.board import board_rows, read_board
 from flightlake.sources.detail import detail_flat, read_flight_detail, trail_rows
-from flightlake.sources.landing import land_schedule, land_weather
+from flightlake.sources.landing import land_forecast, land_schedule, land_weather
 from flightlake.sources.pulls import newest_pull, pull_name
 from flightlake.sources.schedule import flat_schedule, read_newest_schedule
 from flightlake.sources.sinks import write_plan
+from flightlake.sources.versions import is_versioned, read_version
 
 
 def _weather(spark, path):
-    return spark.read.parquet(path)
+    """A landed (versioned) weather table at its newest version, or plain parquet."""
+    return read_version(spark, path) if is_versioned(spark, path) else spark.read.parquet(path)
 
 
 def cmd_plan(spark, a):
@@ -48,10 +50,9 @@ def cmd_plan(spark, a):
     legs = planner.leg_metrics(schedule, uniq,
                                segments="by_distance" if a.by_distance else 3,
                                max_flights=a.max_flights)
-    w = _weather(spark, a.weather)
-    forecast = _weather(spark, a.forecast) if a.forecast else w
     legs = planner.identified(legs)
-    table = planner.planner_table(legs, w, forecast, past_days=a.past_days, hour_anchor=a.hour_anchor)
+    table = planner.planner_table(legs, _weather(spark, a.weather), _weather(spark, a.forecast), past_days=a.past_days,
+                                  hour_anchor=a.hour_anchor, as_of=a.as_of)
     write_plan(table, f"{a.out}/plan", fmt=a.format)
     if a.format == "parquet":
         points = spark.read.parquet(f"{a.out}/plan")
@@ -90,8 +91,9 @@ def cmd_track(spark, a):
 def cmd_refresh(spark, a):
     from flightlake.streaming.refresh import start_refresh
     uniq = unique_airports(read_airports(spark, a.airports))
-    w = _weather(spark, a.weather)
-    q = start_refresh(spark, a.landing, a.out, a.checkpoint, uniq, w, w, past_days=a.past_days)
+    # versioned tables go as paths: every batch takes their newest version
+    weather, forecast = (p if is_versioned(spark, p) else spark.read.parquet(p) for p in (a.weather, a.forecast))
+    q = start_refresh(spark, a.landing, a.out, a.checkpoint, uniq, weather, forecast, past_days=a.past_days)
     q.awaitTermination()
 
 
@@ -100,6 +102,8 @@ def cmd_land(spark, a):
         land_schedule(spark, a.schedule, f"{a.out}/schedule")
     if a.weather:
         land_weather(spark, a.weather, f"{a.out}/weather", resolution_deg=a.resolution)
+    if a.forecast:
+        land_forecast(spark, a.forecast, f"{a.out}/forecast", resolution_deg=a.resolution)
 
 
 def main(argv=None) -> None:
@@ -110,8 +114,9 @@ def main(argv=None) -> None:
     s.add_argument("--schedule", required=True)
     s.add_argument("--schedule-format", choices=["json", "parquet"], default="json")
     s.add_argument("--airports", required=True)
-    s.add_argument("--weather", required=True, help="landed weather parquet (observed)")
-    s.add_argument("--forecast", help="landed forecast parquet (default: --weather)")
+    s.add_argument("--weather", required=True, help="landed table of observed weather")
+    s.add_argument("--forecast", required=True, help="landed table of forecasts")
+    s.add_argument("--as-of", type=int, help="seconds since 1970: later issues of a forecast do not count")
     s.add_argument("--past-days", type=int, default=90)
     s.add_argument("--hour-anchor", choices=["leg_start", "utc"], default="leg_start")
     s.add_argument("--by-distance", action="store_true")
@@ -133,13 +138,15 @@ def main(argv=None) -> None:
     s.add_argument("--landing", required=True)
     s.add_argument("--airports", required=True)
     s.add_argument("--weather", required=True)
+    s.add_argument("--forecast", required=True)
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--past-days", type=int, default=90)
     s.set_defaults(fn=cmd_refresh)
 
     s = sub.add_parser("land")
     s.add_argument("--schedule")
-    s.add_argument("--weather")
+    s.add_argument("--weather", help="folder of observed weather responses")
+    s.add_argument("--forecast", help="folder of forecast responses (issue=<time>/...)")
     s.add_argument("--resolution", type=float, default=0.25)
     s.set_defaults(fn=cmd_land)
 

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flightlake.functions.geo import round_half_even
@@ -37,6 +37,8 @@ DEFAULT_SALT_BUCKETS = 32
 HOT_KEY_POINTS = 100_000
 # Optional partition column of weather tables: UTC day number of ``ts_hour``.
 DAY_COLUMN = "day"
+# Column of forecast tables that hold several issues of an hour (seconds since 1970).
+ISSUE_COLUMN = "issue"
 
 
 def add_forecast_key(points: DataFrame, t: str = "t", leg_start: str = "leg_start",
@@ -57,17 +59,43 @@ def add_forecast_key(points: DataFrame, t: str = "t", leg_start: str = "leg_star
     return points.withColumns({"day0": day0, "fts": fts})
 
 
-def forecast_lookup(keys: DataFrame, forecast: DataFrame,
-                    metrics: Sequence[str] = SCORED_METRICS) -> DataFrame:
+def forecast_lookup(keys: DataFrame, forecast: DataFrame, metrics: Sequence[str] = SCORED_METRICS,
+                    as_of: Column | int | None = None) -> DataFrame:
     """Left equi join key -> forecast row at ``(cell, fts)``; adds ``s_<metric>``.
 
-    A key without a forecast row keeps null scores (scored as missing later).
+    A key without a forecast row keeps null scores (scored as missing later).  A table
+    with an ``issue`` column holds every issue of an hour: the newest one not after
+    ``as_of`` counts (seconds; a column of ``keys``, or one number for all; None: the newest).
     """
+    if ISSUE_COLUMN in forecast.columns:
+        return _forecast_as_of(keys, forecast, metrics, as_of)
     fc = forecast.select(F.col("cell"), F.col("ts_hour").alias("fts"),
                          *[F.col(m).alias(f"s_{m}") for m in metrics])
     return keys.join(fc, ["cell", "fts"], "left")
 
 
+def _forecast_as_of(keys: DataFrame, forecast: DataFrame, metrics: Sequence[str], as_of: Column | int | None) -> DataFrame:
+    """As-of join on the issue: the issues of an hour are an array in order, and a key searches its own.
+
+    An array holds the issues of one place and hour (as many as forecasts reach it).
+    """
+    if as_of is not None and not isinstance(as_of, Column):
+        forecast = forecast.where(F.col(ISSUE_COLUMN) <= F.lit(as_of))  # reaches the scan
+    values = F.struct(*[F.col(m).alias(f"s_{m}") for m in metrics])
+    # an issue that was pulled twice: the newer pull counts
+    order = [ISSUE_COLUMN, *(c for c in ("pull",) if c in forecast.columns)]
+    if isinstance(as_of, Column):
+        issued = F.array_sort(F.collect_list(F.struct(*order, values.alias("_values"))))
+        fc = (forecast.groupBy("cell", F.col("ts_hour").alias("fts")).agg(issued.alias("_issued"))
+              .withColumn("_when", F.col(f"_issued.{ISSUE_COLUMN}")))
+        met = keys.withColumn("_as_of", as_of).join(fc, ["cell", "fts"], "left")
+        found = F.get("_issued", count_at_or_below(F.col("_when"), F.col("_as_of")) - 1)["_values"]
+    else:
+        fc = forecast.groupBy("cell", F.col("ts_hour").alias("fts")).agg(F.max_by(values, F.struct(*order)).alias("_values"))
+        met, found = keys.join(fc, ["cell", "fts"], "left"), F.col("_values")
+    return (met.withColumn("_found", found).select(*keys.columns, *[F.col(f"_found.s_{m}").alias(f"s_{m}") for m in metrics]))
+
+
 def trailing_history_counts(scored: DataFrame, observed: DataFrame, past_days: int = 90,
                             metrics: Sequence[str] = SCORED_METRICS,
                             invert: Sequence[str] = ()) -> DataFrame:
@@ -202,7 +230,7 @@ def weather_window(observed: DataFrame, forecast: DataFrame, stats,
 
 def key_risk(keys: DataFrame, observed: DataFrame, forecast: DataFrame, past_days: int = 90,
              metrics: Sequence[str] = SCORED_METRICS, nan_policy: str = "propagate",
-             prune_weather: bool = False, invert: Sequence[str] = ()) -> DataFrame:
+             prune_weather: bool = False, invert: Sequence[str] = (), as_of: int | None = None) -> DataFrame:
     """Risk table for distinct keys ``(cell, day0, fts)``.
 
     ``prune_weather`` bounds both weather scans to the keys' time range first
@@ -211,7 +239,7 @@ def key_risk(keys: DataFrame, observed: DataFrame, forecast: DataFrame, past_day
     """
     if prune_weather:
         observed, forecast = weather_window(observed, forecast, key_stats(keys), past_days)
-    scored = forecast_lookup(keys, forecast, metrics)
+    scored = forecast_lookup(keys, forecast, metrics, as_of)
     counts = trailing_history_counts(scored, observed, past_days, metrics, invert)
     return risk_from_scores(percentile_scores(counts, metrics, nan_policy), metrics)
 
@@ -222,11 +250,12 @@ def score_waypoints(points: DataFrame, observed: DataFrame, forecast: DataFrame,
                     nan_policy: str = "propagate", prune_weather: bool = True,
                     max_broadcast_keys: int = DEFAULT_MAX_BROADCAST_KEYS,
                     salt_buckets: int = DEFAULT_SALT_BUCKETS, hot_key_points: int = HOT_KEY_POINTS,
-                    invert: Sequence[str] = (), materialize_keys: bool = True) -> DataFrame:
+                    invert: Sequence[str] = (), materialize_keys: bool = True, as_of: int | None = None) -> DataFrame:
     """Attach ``risk`` to every waypoint row.
 
     ``points`` needs ``cell``, ``t`` and ``leg_start``; ``observed`` and
-    ``forecast`` need ``cell``, ``ts_hour`` (epoch of the hour) and the metrics.
+    ``forecast`` need ``cell``, ``ts_hour`` (epoch of the hour) and the metrics; of a forecast
+    with issues the newest one not after ``as_of`` counts.
 
     Join back: the exact key count (one small aggregate, shared with the
     weather bounds) proves the risk table's size.  Up to ``max_broadcast_keys``
@@ -244,7 +273,7 @@ def score_waypoints(points: DataFrame, observed: DataFrame, forecast: DataFrame,
     if prune_weather:
         observed, forecast = weather_window(observed, forecast, stats, past_days)
     risk = key_risk(keys, observed, forecast, past_days, metrics, nan_policy,
-                    prune_weather=False, invert=invert).select(*KEY, "risk")
+                    prune_weather=False, invert=invert, as_of=as_of).select(*KEY, "risk")
     if stats["n"] <= max_broadcast_keys:
         joined = pts.join(F.broadcast(risk), KEY, "left")
     else:

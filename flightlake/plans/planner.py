@@ -122,13 +122,14 @@ def plan_waypoints(legs: DataFrame, observed: DataFrame, forecast: DataFrame,
                    metrics: Sequence[str] = SCORED_METRICS, nan_policy: str = "propagate",
                    keep: Sequence[str] = (FLIGHT_KEY,),
                    materialize_points: bool = True, prune_weather: bool = True,
-                   invert: Sequence[str] = ()) -> DataFrame:
+                   invert: Sequence[str] = (), as_of: int | None = None) -> DataFrame:
     """Risk-scored waypoints: ``keep..., idx, lat, lon, t, risk, band`` (Q1).
 
     With ``materialize_points`` the waypoint table is written once to the
     shared checkpoint folder (``spark.checkpoint.dir``) before scoring.
     ``invert`` names metrics where a lower value is riskier (e.g. visibility);
-    by default every metric ranks upward, as in the original planner.
+    by default every metric ranks upward, as in the original planner.  ``as_of`` is the
+    time of the plan: of a forecast table with issues no later issue counts.
     """
     pts = waypoints(legs, keep).withColumn("cell", cell_fn(F.col("lat"), F.col("lon")))
     if materialize_points:
@@ -136,7 +137,7 @@ def plan_waypoints(legs: DataFrame, observed: DataFrame, forecast: DataFrame,
         # write them once instead of re-running the schedule pipeline twice.
         pts = materialize(pts, "waypoints")
     scored = score_waypoints(pts, observed, forecast, past_days, hour_anchor, metrics, nan_policy,
-                             prune_weather, invert=invert)
+                             prune_weather, invert=invert, as_of=as_of)
     return scored.select(*keep, "idx", "lat", "lon", "t", "risk",
                          risk_band(F.col("risk")).alias("band"))
 

@@ -14,9 +14,9 @@ from flightlake.functions.text import normalize_strings
 from flightlake.functions.timefn import SECONDS_PER_DAY, iso_to_epoch
 from flightlake.operators.flatten import flatten_by_map
 from flightlake.schemas import SCHEDULE_COLUMNS
-from flightlake.session import materialize
 from flightlake.sources.schedule import read_schedule
-from flightlake.sources.weather import latest_pull, read_weather
+from flightlake.sources.versions import Version, land
+from flightlake.sources.weather import latest_pull, read_forecast, read_weather
 
 
 # Most files of a partition that one landing writes.
@@ -44,26 +44,36 @@ def land_schedule(spark: SparkSession, json_path: str, out_path: str,
 
 
 def land_weather(spark: SparkSession, json_path: str, out_path: str,
-                 resolution_deg: float = 0.25, mode: str = "append") -> None:
-    """Landed weather responses -> long hourly facts partitioned by UTC ``day``.
+                 resolution_deg: float = 0.25, mode: str = "append") -> Version:
+    """Landed weather responses -> the next version of a table of hourly facts by UTC ``day``.
 
-    The ``day`` column is the one the risk scoring bounds when it prunes the
-    weather scan to the planned time range.
+    Of an hour that is landed already the newest pull's values stay.  The ``day`` column is
+    the one the risk scoring bounds when it prunes the scan to the planned time range.
     """
-    rows = read_weather(spark, json_path, resolution_deg)
-    rows = rows.withColumn("day", F.floor(F.col("ts_hour") / F.lit(SECONDS_PER_DAY)))
-    if mode == "append" and _exists(spark, out_path):
-        # Hours that are landed already: the newest pull of each stays.
-        days = materialize(rows.select("day").distinct(), "landed-days")
-        old = spark.read.parquet(out_path).join(days, "day", "left_semi").select(*rows.columns)
-        rows = materialize(latest_pull(rows.unionByName(old), keys=("cell", "ts_hour", "day")), "landed-weather")
-    spread = F.pmod(F.xxhash64("cell"), F.lit(FILES_PER_DAY))
-    _replace_partitions(rows.repartition("day", spread), out_path, ("day",), mode)
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+    rows = _by_day(read_weather(spark, json_path, resolution_deg))
+
+    def newest(new: DataFrame, old: DataFrame) -> DataFrame:
+        return latest_pull(new.unionByName(old), keys=("cell", "ts_hour", "day")).select(*new.columns)
+
+    return land(spark, out_path, rows, "day", newest, _cells_together, fresh=mode == "overwrite")
+
+
+def land_forecast(spark: SparkSession, json_path: str, out_path: str, resolution_deg: float = 0.25) -> Version:
+    """Landed forecast responses -> the next version of a table ``(cell, ts_hour, issue, metrics)`` by valid ``day``.
+
+    Issues are added, none replaces another: a plan takes the newest one not after its time
+    (``operators.weather_risk.forecast_lookup``).  Of an issue landed again the newest pull counts.
+    """
+    return land(spark, out_path, _by_day(read_forecast(spark, json_path, resolution_deg)), "day", None, _cells_together)
+
+
+def _by_day(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("day", F.floor(F.col("ts_hour") / F.lit(SECONDS_PER_DAY)))
+
+
+def _cells_together(rows: DataFrame) -> DataFrame:
+    """A day's rows in a few files, each a range of cells in order, so that row groups are told apart by ``cell``."""
+    return rows.repartitionByRange("day", "cell", "ts_hour").sortWithinPartitions("day", "cell", "ts_hour")
 
 
 def _replace_partitions(rows: DataFrame, path: str, by: tuple[str, ...], mode: str) -> None:

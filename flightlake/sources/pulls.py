@@ -21,6 +21,27 @@ def pull_name() -> Column:
         F.concat(F.lit("file="), written, F.lit("/"), F.col("_metadata.file_name")))
 
 
+def pull_number() -> Column:
+    """Pull of a row that is read from files, as a number that grows: microseconds since 1970.
+
+    From the folder ``pull=<name>`` where its name is a time (``yyyyMMddTHHmmss``, UTC, or
+    seconds since 1970), so that copying files does not reorder pulls; else the time the file was written.
+    """
+    return F.coalesce(_folder_time("pull"), F.unix_micros("_metadata.file_modification_time"))
+
+
+def issue_time() -> Column:
+    """Seconds since 1970 at which a forecast was issued: its folder ``issue=<time>``, or else its pull."""
+    return F.floor(F.coalesce(_folder_time("issue"), pull_number()) / F.lit(1_000_000))
+
+
+def _folder_time(key: str) -> Column:
+    name = F.regexp_extract("_metadata.file_path", f"/{key}=([^/]+)/", 1)
+    seconds = F.when(name.rlike("^[0-9]{1,12}$"), name.cast("long"))
+    stamp = F.unix_timestamp(F.when(name.rlike("^[0-9]{8}T[0-9]{6}$"), name), "yyyyMMdd'T'HHmmss")
+    return F.coalesce(seconds, stamp) * F.lit(1_000_000)
+
+
 def newest_nonempty(envelopes: DataFrame, data: str = "data", pull: str = "pull") -> DataFrame:
     """The envelopes of the newest pull that holds a record; an empty pull never replaces it.
 

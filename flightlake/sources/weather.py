@@ -9,18 +9,29 @@ from pyspark.sql import functions as F
 
 from flightlake.functions.geo import grid_cell
 from flightlake.schemas import WEATHER_METRICS, WEATHER_PAYLOAD
+from flightlake.sources.pulls import issue_time, pull_number
 
 
 def read_weather(spark: SparkSession, path: str, resolution_deg: float = 0.25,
                  multiline: bool = True) -> DataFrame:
-    """Landed weather responses (parallel hourly arrays), one row per cell and hour.
+    """Landed responses of observed weather (parallel hourly arrays), one row per cell and hour.
 
-    The pull of a response is the time its file was written; the newest one wins.
+    Of several pulls (``sources.pulls.pull_number``) the newest one wins.
     """
-    raw = spark.read.schema(WEATHER_PAYLOAD).option("multiLine", multiline).json(path)
-    located = raw.withColumns({"cell": grid_cell("latitude", "longitude", resolution_deg),
-                               "pull": F.unix_micros("_metadata.file_modification_time")})
-    return latest_pull(unpivot_hours(located, keep=("cell", "pull")))
+    return latest_pull(unpivot_hours(_located(spark, path, resolution_deg, multiline), keep=("cell", "pull")))
+
+
+def read_forecast(spark: SparkSession, path: str, resolution_deg: float = 0.25,
+                  multiline: bool = True) -> DataFrame:
+    """Landed forecast responses, one row per cell, valid hour and issue (``sources.pulls.issue_time``)."""
+    located = _located(spark, path, resolution_deg, multiline, issue=issue_time())
+    return latest_pull(unpivot_hours(located, keep=("cell", "pull", "issue")), keys=("cell", "ts_hour", "issue"))
+
+
+def _located(spark: SparkSession, path: str, resolution_deg: float, multiline: bool, **more) -> DataFrame:
+    # folders named pull= and issue= are times, not columns of the payload: read them from the file's path
+    raw = spark.read.schema(WEATHER_PAYLOAD).option("multiLine", multiline).option("recursiveFileLookup", True).json(path)
+    return raw.withColumns({"cell": grid_cell("latitude", "longitude", resolution_deg), "pull": pull_number()} | more)
 
 
 def latest_pull(rows: DataFrame, keys: Sequence[str] = ("cell", "ts_hour"),

@@ -27,7 +27,7 @@ def test_cli_jobs(spark, tmp_path):
     a, out = str(tmp_path / "airports.dat"), str(tmp_path / "out")
 
     main(["plan", "--schedule", str(tmp_path / "sched"), "--airports", a,
-          "--weather", str(tmp_path / "weather"), "--past-days", "7", "--out", out + "/plan"])
+          "--weather", str(tmp_path / "weather"), "--forecast", str(tmp_path / "weather"), "--past-days", "7", "--out", out + "/plan"])
     wp = spark.read.parquet(out + "/plan/waypoints")
     assert {r.flight_iata for r in wp.select("flight_iata").distinct().collect()} == {"R1", "R8", "R9"}
     table = spark.read.parquet(out + "/plan/plan")

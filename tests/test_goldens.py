@@ -276,6 +276,7 @@ def test_unpivot_positions(spark):
 
 def test_landing_tables(spark, files, tmp_path):
     from flightlake.sources.landing import land_schedule, land_weather
+    from flightlake.sources.versions import read_version
 
     out = str(tmp_path / "schedule_pq")
     land_schedule(spark, str(files / "schedule"), out, mode="overwrite")
@@ -301,18 +302,18 @@ def test_landing_tables(spark, files, tmp_path):
     w.write_text(json.dumps({"latitude": 1.0, "longitude": 2.0, "hourly": hourly}))
     wout = str(tmp_path / "weather_pq")
     land_weather(spark, str(w), wout, mode="overwrite")
-    days = sorted(r["day"] for r in spark.read.parquet(wout).select("day").distinct().collect())
+    days = sorted(r["day"] for r in read_version(spark, wout).select("day").distinct().collect())
     assert days == [19783, 19784]
     # landing the same file again adds no row, a newer pull replaces the hours it holds
     land_weather(spark, str(w), wout)
-    assert spark.read.parquet(wout).count() == 30
+    assert read_version(spark, wout).count() == 30
     hourly["precipitation"] = [9.0] * 30
     newer = tmp_path / "w2.json"
     newer.write_text(json.dumps({"latitude": 1.0, "longitude": 2.0, "hourly": {k: v[24:] for k, v in hourly.items()}}))
     import os
     os.utime(newer, (2_000_000_000, 2_000_000_000))
     land_weather(spark, str(newer), wout)
-    values = sorted((r["ts_hour"], r["precipitation"]) for r in spark.read.parquet(wout).collect())
+    values = sorted((r["ts_hour"], r["precipitation"]) for r in read_version(spark, wout).collect())
     assert len(values) == 30 and [p for _, p in values] == [1.0] * 24 + [9.0] * 6
     files = [f for _, _, names in os.walk(wout) for f in names if f.endswith(".parquet")]
     assert len(files) <= 2 * 4
