@@ -20,6 +20,7 @@ from flightlake.operators.flatten import flatten_keys
 from flightlake.operators.lookup import (busy_airport_semi, invalid_code_anti, unique_airports,
                                          valid_code_semi)
 from flightlake.operators.markers import airport_markers, sorted_markers
+from flightlake.operators.nearest import nearest_point
 from flightlake.operators.quality import quality_report
 from flightlake.operators.snapshot import latest_nonempty_snapshot
 from flightlake.operators.weather_risk import (KEY, add_forecast_key, forecast_lookup,
@@ -40,6 +41,7 @@ from flightlake.sources.pulls import newest_pull
 from flightlake.sources.weather import latest_pull, unpivot_hours
 
 TRAIL_EVERY = 10
+NEAREST_KM = 900.0
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -273,6 +275,19 @@ def forecast_lookup_q(spark, d):
                       *[f"s_{m}" for m in SCORED_METRICS])
 
 
+def forecast_issue_asof(spark, d):
+    """Per key the newest issue not after the time the key is asked for (one to three days before its day)."""
+    asked = F.col("day0") - (1 + F.col("cell") % 3) * 86400 + F.pmod(F.floor(F.col("fts") / 3600), F.lit(7)) * 3600
+    keys = _keys(spark, d).withColumn("asked", asked.cast("long"))
+    got = forecast_lookup(keys, fx.weather_issues_v(spark, d), as_of=F.col("asked"))
+    return got.select(*KEY, "asked", *[f"s_{m}" for m in SCORED_METRICS])
+
+
+def nearest_weather_point(spark, d):
+    pts = planner.waypoints(_planned_legs(spark, d))
+    return nearest_point(pts, fx.weather_points_v(spark, d), NEAREST_KM).select("flight_iata", "idx", "station", "station_km")
+
+
 def trailing_history_join(spark, d):
     w = _weather(spark, d)
     counts = trailing_history_counts(forecast_lookup(_keys(spark, d), w), w)
@@ -489,6 +504,8 @@ QUERIES: dict[str, Query] = {
     "quality_report": quality_report_q,             # F5, A5
     "forecast_lookup": forecast_lookup_q,           # J3, F6
     "scheduled_only": scheduled_only_q,             # F8
+    "forecast_issue_asof": forecast_issue_asof,     # S7, J3
+    "nearest_weather_point": nearest_weather_point, # J3
     # joins
     "valid_code_semi": valid_code_semi_q,           # J2
     "invalid_code_anti": invalid_code_anti_q,       # J2

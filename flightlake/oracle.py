@@ -438,6 +438,46 @@ SELECT w.flight_iata, w.idx, w.cell, w.fts, v.precipitation AS s_precipitation,
 FROM wk w LEFT JOIN wv v ON v.cell = w.cell AND v.ts_hour = w.fts
 """
 
+ORACLE_SQL["forecast_issue_asof"] = _PLANNED + """,
+asked AS (
+  SELECT cell, day0, fts, day0 - (1 + cell % 3) * 86400 + ((fts // 3600) % 7) * 3600 AS asked FROM keys
+),
+issues AS (
+  SELECT cell, ts_hour, k, ts_hour - ts_hour % 86400 - k * 86400 + (1 - cell % 2) * 21600 AS issue,
+         precipitation + k AS precipitation, visibility - k AS visibility, snow_depth + 10 * k AS snow_depth
+  FROM wv, (SELECT unnest([1, 2, 3]) AS k) WHERE k > 1 OR (ts_hour // 3600) % 4 <> 0
+),
+found AS (
+  SELECT a.*, i.precipitation, i.visibility, i.snow_depth,
+         row_number() OVER (PARTITION BY a.cell, a.day0, a.fts ORDER BY i.issue DESC NULLS LAST) AS r
+  FROM asked a LEFT JOIN issues i ON i.cell = a.cell AND i.ts_hour = a.fts AND i.issue <= a.asked
+)
+SELECT cell, day0, fts, CAST(asked AS BIGINT) AS asked, precipitation AS s_precipitation, visibility AS s_visibility,
+       snow_depth AS s_snow_depth
+FROM found WHERE r = 1
+"""
+
+ORACLE_SQL["nearest_weather_point"] = _PLANNED + """,
+places AS (SELECT DISTINCT lat, lon FROM pts),
+points AS (
+  SELECT CAST(s_suppkey AS BIGINT) AS station, CAST((s_suppkey * 37) % 181 - 90 AS DOUBLE) AS slat,
+         CAST((s_suppkey * 97) % 361 - 180 AS DOUBLE) AS slon FROM supplier
+),
+far AS (
+  SELECT lat, lon, station,
+    least(pow(sin((radians(slat) - radians(lat)) / 2), 2)
+          + cos(radians(lat)) * cos(radians(slat)) * pow(sin((radians(slon) - radians(lon)) / 2), 2), CAST(1 AS DOUBLE)) AS a
+  FROM places, points
+),
+near AS (
+  SELECT lat, lon, station, round(CAST(6371.0 AS DOUBLE) * (2 * atan2(sqrt(a), sqrt(1 - a))), 4) AS km,
+         row_number() OVER (PARTITION BY lat, lon ORDER BY round(CAST(6371.0 AS DOUBLE) * (2 * atan2(sqrt(a), sqrt(1 - a))), 4), station) AS r
+  FROM far
+)
+SELECT p.flight_iata, p.idx, n.station, n.km AS station_km
+FROM pts p LEFT JOIN near n ON n.lat = p.lat AND n.lon = p.lon AND n.r = 1 AND n.km <= 900
+"""
+
 # ------------------------------------------------------------------ joins
 ORACLE_SQL["valid_code_semi"] = _with(_AIRPORTS, _BOARD) + """
 SELECT pos, airport_code FROM board_v WHERE airport_code IN (SELECT code FROM uniq)

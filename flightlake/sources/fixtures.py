@@ -237,6 +237,27 @@ def weather_pulls_v(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.unionByName(stale).unionByName(newer).unionByName(first)
 
 
+def weather_issues_v(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forecasts of every weather hour: issued 1, 2 and 3 days before its day begins (in places of even number six
+    hours later), each with other values; every fourth hour lacks the newest one."""
+    w = weather_v(spark, sf_dir)
+    day0 = F.col("ts_hour") - F.pmod("ts_hour", F.lit(86400))
+    issues = w.withColumn("_k", F.explode(F.array(*[F.lit(k) for k in (1, 2, 3)])))
+    issues = issues.where((F.col("_k") > 1) | (F.pmod(F.floor(F.col("ts_hour") / HOUR), F.lit(4)) != 0))
+    return issues.select(
+        "cell", "ts_hour", (day0 - F.col("_k") * 86400 + (1 - F.col("cell") % 2) * 6 * HOUR).cast("long").alias("issue"),
+        (F.col("precipitation") + F.col("_k")).alias("precipitation"), (F.col("visibility") - F.col("_k")).alias("visibility"),
+        (F.col("snow_depth") + 10 * F.col("_k")).alias("snow_depth"))
+
+
+def weather_points_v(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weather points off the grid, from ``supplier``."""
+    k = F.col("s_suppkey")
+    return table(spark, sf_dir, "supplier").select(
+        k.cast("long").alias("station"), ((k * 37) % 181 - 90).cast("double").alias("station_lat"),
+        ((k * 97) % 361 - 180).cast("double").alias("station_lon"))
+
+
 def weather_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weather hours packed back into per-(cell, day) parallel hourly arrays."""
     w = weather_v(spark, sf_dir)
