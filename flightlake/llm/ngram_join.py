@@ -13,13 +13,16 @@ Jaccard similarity is at least 0.8.  The result is exact:
 3. *Groups of similar documents.*  In the order (documents that hold a token, token)
    two linked documents share one of their rarest tokens, those that make up the
    last 20 % and one more.  Documents with a common rare token meet in a bucket; each is compared with
-   the bucket leader it shares most buckets with.  The components of these links
-   are the groups; then every document that meets another group is offered one
-   member or two of such, for as long as one offer in ten links.
+   the bucket leader it shares most buckets with.  The components of these links are the groups.
 4. *Token-group matrix.*  The union of the members' rare tokens is stored per group.
    For a document and a group that it does not belong to, the overlap with this
    union bounds the overlap with each member (``_least_common``).  Only groups that
    reach the bound are opened, and the members that share a bucket are compared.
+5. *Hot buckets.*  Buckets of more than ``HOT_MEMBERS`` members (families of near copies) are no part
+   of the matrix: there the union of a group says nothing, as all members hold nearly all of it.
+   Their members are written as differences from the smallest of them (``_hot_links``): what two
+   documents must have in common in these differences follows from their sizes, and a difference is mostly
+   made of tokens that nobody else has, so hardly any pair is compared.
 
 No step lists pairs within a group: members are joined to it by one comparison.
 
@@ -46,17 +49,15 @@ from flightlake.llm.textkit import SHINGLE, ranges, shingle_hashes, text_blocks
 
 #: Similarity in hundredths, documents of a batch, text bytes per token shard.
 PERCENT, BATCH_ROWS, SHARD_BYTES = 80, 4096, 12 << 20
-#: Rounds of offers go on while one in so many links (what they leave is compared in step 4).
-OFFERS_PER_LINK = 10
-#: Members that a bucket offers in a round, and offers that a document takes up.
-OFFERED, TAKEN = 8, 2
+#: Members from which a bucket of several groups is compared by differences.
+HOT_MEMBERS = 32
 #: Bytes of a hash that travel.
 TOKEN_BYTES = 6
 
 _ROW = pa.schema([("grp", pa.int64()), ("batch", pa.int64()), ("kind", pa.int32()), ("a", pa.binary()), ("b", pa.binary()),
                   ("c", pa.binary()), ("d", pa.binary())])
 _ROW_SQL = "grp long, batch long, kind int, a binary, b binary, c binary, d binary"
-_DOC_SQL = "doc_id long, n_shingles long, set_key binary, tokens array<long>"
+_DOC_SQL = "doc_id long, mark long, n_shingles long, set_key binary, tokens array<long>"
 HEAD, SHARD = 0, 1
 
 
@@ -128,7 +129,8 @@ def _pack(batch: pa.RecordBatch, number: int, shards: int, size: int) -> Iterato
     several_docs = doc[order[ranges(at[held > 1][by_shard], several_held)]]
     several_cut = np.searchsorted(its_shard[by_shard], np.arange(shards + 1))
     ids = batch.column(0).cast(pa.string()).fill_null("").to_pylist()
-    rows = [(-1 - number, number, HEAD, "\n".join(ids).encode(), sizes.astype("<u4").tobytes() + b"".join(keys),
+    names = "\n".join(f"{i} {m}" for i, m in zip(ids, batch.column(2).to_pylist(), strict=True))
+    rows = [(-1 - number, number, HEAD, names.encode(), sizes.astype("<u4").tobytes() + b"".join(keys),
              singles.astype("<u4").tobytes(),
              several_cut.astype("<u4").tobytes() + several_held.astype("<u2").tobytes() + several_docs.astype("<u2").tobytes())]
     for s in range(shards):
@@ -201,7 +203,8 @@ def _assembler(percent: int):
         rows = table.to_pylist()
         head = next(r for r in rows if r["kind"] == HEAD)
         replies = [r for r in rows if r["kind"] != HEAD]
-        ids = [int(x) if x else None for x in head["a"].decode().split("\n")]
+        names = [x.split(" ") for x in head["a"].decode().split("\n")]
+        ids, marks = [int(x) if x else None for x, _ in names], [int(m) for _, m in names]
         n = np.frombuffer(head["b"][: 4 * len(ids)], "<u4").astype(np.int64)
         keys = [head["b"][4 * len(ids) + 16 * i: 4 * len(ids) + 16 * i + 16] for i in range(len(ids))]
         tokens: list = [None] * len(ids)
@@ -216,7 +219,7 @@ def _assembler(percent: int):
             bounds = np.searchsorted(owner, np.arange(len(ids) + 1))
             for i in np.flatnonzero(able).tolist():
                 tokens[i] = value[bounds[i]:bounds[i + 1]].view(np.int64)
-        return pa.table({"doc_id": pa.array(ids, pa.int64()), "n_shingles": pa.array(n), "set_key": pa.array(keys, pa.binary()),
+        return pa.table({"doc_id": pa.array(ids, pa.int64()), "mark": pa.array(marks, pa.int64()), "n_shingles": pa.array(n), "set_key": pa.array(keys, pa.binary()),
                          "tokens": pa.array(tokens, pa.list_(pa.int64()))})
     return run
 
@@ -234,16 +237,29 @@ def _needed(n: Column, percent: int) -> Column:
     return F.ceil(n * percent / 100)
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
-                       percent: int = PERCENT, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row (whole-number ids)."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    found = _labelled(docs, id_col, text_col, **options)
+    return found.select("doc_id", "n_shingles", F.coalesce("first.doc_id", "doc_id").alias("component_id"))
+
+
+def _mark(text_col: str) -> Column:
+    """Tells rows of one id apart by their texts."""
+    return F.xxhash64(F.col(text_col).cast("string"))
+
+
+def _labelled(docs: DataFrame, id_col: str, text_col: str, size: int = SHINGLE, percent: int = PERCENT,
+              shard_bytes: int = SHARD_BYTES, hot_members: int = HOT_MEMBERS) -> DataFrame:
+    """``doc_id, mark, n_shingles, first`` for every row: the first row, by id and mark, of its component (if that has ids)."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
+                       _mark(text_col).alias("mark"))
     shards = shards_for(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0, shard_bytes)
     table = written(rows.mapInArrow(_packer(shards, size), schema=_ROW_SQL).groupBy("grp").applyInArrow(
         _answer, schema=_ROW_SQL).groupBy("batch").applyInArrow(_assembler(percent), schema=_DOC_SQL), "jaccard-documents")
     able = table.where(F.col("tokens").isNotNull())
-    # equal sets are one class: a row per class with its tokens, and the number of rows
-    sizes = able.groupBy(F.col("set_key").alias("node")).agg(F.count("*").alias("rows"), F.min("doc_id").alias("least"))
+    # equal sets are one class: a row per class with its tokens, and its first row
+    row = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "mark"))
+    sizes = able.groupBy(F.col("set_key").alias("node")).agg(F.min(row).alias("least"))
     sets = written(able.select(F.col("set_key").alias("node"), F.col("n_shingles").alias("n"), "tokens")
                    .dropDuplicates(["node"]), "jaccard-sets")
     # candidate classes: those with a rare token that another class holds, too
@@ -256,27 +272,17 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     links = written(_similar(met.select(F.col("node").alias("a"), F.col("leader").alias("b")), sets, percent),
                     "jaccard-links")
     groups = components(links)
-    grouped, turn = _grouped(rare, groups), 0
-    while True:  # each round offers every document that meets another group one member of it
-        offers = written(_offers(grouped, turn), "jaccard-offers")
-        new = written(_similar(offers, sets, percent), "jaccard-links")
-        found = new.count()
-        if found:
-            links = links.union(new)
-            groups = components(links)
-            turn += 1
-            grouped = _grouped(rare, groups)
-        if not found or found * OFFERS_PER_LINK < offers.count():
-            break
+    links = written(links.union(_hot_links(_grouped(rare, groups).where(F.col("members") > hot_members), sets, percent)),
+                    "jaccard-links")
+    grouped = _grouped(rare.where(F.col("members") <= hot_members), components(links))
     links = links.union(_across(grouped, sets, percent))
     final = components(links)
     label = final.select(F.col("node").alias("set_key"), "label")
     named = (sizes.withColumnRenamed("node", "set_key").join(label, "set_key", "left")
              .withColumn("label", F.coalesce("label", "set_key")))
-    least = named.groupBy("label").agg(F.min("least").alias("component_id"))
-    named = named.join(least, "label").select("set_key", "component_id")
-    return (table.drop("tokens").join(named, "set_key", "left")
-            .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")))
+    least = named.groupBy("label").agg(F.min("least").alias("first"))
+    named = named.join(least, "label").select("set_key", "first")
+    return table.drop("tokens").join(named, "set_key", "left").select("doc_id", "mark", "n_shingles", "first")
 
 
 def _least_common(n: Column, other: Column, percent: int) -> Column:
@@ -294,27 +300,66 @@ def _grouped(rare: DataFrame, groups: DataFrame) -> DataFrame:
     """The bucket rows with their groups and the groups' sizes, of buckets that hold several groups."""
     sizes = groups.groupBy("label").agg(F.count("*").alias("docs"))
     rows = (rare.join(groups.join(sizes, "label"), "node", "left")
-            .select("token", "node", "n", F.coalesce("label", "node").alias("grp"), F.coalesce("docs", F.lit(1)).alias("docs")))
+            .select("token", "node", "n", "members", F.coalesce("label", "node").alias("grp"),
+                    F.coalesce("docs", F.lit(1)).alias("docs")))
     mixed = rows.groupBy("token").agg(F.min("grp").alias("low"), F.max("grp").alias("high")).where(F.col("low") != F.col("high"))
     return written(rows.join(mixed.select("token"), "token"), "jaccard-grouped")
 
 
-def _offers(grouped: DataFrame, turn: int) -> DataFrame:
-    """For every document some members of other groups, those that most of its buckets offer.
+def _hot_links(hot: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between members of hot buckets (``token, node, n, grp``), enough to join what is linked.
 
-    A bucket offers the first of its members in ``OFFERED`` orders (hashes, other ones each turn).
-    """
-    def first(i: int) -> Column:
-        return F.min(F.struct(F.xxhash64(F.lit(turn * OFFERED + i), "node").alias("place"), "node", "grp"))
+    Each bucket has a pivot, its smallest set P, and D(x) is the symmetric difference of x and P over tokens
+    that travel.  With u tokens of x that no other document holds, q = 100 - percent and s = 100 + percent, let
+    E(x) = s (|D(x)| + u(x)) - q |x|.  Then x and y link if and only if 2 s |D(x) & D(y)| >= E(x) + E(y).
 
-    offered = grouped.groupBy("token").agg(F.array(*[first(i) for i in range(OFFERED)]).alias("offers"))
-    met = (grouped.select("token", "node", "grp").join(offered, "token")
-           .select("node", "grp", F.explode(F.array_distinct(F.transform("offers", lambda o: F.struct(
-               o["node"].alias("other"), o["grp"].alias("its"))))).alias("o"))
-           .where(F.col("grp") != F.col("o.its")).groupBy("node", F.col("o.other").alias("other")).agg(F.count("*").alias("k")))
-    best = F.slice(F.sort_array(F.collect_list(F.struct("k", "other")), asc=False), 1, TAKEN)  # OFFERED per bucket order at most
-    return (met.groupBy("node").agg(best.alias("best")).select("node", F.explode("best.other").alias("other"))
-            .select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct())
+    * Where E(x) + E(y) <= 0 they link anyway; then both link with the member of least E, too.  So those
+      with E + least E <= 0 are joined to it, and pairs among them need no look.
+    * All other pairs have one outside of these, and need common tokens of D: a prefix join over D, the rarest first,
+      with least overlaps from the least E that a partner can have, and the places of the common token.
+    """
+    q, s = 100 - percent, 100 + percent
+    pivots = hot.groupBy("token").agg(F.min(F.struct("n", "node"))["node"].alias("pivot"))
+    met = written(hot.join(pivots, "token").groupBy("node", "pivot").agg(F.first("grp").alias("grp")), "jaccard-pivots")
+    # what follows only concerns pivots whose members are in several groups (all have, but for the pivot's choice)
+    base = sets.select(F.col("node").alias("pivot"), F.col("tokens").alias("base"))
+    drawn = (met.join(sets, "node").join(base, "pivot")
+             .withColumn("delta", F.concat(F.array_except("tokens", "base"), F.array_except("base", "tokens")))
+             .select("pivot", "node", "grp", "n", "delta", F.size("delta").alias("size"),
+                     (s * (F.size("delta") + F.col("n") - F.size("tokens")) - q * F.col("n")).alias("e")))
+    drawn = written(drawn, "jaccard-differences")
+    least = drawn.groupBy("pivot").agg(F.min(F.struct("e", "node")).alias("_r"), F.max("n").alias("most"))
+    drawn = (drawn.join(least, "pivot").withColumns({"low": F.col("_r.e"), "center": F.col("_r.node")}).drop("_r")
+             .withColumn("out", F.col("e") + F.col("low") > 0))
+    inner = drawn.where(~F.col("out") & (F.col("node") != F.col("center"))).select(F.col("node").alias("a"), F.col("center").alias("b"))
+    # least number of common tokens of D: with a partner outside, and of one outside with one inside
+    outer = (F.col("e") + F.greatest(F.col("low"), 1 - F.col("low"))) / (2 * s)
+    within = F.greatest((F.col("e") + F.col("low")) / (2 * s),
+                        (F.col("e") - q * F.least(F.col("n") * 100 / percent, F.col("most"))) / s)
+    need = F.when(F.col("out") & (F.col("low") <= 0), F.least(outer, within)).otherwise(outer)
+    drawn = drawn.withColumn("first", F.col("size") - F.greatest(F.ceil(need - 1e-9), F.lit(1)) + 1).where(F.col("first") > 0)
+    drawn = drawn.join(drawn.where("out").select("pivot").distinct(), "pivot", "left_semi")
+    tokens = written(drawn.select("pivot", "node", "grp", "n", "size", "e", "out", "first", F.explode("delta").alias("token")),
+                     "jaccard-difference-tokens")
+    held = tokens.groupBy("pivot", "token").agg(F.count("*").alias("held")).where(F.col("held") > 1)
+    by = ["pivot", "node", "grp", "n", "size", "e", "out", "first"]
+    ordered = (tokens.join(held, ["pivot", "token"]).groupBy(*by)
+               .agg(F.sort_array(F.collect_list(F.struct("held", "token"))).alias("_t"))  # a document's own difference
+               .withColumn("alone", F.col("size") - F.size("_t")))  # tokens that no other one has come first
+    prefix = (ordered.where(F.col("first") > F.col("alone"))
+              .select(*by, "alone", F.posexplode(F.slice("_t", F.lit(1), (F.col("first") - F.col("alone")).cast("int"))).alias("at", "_x"))
+              .select("pivot", F.col("_x.token").alias("token"), "node", "grp", "n", "e", "out",
+                      (2 * s * (F.col("size") - F.col("alone") - F.col("at"))).alias("left")))
+    prefix = written(prefix, "jaccard-difference-prefixes")
+    x = prefix.where("out").select("pivot", "token", *[F.col(c).alias(f"{c}_x") for c in ("node", "grp", "n", "e", "left")])
+    y = prefix.select("pivot", "token", *[F.col(c).alias(f"{c}_y") for c in ("node", "grp", "n", "e", "left", "out")])
+    reach = F.col("e_x") + F.col("e_y")
+    pairs = (x.join(y, ["pivot", "token"])
+             .where((F.col("grp_x") != F.col("grp_y")) & (~F.col("out_y") | (F.col("node_x") < F.col("node_y")))
+                    & (F.col("left_x") >= reach) & (F.col("left_y") >= reach)
+                    & (100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y")))
+             .select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b")).distinct())
+    return inner.union(_similar(pairs, sets, percent))
 
 
 def _across(grouped: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -349,13 +394,19 @@ def _across(grouped: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that stay: of each component the row with the smallest id.
 
-    Of rows with equal id and text one stays; rows without id stay (they cannot name a component).
+    Rows of one id with different texts are rows of their own (the order among them is that of a hash of the
+    text); of rows with equal id and text one stays; rows without id stay (they cannot name a component).
     """
-    found = jaccard_components(docs, id_col, text_col, **options)
-    gone = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(id_col)).distinct()
-    kept = docs.join(gone, id_col, "left_anti").select(*docs.columns)
-    # rows that repeat an id are few: only they are compared
-    again = found.groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1 AND doc_id IS NOT NULL")
-    again = written(again.select(F.col("doc_id").alias(id_col)), "jaccard-repeated-ids")
-    once = kept.join(again, id_col, "left_anti").select(*docs.columns)
-    return once.unionByName(kept.join(again, id_col, "left_semi").select(*docs.columns).dropDuplicates([id_col, text_col]))
+    found = written(_labelled(docs, id_col, text_col, **options).where(F.col("doc_id").isNotNull()), "jaccard-labelled")
+    row = F.struct("doc_id", "mark")
+    gone = found.where(row != F.col("first")).select(F.col("doc_id").alias("_id"), F.col("mark").alias("_text")).distinct()
+    # rows that are repeated as a whole are few: only they are compared
+    again = (found.groupBy(F.col("doc_id").alias("_id"), F.col("mark").alias("_text")).agg(F.count("*").alias("rows"))
+             .where("rows > 1").select("_id", "_text"))
+    marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).cast("long").alias("_id"),
+                         _mark(text_col).alias("_text"))
+    kept = marked.join(gone, ["_id", "_text"], "left_anti")
+    again = written(again, "jaccard-repeated-rows")
+    once = kept.join(again, ["_id", "_text"], "left_anti")
+    repeated = kept.join(again, ["_id", "_text"], "left_semi").dropDuplicates(["_id", "_text"])
+    return once.select("row.*").unionByName(repeated.select("row.*"))

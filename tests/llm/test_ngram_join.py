@@ -96,23 +96,77 @@ def test_sizes_differ_within_a_group(spark):
     assert run(spark, rows) == brute(rows)
 
 
+def edited(rng, base, edits, stock=10 ** 6):
+    text = list(base)
+    for _ in range(edits):
+        text[rng.randrange(len(text))] = f"z{rng.randrange(stock)}"
+    return " ".join(text)
+
+
+@pytest.mark.parametrize("hot_members", [2, 5, 32])
+def test_hot_buckets(spark, hot_members):
+    """Families around the threshold, alone and mixed, whatever number of members makes a bucket hot."""
+    rng = random.Random(hot_members)
+    rows = []
+    for family in range(4):
+        base = sentence(rng, rng.choice([40, 70, 110]), stock=10 ** 6).split(" ")
+        for k in range(45):
+            text = edited(rng, base, rng.randrange(0, 6), stock=rng.choice([3, 10 ** 6]))
+            if rng.random() < 0.3:  # sizes differ
+                text = " ".join(text.split(" ")[rng.randrange(0, 12):len(base) - rng.randrange(0, 12)])
+            rows.append((family * 100 + k, text, "en", "a", 1))
+    half = rows[0][1].split(" ")[:20]
+    rows += [(900 + k, " ".join(half) + " " + sentence(rng, 25, stock=10 ** 6), "en", "a", 1) for k in range(8)]
+    want = brute(rows)
+    assert 20 < len({w[2] for w in want}) < len(rows) - 20
+    assert run(spark, rows, hot_members=hot_members) == want
+
+
+def test_a_template_shared_by_many_unlinked_documents(spark):
+    """A long passage that is most of many documents, which link with nothing: few pairs are compared."""
+    rng = random.Random(12)
+    template = sentence(rng, 130, stock=10 ** 6)
+    rows = [(k, template + " " + sentence(rng, rng.randrange(17, 24), stock=10 ** 6), "en", "a", 1) for k in range(150)]
+    rows += [(1000 + k, template + " " + " ".join(f"own{k}x{j}" for j in range(3)), "en", "a", 1) for k in range(2)]
+    want = brute(rows)
+    assert run(spark, rows) == want
+
+
+def test_differences_compare_few_pairs(spark, monkeypatch):
+    """Near copies with many edits each, none linked with another: quadratic in the prefixes, not in the differences."""
+    rng = random.Random(3)
+    base = sentence(rng, 150, stock=10 ** 6).split(" ")
+    rows = [(k, edited(rng, base, 4), "en", "a", 1) for k in range(200)]
+    compared, similar = [], ngram_join._similar
+
+    def counted(pairs, sets, percent):
+        compared.append(pairs.count())
+        return similar(pairs, sets, percent)
+
+    monkeypatch.setattr(ngram_join, "_similar", counted)
+    assert run(spark, rows) == brute(rows)
+    assert sum(compared) < 1500  # of 19,900
+
+
 @pytest.mark.parametrize("linked", [True, False])
-def test_rounds_of_offers_end_without_offers(spark, monkeypatch, linked):
-    """No bucket spans two groups: all that share a rare shingle are linked, or none is shared."""
+def test_no_bucket_spans_two_groups(spark, linked):
+    """All that share a rare shingle are linked, or none is shared."""
     rng = random.Random(5)
     rows = []
     for family in range(3):
         base = sentence(rng, 80, stock=10 ** 6).split(" ")
         rows += [(family * 10 + k, " ".join(base if linked else sentence(rng, 80, stock=10 ** 6).split(" ")) + (f" end{k}" if k else ""),
                   "en", "a", 1) for k in range(3)]
-    offers, turns = ngram_join._offers, []
-
-    def counted(grouped, turn):
-        turns.append(turn)
-        assert len(turns) < 4, "the rounds do not end"
-        return offers(grouped, turn)
-
-    monkeypatch.setattr(ngram_join, "_offers", counted)
     want = brute(rows)
     assert (len({w[2] for w in want}) == 3) == linked
     assert run(spark, rows) == want
+
+
+def test_rows_of_one_id_with_different_texts(spark):
+    """A text is not lost because another text of its id is a copy."""
+    rng = random.Random(4)
+    a, b = sentence(rng, 60, stock=10 ** 6), sentence(rng, 60, stock=10 ** 6)
+    rows = [(1, a, "en", "a", 1), (2, a, "en", "a", 1), (2, b, "en", "a", 1), (3, b + " z", "en", "a", 1), (3, b + " z", "en", "a", 1),
+            (4, None, "en", "a", 1), (4, None, "en", "a", 1), (4, "", "en", "a", 1)]
+    kept = sorted((r.doc_id, r.text) for r in ngram_join.one_of_each(frame(spark, rows)).where("text <> ''").collect())
+    assert kept == [(1, a), (2, b)]
