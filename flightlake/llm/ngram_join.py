@@ -20,7 +20,7 @@ Jaccard similarity is at least 0.8.  The result is exact:
    reach the bound are opened, and the members that share a bucket are compared.
 5. *Hot buckets.*  Buckets of more than ``HOT_MEMBERS`` members (families of near copies) are no part
    of the matrix: there the union of a group says nothing, as all members hold nearly all of it.
-   Their members are written as differences from the smallest of them (``_hot_links``): what two
+   Their members are written as differences from what most of them hold (``_hot_links``): what two
    documents must have in common in these differences follows from their sizes, and a difference is mostly
    made of tokens that nobody else has, so hardly any pair is compared.
 
@@ -309,8 +309,8 @@ def _grouped(rare: DataFrame, groups: DataFrame) -> DataFrame:
 def _hot_links(hot: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between members of hot buckets (``token, node, n, grp``), enough to join what is linked.
 
-    Each bucket has a pivot, its smallest set P, and D(x) is the symmetric difference of x and P over tokens
-    that travel.  With u tokens of x that no other document holds, q = 100 - percent and s = 100 + percent, let
+    Buckets with the same first member (``pivot``) are a family.  P are the tokens that more than half of its members
+    hold, and D(x) is the symmetric difference of x and P over tokens that travel.  With u tokens of x that no other document holds, q = 100 - percent and s = 100 + percent, let
     E(x) = s (|D(x)| + u(x)) - q |x|.  Then x and y link if and only if 2 s |D(x) & D(y)| >= E(x) + E(y).
 
     * Where E(x) + E(y) <= 0 they link anyway; then both link with the member of least E, too.  So those
@@ -319,11 +319,16 @@ def _hot_links(hot: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
       with least overlaps from the least E that a partner can have, and the places of the common token.
     """
     q, s = 100 - percent, 100 + percent
-    pivots = hot.groupBy("token").agg(F.min(F.struct("n", "node"))["node"].alias("pivot"))
-    met = written(hot.join(pivots, "token").groupBy("node", "pivot").agg(F.first("grp").alias("grp")), "jaccard-pivots")
-    # what follows only concerns pivots whose members are in several groups (all have, but for the pivot's choice)
-    base = sets.select(F.col("node").alias("pivot"), F.col("tokens").alias("base"))
-    drawn = (met.join(sets, "node").join(base, "pivot")
+    pivots = hot.groupBy("token").agg(F.min("node").alias("pivot"))
+    met = hot.join(pivots, "token").groupBy("node", "pivot").agg(F.first("grp").alias("grp")).join(sets, "node")
+    met = written(met, "jaccard-pivots")
+    # all lists together hold twice the members' tokens at most, as each token is in half of its sets
+    family = met.groupBy("pivot").agg(F.count("*").alias("members"))
+    base = (met.select("pivot", F.explode("tokens").alias("token")).groupBy("pivot", "token").agg(F.count("*").alias("held"))
+            .join(family, "pivot").where(2 * F.col("held") > F.col("members"))
+            .groupBy("pivot").agg(F.collect_list("token").alias("base")))
+    none = F.array().cast("array<long>")
+    drawn = (met.join(base, "pivot", "left").withColumn("base", F.coalesce("base", none))
              .withColumn("delta", F.concat(F.array_except("tokens", "base"), F.array_except("base", "tokens")))
              .select("pivot", "node", "grp", "n", "delta", F.size("delta").alias("size"),
                      (s * (F.size("delta") + F.col("n") - F.size("tokens")) - q * F.col("n")).alias("e")))
