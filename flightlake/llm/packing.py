@@ -60,7 +60,7 @@ class WordTokens:
     """Ids of words, remembered by part; forgets all when it holds too many.
 
     A word is looked up as its body and its run of ASCII punctuation at the end:
-    after a letter or digit the tokenizer always starts a new part there.  A body
+    after a small Latin letter or a digit the tokenizer always starts a new part there.  A body
     of small Latin letters is one part as it stands, so the model can encode it
     directly; every other part goes through the whole tokenizer.
     """
@@ -114,7 +114,8 @@ class WordTokens:
         body, tail = [], []
         for w in names:
             core = w.rstrip(PUNCTUATION)
-            if len(core) != len(w) and core[-1:].isalnum() and "<|" not in w:  # special tokens stay whole
+            # other letters may end in a mark when lower-cased, which the tokenizer joins to what follows; special tokens stay whole
+            if len(core) != len(w) and core[-1:] < "\u0250" and (core[-1:].islower() or core[-1:].isdecimal()) and "<|" not in w:
                 body.append(core)
                 tail.append(w[len(core):])
             else:

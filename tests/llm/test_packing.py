@@ -3,6 +3,8 @@ import random
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from flightlake.llm import packing
@@ -93,3 +95,17 @@ def test_forgetting_words_changes_nothing():
     for _ in range(2):
         a, b = small.encode(texts), large.encode(texts)
         assert all((x == y).all() for x, y in zip(a, b, strict=True))
+
+
+ODD_TOKENS = packing.WordTokens(PATH)
+ODD = ["İ", "I", "ı", "ß", "ẞ", "é", "é", "ŉ", "ª", "²", "½", "Ⅷ", "ﬁ", "Ǆ", "ǅ", "Σ", "ς", "中", "क", "ि", "̀", "‍", " ",
+       " ", "😀", "a", "Z", "9", "٣", ".", "...", "!", ")", "'", "'s", "-", "_", "~", " ", "\n", "\t", "<|", "|>", "\x00", "\x85"]
+
+
+@given(st.lists(st.one_of(st.sampled_from(ODD), st.characters(exclude_categories=["Cs"])), max_size=12).map("".join))
+@settings(max_examples=1500, deadline=None)
+def test_ids_of_odd_texts(text):
+    ids, counts, _ = ODD_TOKENS.encode(pa.array([text, "İ...", text + "İ)"]))
+    want = [ODD_TOKENS.tokenizer.encode(t, add_special_tokens=False).ids for t in (text, "İ...", text + "İ)")]
+    assert counts.tolist() == [len(w) for w in want]
+    assert ids.tolist() == [i for w in want for i in w]
