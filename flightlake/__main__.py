@@ -22,7 +22,7 @@ from flightlake.plans.board import arrivals_table, flight_picker
 from flightlake.plans.tracker import current_position, future_path, sampled_trail
 from flightlake.session import build_session, materialize, run_folder
 from flightlake.sources.airports import read_airports
-from flightlake.sources.board import board_rows, read_board
+from flightlake.sources.board import board_rows, newest_board, read_board
 from flightlake.sources.detail import detail_flat, read_flight_detail, trail_rows
 from flightlake.sources.landing import land_forecast, land_schedule, land_weather
 from flightlake.sources.pulls import newest_pull, pull_name
@@ -65,7 +65,7 @@ def cmd_plan(spark, a):
 
 
 def cmd_board(spark, a):
-    rows = board_rows(read_board(spark, a.boards, multiline=not a.json_lines))
+    rows = board_rows(newest_board(read_board(spark, a.boards, multiline=not a.json_lines)))
     uniq = unique_airports(read_airports(spark, a.airports))
     arrivals = materialize(arrivals_table(rows, tz=a.tz, valid_airports=uniq), "arrivals")
     write_plan(arrivals, f"{a.out}/arrivals", fmt=a.format)

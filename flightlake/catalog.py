@@ -29,10 +29,10 @@ from flightlake.operators.weather_risk import (KEY, add_forecast_key, forecast_l
 from flightlake.plans import planner
 from flightlake.plans.board import arrivals_table, flight_picker
 from flightlake.plans.tracker import current_position, future_path, sampled_trail
-from flightlake.schemas import SCHEDULE_COLUMNS, SCORED_METRICS
+from flightlake.schemas import BOARD_PAYLOAD, SCHEDULE_COLUMNS, SCORED_METRICS
 from flightlake.sources import fixtures as fx
 from flightlake.sources.airports import busy_airports, parse_airport_lines
-from flightlake.sources.board import board_entries, board_rows, parse_board_text
+from flightlake.sources.board import board_entries, board_rows, newest_board, parse_board_text
 from flightlake.sources.detail import detail_flat, parse_detail_text, trail_rows
 from flightlake.sources.schedule import (drop_null_status, explode_records, flat_schedule,
                                          parse_schedule_text, scheduled_only)
@@ -153,6 +153,17 @@ def board_union(spark, d):
                     F.col("flight_time_scheduled.arrival").alias("sched_arr"))
 
 
+def board_newest_pull(spark, d):
+    """Boards of airports that were pulled several times: the newest complete pull, each page once."""
+    pages = fx.board_pulls(spark, d).select(F.from_json("payload", BOARD_PAYLOAD).alias("_b"), "pages", "pull").select("_b.*", "pages", "pull")
+    newest = newest_board(pages, total="pages")
+    rows = board_entries(newest).select("airport_code", "page", "idx", F.col("Flight_type").alias("flight_type"),
+                                        F.col("flight.identification.id").alias("flight_id"),
+                                        F.col("flight.time.scheduled.arrival").alias("sched_arr"))
+    pulls = newest.select(F.col("airport.code").alias("airport_code"), F.col("airport.page").alias("page"), "pull")
+    return rows.join(pulls, ["airport_code", "page"]).drop("page", "idx")
+
+
 def flatten_dotted(spark, d):
     entries = board_entries(parse_board_text(fx.board_payloads(spark, d)))
     keys = ["flight.identification.id", "flight.identification.callsign", "flight.airline.name",
@@ -481,6 +492,7 @@ QUERIES: dict[str, Query] = {
     "scan_nested_schedule": scan_nested_schedule,   # S1
     "scan_airports": scan_airports,                 # S2, P4
     "board_union": board_union,                     # S3, P3, U1
+    "board_newest_pull": board_newest_pull,         # S3, Q3, Q4
     "flight_detail_flat": flight_detail_flat,       # S4, P7
     "trail_rows": trail_rows_q,                     # S5, P5
     "weather_unpivot_hours": weather_unpivot_hours, # S6, S7, W3

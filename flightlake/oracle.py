@@ -267,6 +267,12 @@ SELECT airport_code, flight_type, id AS flight_id, callsign, airline, origin,
 FROM board_v
 """
 
+ORACLE_SQL["board_newest_pull"] = _with(_BOARD) + """
+SELECT airport_code, flight_type, id AS flight_id, sched_arr,
+       CASE WHEN CAST(airport_code AS BIGINT) % 2 = 0 THEN '2' ELSE '1' END AS pull
+FROM board_v
+"""
+
 ORACLE_SQL["flight_detail_flat"] = _with(_FLIGHTS) + """
 SELECT 'F' || k AS id, 'CS' || (o.o_custkey % 200) AS callsign,
        'Model ' || (k % 7) AS aircraft_modelname, 'M' || (k % 7) AS aircraft_modelcode,

@@ -6,11 +6,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flightlake.operators.flatten import flatten_keys
+from flightlake.operators.snapshot import newest_complete_pull
 from flightlake.schemas import BOARD_KEYS, BOARD_PAYLOAD
+from flightlake.sources.pulls import pull_name
 
 
 def read_board(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
-    return spark.read.schema(BOARD_PAYLOAD).option("multiLine", multiline).json(path)
+    """Landed board pages of all pulls, with the ``pull`` they belong to."""
+    return spark.read.schema(BOARD_PAYLOAD).option("multiLine", multiline).json(path).withColumn("pull", pull_name())
+
+
+def newest_board(payload: DataFrame, total: str | None = None) -> DataFrame:
+    """The pages of each airport's newest complete pull (``operators.snapshot.newest_complete_pull``)."""
+    sched = "airport.pluginData.schedule"
+    held = [F.greatest(F.size(f"{sched}.{d}.data"), F.lit(0)) for d in ("arrivals", "departures")]
+    pages = payload.withColumns({"_code": F.col("airport.code"), "_page": F.col("airport.page"), "_held": held[0] + held[1]})
+    return newest_complete_pull(pages, "_code", "_page", "pull", "_held", total).drop("_code", "_page", "_held")
 
 
 def parse_board_text(df: DataFrame, text_col: str = "payload") -> DataFrame:

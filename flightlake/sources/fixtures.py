@@ -334,6 +334,23 @@ def board_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouped.select(F.to_json(payload).alias("payload"))
 
 
+def board_pulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Board pages in pulls: ``1`` has all, ``2`` all of every other airport again, ``3`` lacks the last page of
+    every third airport, ``4`` is empty.  ``pages`` is an airport's number of pages."""
+    parsed = board_payloads(spark, sf_dir).withColumns({
+        "code": F.get_json_object("payload", "$.airport.code"), "page": F.get_json_object("payload", "$.airport.page").cast("long")})
+    per = parsed.groupBy("code").agg(F.count("*").alias("pages"), F.max("page").alias("_last"))
+    b = parsed.join(per, "code")
+    code = F.col("code").cast("long")
+    empty = F.concat(F.lit('{"airport":{"code":"'), F.col("code"), F.lit('","page":0}}'))
+    keep = ("code", "payload", "pages")
+    first = b.select(*keep, F.lit("1").alias("pull"))
+    again = b.where(code % 2 == 0).select(*keep, F.lit("2").alias("pull"))
+    torn = b.where((code % 3 == 0) & (F.col("page") < F.col("_last"))).select(*keep, F.lit("3").alias("pull"))
+    nothing = per.select("code", empty.alias("payload"), "pages", F.lit("4").alias("pull"))
+    return first.unionByName(first).unionByName(again).unionByName(torn).unionByName(nothing).drop("code")
+
+
 # ------------------------------------------------------------------ detail / trails
 def trails_v(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Position fixes from ``events``: flight = user, one fix per event."""
