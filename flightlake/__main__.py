@@ -2,7 +2,7 @@
 cluster, ``spark-submit --py-files flightlake.zip flightlake/__main__.py <job> ...``.
 
 plan     schedule envelopes (or a landed parquet table) + airports + weather
-         -> planner table, risk-scored waypoints, markers and rejects as parquet
+         -> planner table, risk-scored waypoints, markers, rejects and loss counts as parquet
 board    board payloads + airports -> arrivals table and flight picker
 track    flight-detail payloads -> sampled trail, current position, projected path
 refresh  start the planner refresh stream over a landing folder (availableNow)
@@ -15,6 +15,8 @@ import argparse
 
 from pyspark.sql import functions as F
 
+from flightlake.functions.text import normalize_strings
+from flightlake.operators.losses import Losses
 from flightlake.operators.lookup import unique_airports
 from flightlake.operators.markers import sorted_markers
 from flightlake.plans import planner
@@ -25,8 +27,8 @@ from flightlake.sources.airports import read_airports
 from flightlake.sources.board import board_rows, newest_board, read_board
 from flightlake.sources.detail import detail_flat, read_flight_detail, trail_rows
 from flightlake.sources.landing import land_forecast, land_schedule, land_weather
-from flightlake.sources.pulls import newest_pull, pull_name
-from flightlake.sources.schedule import flat_schedule, read_newest_schedule
+from flightlake.sources.pulls import newest_nonempty, newest_pull, pull_name
+from flightlake.sources.schedule import explode_records, flat_schedule, read_schedule_envelopes
 from flightlake.sources.sinks import write_plan
 from flightlake.sources.versions import is_versioned, read_version
 
@@ -37,20 +39,26 @@ def _weather(spark, path):
 
 
 def cmd_plan(spark, a):
+    losses = Losses()
+    status = F.col("flight_status")
     if a.schedule_format == "parquet":
         landed = spark.read.parquet(a.schedule)
         # every pull on disk holds records: the newest one is planned
         newest = landed.agg(F.max(F.col("pull").cast("string"))).first()[0]
-        schedule = planner.prepare_schedule(landed.where(F.col("pull") == newest), normalize=False)
+        flat = landed.where(F.col("pull") == newest)
     else:
-        schedule = planner.prepare_schedule(flat_schedule(
-            read_newest_schedule(spark, a.schedule, multiline=not a.json_lines)))
+        files = losses.watch(read_schedule_envelopes(spark, a.schedule, multiline=not a.json_lines), "files",
+                             read=F.count("*"), broken=F.count("broken"), empty=F.count_if(F.size("data") == 0))
+        flat = normalize_strings(flat_schedule(explode_records(newest_nonempty(files))))
+    flat = losses.watch(flat, "records", read=F.count("*"), no_status=F.count_if(status.isNull()),
+                        other_status=F.count_if(status != "scheduled"))
     uniq = unique_airports(read_airports(spark, a.airports))
-    schedule = materialize(schedule, "schedule")  # parsed once for legs, markers and rejects
+    # parsed once for legs, markers and rejects
+    schedule = materialize(planner.prepare_schedule(flat, normalize=False), "schedule")
     legs = planner.leg_metrics(schedule, uniq,
                                segments="by_distance" if a.by_distance else 3,
                                max_flights=a.max_flights)
-    legs = planner.identified(legs)
+    legs = planner.identified(losses.watch(legs, "planned", legs=F.count("*")))
     table = planner.planner_table(legs, _weather(spark, a.weather), _weather(spark, a.forecast), past_days=a.past_days,
                                   hour_anchor=a.hour_anchor, as_of=a.as_of)
     write_plan(table, f"{a.out}/plan", fmt=a.format)
@@ -61,7 +69,12 @@ def cmd_plan(spark, a):
     keep = ["leg_id", "flight_date", "flight_iata", "departure_epoch", "arrival_epoch"]
     write_plan(points.select(*keep, F.inline("risk_path")), f"{a.out}/waypoints", fmt=a.format)
     write_plan(sorted_markers(legs), f"{a.out}/markers", fmt=a.format)
-    write_plan(planner.leg_rejects(schedule, uniq), f"{a.out}/rejects", fmt=a.format)
+    why = F.col("reject_reason")
+    rejects = losses.watch(planner.leg_rejects(schedule, uniq), "rejected",
+                           **{r: F.count_if(why == r) for r in planner.REJECT_REASONS})
+    write_plan(rejects, f"{a.out}/rejects", fmt=a.format)
+    # read = no_status + other_status + rejected + planned (and what --max-flights leaves out)
+    write_plan(losses.table(spark), f"{a.out}/losses", fmt=a.format)
 
 
 def cmd_board(spark, a):

@@ -26,6 +26,8 @@ from flightlake.sources.schedule import drop_null_status, scheduled_only
 FLIGHT_KEY = "flight_iata"
 # Names one leg; flight numbers repeat from day to day and may be null.
 LEG_KEY = "leg_id"
+# Why a flight cannot be planned (``leg_rejects``), the first that holds.
+REJECT_REASONS = ("departure_code", "arrival_code", "time")
 
 
 def prepare_schedule(schedule: DataFrame, statuses: Sequence[str] | None = ("scheduled",),
@@ -92,10 +94,11 @@ def leg_rejects(schedule: DataFrame, unique_airports: DataFrame) -> DataFrame:
     arr_ok = unique_airports.select(F.col("code").alias("_ac"))
     s = (schedule.join(dep_ok, F.col("departure_iata") == F.col("_dc"), "left")
          .join(arr_ok, F.col("arrival_iata") == F.col("_ac"), "left"))
-    reason = (F.when(F.col("_dc").isNull(), F.lit("departure_code"))
-              .when(F.col("_ac").isNull(), F.lit("arrival_code"))
+    no_departure, no_arrival, no_time = map(F.lit, REJECT_REASONS)
+    reason = (F.when(F.col("_dc").isNull(), no_departure)
+              .when(F.col("_ac").isNull(), no_arrival)
               .when(iso_to_epoch("departure_scheduled").isNull()
-                    | iso_to_epoch("arrival_scheduled").isNull(), F.lit("time")))
+                    | iso_to_epoch("arrival_scheduled").isNull(), no_time))
     return s.withColumn("reject_reason", reason).filter(F.col("reject_reason").isNotNull()) \
         .drop("_dc", "_ac")
 

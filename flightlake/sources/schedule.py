@@ -4,14 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from flightlake.schemas import SCHEDULE_COLUMNS, SCHEDULE_ENVELOPE
 from flightlake.sources.pulls import newest_nonempty, pull_name
 
 
 def read_schedule_envelopes(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
-    """Landed schedule files, one envelope per file (or per line), with the ``pull`` they belong to."""
-    return (spark.read.schema(SCHEDULE_ENVELOPE).option("multiLine", multiline).json(path)
+    """Landed schedule files, one envelope per file (or per line), with the ``pull`` they belong to.
+
+    Text that is no JSON gives a row without records that holds it in ``broken`` (see ``operators.losses``).
+    """
+    schema = T.StructType([*SCHEDULE_ENVELOPE.fields, T.StructField("broken", T.StringType())])
+    return (spark.read.schema(schema).option("multiLine", multiline).option("columnNameOfCorruptRecord", "broken").json(path)
             .withColumn("pull", pull_name()))
 
 

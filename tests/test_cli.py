@@ -17,6 +17,7 @@ def test_cli_jobs(spark, tmp_path):
     (tmp_path / "airports.dat").write_text(AIRPORTS_DAT)
     (tmp_path / "sched").mkdir()
     (tmp_path / "sched" / "p.json").write_text(json.dumps(SCHEDULE))
+    (tmp_path / "sched" / "broken.json").write_text('{"pagination": {"count": 1}, "data": [')
     (tmp_path / "board.json").write_text(json.dumps(BOARD))
     (tmp_path / "detail.json").write_text("\n".join(json.dumps(_detail(f, n)) for f, n in
                                                     (("f1", 1), ("f11", 11))))
@@ -33,6 +34,12 @@ def test_cli_jobs(spark, tmp_path):
     table = spark.read.parquet(out + "/plan/plan")
     assert table.count() == 3 and {"flight_path", "risk_path", "airport_distance", "departure_lat"} <= set(table.columns)
     assert spark.read.parquet(out + "/plan/rejects").where("reject_reason IS NULL").count() == 0
+    losses = {(r.stage, r.reason): r.n for r in spark.read.parquet(out + "/plan/losses").collect()}
+    assert losses["files", "read"] == 2 and losses["files", "broken"] == 1
+    gone = losses["records", "no_status"] + losses["records", "other_status"] \
+        + sum(n for (stage, _), n in losses.items() if stage == "rejected")
+    assert losses["records", "read"] == len(SCHEDULE["data"]) == gone + losses["planned", "legs"]
+    assert losses["planned", "legs"] == 3 and spark.read.parquet(out + "/plan/rejects").count() > 0
     assert not list(ckpt_runs(spark))  # intermediates go with the job
     assert wp.count() == 12 and spark.read.parquet(out + "/plan/markers").count() > 0
 
