@@ -87,8 +87,8 @@ def _scored(spark, d):
 
 def _scored_legs(spark, d, keep):
     w = _weather(spark, d)
-    return planner.plan_waypoints(planner.identified(_planned_legs(spark, d)), w, w, cell_fn=fx.fixture_cell,
-                                  keep=(planner.LEG_KEY, *keep))
+    legs = planner.by_leg(planner.identified(_planned_legs(spark, d)))
+    return planner.plan_waypoints(legs, w, w, cell_fn=fx.fixture_cell, keep=(planner.LEG_KEY, *keep), materialize_legs=False)
 
 
 def _repeated_legs(spark, d):

@@ -26,6 +26,8 @@ from flightlake.sources.schedule import drop_null_status, scheduled_only
 FLIGHT_KEY = "flight_iata"
 # Names one leg; flight numbers repeat from day to day and may be null.
 LEG_KEY = "leg_id"
+# What the points of a leg are made of.
+POINT_COLUMNS = ("departure_lat", "departure_lon", "arrival_lat", "arrival_lon", "departure_epoch", "arrival_epoch", "n_segments")
 # Why a flight cannot be planned (``leg_rejects``), the first that holds.
 REJECT_REASONS = ("departure_code", "arrival_code", "time")
 
@@ -82,10 +84,18 @@ def planner_table(legs: DataFrame, observed: DataFrame, forecast: DataFrame, **p
     distance, ``flight_path`` and its ``risk_path`` (S8, A6).
 
     ``legs`` come from ``identified``; ``plan_options`` go to ``plan_waypoints``.
+    Legs are laid out by their id before their points are made, and stay so: where the
+    risk table is broadcast, no waypoint is shuffled to put the paths together again.
     """
-    scored = plan_waypoints(legs, observed, forecast, keep=(LEG_KEY,), **plan_options)
+    placed = by_leg(legs)
+    scored = plan_waypoints(placed, observed, forecast, keep=(LEG_KEY,), materialize_legs=False, **plan_options)
     paths = path_with_risk(scored).select(LEG_KEY, F.col("path").alias("risk_path"))
-    return legs.drop("n_segments").join(paths, LEG_KEY, "left")
+    return placed.drop("n_segments").join(paths, LEG_KEY, "left")
+
+
+def by_leg(legs: DataFrame) -> DataFrame:
+    """``identified`` legs laid out by id: one row a leg is shuffled here instead of its points later."""
+    return legs.repartition(LEG_KEY)
 
 
 def leg_rejects(schedule: DataFrame, unique_airports: DataFrame) -> DataFrame:
@@ -124,21 +134,21 @@ def plan_waypoints(legs: DataFrame, observed: DataFrame, forecast: DataFrame,
                    past_days: int = 90, hour_anchor: str = "leg_start",
                    metrics: Sequence[str] = SCORED_METRICS, nan_policy: str = "propagate",
                    keep: Sequence[str] = (FLIGHT_KEY,),
-                   materialize_points: bool = True, prune_weather: bool = True,
+                   materialize_legs: bool = True, prune_weather: bool = True,
                    invert: Sequence[str] = (), as_of: int | None = None) -> DataFrame:
     """Risk-scored waypoints: ``keep..., idx, lat, lon, t, risk, band`` (Q1).
 
-    With ``materialize_points`` the waypoint table is written once to the
-    shared checkpoint folder (``spark.checkpoint.dir``) before scoring.
+    With ``materialize_legs`` what the points are made of is written once to the shared
+    checkpoint folder (``spark.checkpoint.dir``) before scoring: the schedule is not parsed
+    twice, and a leg is one row where its points are four or more.
     ``invert`` names metrics where a lower value is riskier (e.g. visibility);
     by default every metric ranks upward, as in the original planner.  ``as_of`` is the
     time of the plan: of a forecast table with issues no later issue counts.
     """
+    if materialize_legs:
+        # The points feed both the distinct risk keys and the join back.
+        legs = materialize(legs.select(*dict.fromkeys([*keep, *POINT_COLUMNS])), "legs-to-score")
     pts = waypoints(legs, keep).withColumn("cell", cell_fn(F.col("lat"), F.col("lon")))
-    if materialize_points:
-        # The waypoints feed both the distinct risk keys and the join back:
-        # write them once instead of re-running the schedule pipeline twice.
-        pts = materialize(pts, "waypoints")
     scored = score_waypoints(pts, observed, forecast, past_days, hour_anchor, metrics, nan_policy,
                              prune_weather, invert=invert, as_of=as_of)
     return scored.select(*keep, "idx", "lat", "lon", "t", "risk",

@@ -94,6 +94,26 @@ def _rows_shuffled(spark, df):
     return total
 
 
+def test_paths_are_put_together_without_an_exchange_of_waypoints(spark):
+    """With a broadcast risk table only legs are shuffled, by id: 4 points a leg, but one row a leg in each exchange."""
+    import re
+
+    from flightlake import catalog
+    from flightlake.plans import planner
+    from flightlake.sources import fixtures as fx
+
+    legs = planner.identified(catalog._planned_legs(spark, SF_SMALL))
+    w = fx.weather_v(spark, SF_SMALL)
+    table = planner.planner_table(legs, w, w, cell_fn=fx.fixture_cell)
+    plan = _plan(table).split("Initial Plan")[-1]
+    by_id = [x for x in plan.split("\n") if "Exchange hashpartitioning(leg_id" in x]
+    assert len(by_id) == 2 and all("REPARTITION_BY_COL" in x for x in by_id), by_id
+    # above the generated points there is no exchange but the broadcast of the risk table
+    assert not re.search(r"Exchange hashpartitioning\((?!leg_id|cell|event)", plan)
+    n = legs.count()
+    assert table.count() == n and table.selectExpr("sum(size(risk_path))").first()[0] == 4 * n
+
+
 def test_size_check_moves_no_rows_to_one_task(spark):
     from flightlake.operators.broadcast import is_bounded
     df = spark.range(5000)
