@@ -65,6 +65,7 @@ def normalize_strings(df: DataFrame) -> DataFrame:
 # extractions for payloads that still arrive in that form (legacy_text mode).
 def legacy_origin_name(text) -> Column:
     """Name from ``{name=Foo, ...}``: text up to the first comma, minus ``{name=`` and ``,``."""
+    # fixed value: the pattern of the display text
     m = F.regexp_extract(_c(text), r"^(.+?),", 0)
     return F.when(F.length(m) > 0, m.substr(F.lit(7), F.greatest(F.length(m) - F.lit(7), F.lit(0))))
 
@@ -77,6 +78,7 @@ def legacy_board_times(text) -> tuple[Column, Column]:
     display, including its behaviour when departure is listed first).
     """
     t = _c(text)
+    # fixed value: the pattern of the display text
     arr = F.regexp_extract(F.regexp_extract(t, r"a(.+?),", 0), r"\d+", 0)
     dep = F.regexp_extract(F.regexp_extract(t, r"d(.+?)\}", 0), r"\d+", 0)
     return (F.when(arr != "", arr.cast("long")), F.when(dep != "", dep.cast("long")))

@@ -19,7 +19,7 @@ def _struct(*fields: tuple) -> T.StructType:
 
 
 # ---------------------------------------------------------------- schedule
-# Every leaf of the schedule record is text in the landed payload.
+# Names and order of the payload's fields. Every leaf of the schedule record is text there.
 DEPARTURE = _struct(("airport", S), ("timezone", S), ("iata", S), ("icao", S),
                     ("terminal", S), ("gate", S), ("delay", S), ("scheduled", S),
                     ("estimated", S), ("actual", S), ("estimated_runway", S),
@@ -61,7 +61,7 @@ SCHEDULE_COLUMNS = {
 }
 
 # ---------------------------------------------------------------- airports (D3)
-# Headerless comma-separated file, `\N` marks a missing value.
+# The columns of the headerless comma-separated file; `\N` marks a missing value.
 AIRPORTS_CSV = _struct(("airport_id", I), ("name", S), ("city", S), ("country", S),
                        ("iata", S), ("icao", S), ("latitude", D), ("longitude", D),
                        ("altitude", I), ("timezone", S), ("dst", S), ("tz", S),
@@ -71,6 +71,7 @@ AIRPORTS_DROPPED = ("type", "source")
 BUSY_AIRPORTS = _struct(("name", S), ("iata", S))
 
 # ---------------------------------------------------------------- board
+# Names of the payload's fields.
 _EPOCHS = _struct(("departure", L), ("arrival", L))
 BOARD_FLIGHT = _struct(
     ("identification", _struct(("id", S), ("callsign", S))),
@@ -102,6 +103,7 @@ BOARD_KEYS = [
 ]
 
 # ---------------------------------------------------------------- flight detail
+# Names of the payload's fields.
 TRAIL_FIX = _struct(("lat", D), ("lng", D), ("alt", I), ("spd", I), ("ts", L), ("hd", I))
 _POSITION = _struct(("latitude", D), ("longitude", D), ("altitude", D),
                     ("country", _struct(("name", S))))
