@@ -1,6 +1,6 @@
 """Mixing sources to target weights by pivotal dependent rounding (operator 3).
 
-Every unit (one doc_id of a source) starts with the same fractional number of
+Every unit (one row) starts with the same fractional number of
 copies ``target / source_size``.  The whole part is taken; the fractions are
 rounded by the pivotal method in its size-weighted form: two units of a source
 meet, words move from one to the other until one fraction becomes 0 or 1, with
@@ -12,12 +12,14 @@ The meetings form a tree.  Units are dealt into buckets of about ``bucket_units`
 by a hash of their id (a source with a third of all documents is spread over all
 buckets); a bucket leaves at most one open unit per source; ``fan_in`` buckets
 combine their open units at the next level, until one is left per source, which
-is rounded by itself.  Random numbers are hashes of seed, level, source and id, so
-reruns agree on any cluster.
+is rounded by itself.  From the second level on sources are dealt to groups by a hash,
+as sources never meet: no group grows with their number.  Random numbers are hashes of
+seed, level, source and unit, so reruns agree on any cluster.
 
 Defined results: null texts have size 0; a unit of size 0 takes part with no
-words; a null source is a source of its own, last in the order; rows that share
-source and doc_id (null ids too) are one unit and get the same copies; an empty
+words; a null source is a source of its own, last in the order; every row is a unit,
+rows that share their id (or have none) too: they are told apart by a 128-bit hash of
+their columns, and wholly equal rows by a number; an empty
 table gives an empty result; other columns are kept by ``mix_documents``.
 """
 
@@ -28,6 +30,7 @@ import hashlib
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from flightlake.llm.common import SEPARATOR_RUN, fresh, written
 
@@ -37,6 +40,8 @@ MAX_COPIES = 3
 #: Units of a bucket, buckets that combine at a level of the tree, seed of the random numbers.
 BUCKET_UNITS = 20_000
 FAN_IN = 64
+#: Rows that one element of an array of numbers stands for when equal rows are written out.
+STRETCH = 4096
 SEED = "mix-1"
 
 
@@ -178,8 +183,19 @@ _LEVEL = ("source_key string, unit string, size long, whole int, due double, hom
           "bucket long")
 
 
+def level_groups(level: int, open_units: int, buckets: int, bucket_units: int) -> list[Column]:
+    """What one task of a level holds: a bucket, and from level 1 on a share of the sources, by hash.
+
+    A source has at most one open unit per bucket combined, so about ``bucket_units`` meet.
+    """
+    if level == 0:
+        return [F.col("bucket")]
+    shares = max(1, -(-open_units // (buckets * bucket_units)))
+    return [F.col("bucket"), F.pmod(F.xxhash64("source_key"), F.lit(shares))]
+
+
 def copies(units: DataFrame, bucket_units: int = BUCKET_UNITS, fan_in: int = FAN_IN) -> DataFrame:
-    """``source_key, unit, copies`` from rows with ``source_key, unit, size, share`` (fractional copies)."""
+    """``source_key, unit, copies`` from rows with ``source_key, unit, size, share`` (fractional copies, the same in a source)."""
     n = units.count()
     buckets = max(1, -(-n // bucket_units))
     level, done = 0, []
@@ -188,19 +204,23 @@ def copies(units: DataFrame, bucket_units: int = BUCKET_UNITS, fan_in: int = FAN
     open_rows = units.select("source_key", "unit", "size", F.floor("share").cast("int").alias("whole"), due.alias("due"),
                              home.alias("home"), due.alias("fraction"), F.lit(True).alias("open"), home.alias("bucket"))
     while True:
-        ruled = written(open_rows.groupBy("bucket").applyInPandas(_rounder(level, buckets == 1), schema=_LEVEL), "mix-level")
+        groups = level_groups(level, n, buckets, bucket_units)
+        ruled = written(open_rows.groupBy(*groups).applyInPandas(_rounder(level, buckets == 1), schema=_LEVEL), "mix-level")
         done.append(ruled.where(~F.col("open")))
         if buckets == 1:
             break
         level, buckets = level + 1, max(1, -(-buckets // fan_in))
+        n = ruled.where("open").count()
         open_rows = ruled.where("open").withColumn("bucket", F.floor(F.col("bucket") / fan_in))
     out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)
-    # a source's miss is dealt to the buckets by the words that they can flip towards it
+    # a source's miss is dealt to the buckets by the words that they can flip towards it; whole numbers are summed,
+    # so that their order does not matter
     loose = (F.col("due") > 1e-12) & (F.col("due") < 1 - 1e-12)
     words = F.when(loose, F.col("size")).otherwise(0)
-    miss = out.groupBy("source_key").agg(F.round(F.sum(words * F.col("due")) - F.sum(words * F.col("fraction")), 3).alias("miss"))
+    miss = out.groupBy("source_key").agg(F.round(
+        F.sum(words) * F.max("due") - F.sum(words * F.round("fraction").cast("long")), 3).alias("miss"))
     helps = (F.col("size") <= F.abs("miss")) & ((F.col("miss") > 0) == (F.col("fraction") < 0.5))
     out = written(out.join(miss, "source_key").withColumn("able", F.when(loose & helps, F.col("size")).otherwise(0)), "mix-miss")
     total = out.groupBy("source_key").agg(F.sum("able").alias("total"))
@@ -210,18 +230,39 @@ def copies(units: DataFrame, bucket_units: int = BUCKET_UNITS, fan_in: int = FAN
 
 
 def _keys(docs: DataFrame, id_col: str, source_col: str) -> tuple[Column, Column]:
-    key = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("")) for c in (source_col, id_col)]
-    return key[0], key[1]
+    """Keys of a row's source and of the row: its id and a hash of all its columns."""
+    key = F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit(""))
+    known = F.coalesce(F.concat(F.lit("="), F.col(id_col).cast("string")), F.lit(""))
+    parts: list[Column] = []
+    for field in docs.schema:
+        c = F.col(f"`{field.name}`")
+        parts += [c.isNull(), c if isinstance(field.dataType, T.AtomicType) else F.to_json(F.struct(c))]
+    return key, F.concat_ws("/", known, *[F.hex(F.xxhash64(F.lit(seed), *parts)) for seed in (1, 2)])
+
+
+def _stretched(rows: DataFrame, count: str, keys: list[str], name: str) -> DataFrame:
+    """Each row ``count`` times, numbered from 1 in ``name``; many repeats of a row are dealt to tasks by stretches."""
+    at = fresh("stretch", rows)
+    return (rows.withColumn(at, F.explode(F.sequence(F.lit(0), F.floor((F.col(count) - 1) / STRETCH).cast("long"))))
+            .repartition(*keys, at)
+            .withColumn(name, F.explode(F.sequence(F.col(at) * STRETCH + 1,
+                                                   F.least(F.col(count), (F.col(at) + 1) * STRETCH))))
+            .drop(at))
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights: tuple[int, ...] = WEIGHTS, max_copies: int = MAX_COPIES, bucket_units: int = BUCKET_UNITS,
         fan_in: int = FAN_IN) -> DataFrame:
-    """One row per unit: id, size, source_size, target, copies, taken and the two key columns."""
+    """One row per row of ``docs``: id, size, source_size, target, copies, taken and two key columns.
+
+    ``unit`` is the same for wholly equal rows.
+    """
     key, unit = _keys(docs, id_col, source_col)
-    units = written(docs.select(F.col(source_col).cast("string").alias("source"), key.alias("source_key"),
-                                unit.alias("unit"), F.col(id_col).alias(id_col), word_count(F.col(text_col)).alias("size"))
-                    .groupBy("source", "source_key", "unit", id_col).agg(F.sum("size").alias("size")), "mix-units")
+    equal = (docs.select(F.col(source_col).cast("string").alias("source"), key.alias("source_key"),
+                         unit.alias("row_key"), F.col(id_col).alias(id_col), word_count(F.col(text_col)).alias("size"))
+             .groupBy("source", "source_key", "row_key", id_col, "size").agg(F.count("*").alias("rows")))
+    units = written(_stretched(equal, "rows", ["source_key", "row_key"], "nth")
+                    .withColumn("unit", F.concat_ws("/", "row_key", "nth")).drop("rows", "nth"), "mix-units")
     targets = source_targets(units, weights, max_copies).select(
         F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")).alias("source_key"), "source_size", "target")
     units = written(units.join(targets, "source_key").withColumn(
@@ -229,15 +270,23 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     chosen = copies(units, bucket_units, fan_in)
     return (units.join(chosen, ["source_key", "unit"])
             .select(id_col, "size", "source_size", "target", "copies",
-                    (F.col("copies") * F.col("size")).alias("taken"), "source_key", "unit"))
+                    (F.col("copies") * F.col("size")).alias("taken"), "source_key", F.col("row_key").alias("unit")))
 
 
 def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                   **options) -> DataFrame:
-    """The mixed documents: each row as often as its unit's copies, with the columns of ``docs``."""
+    """The mixed documents: each row as often as its copies, with the columns of ``docs``.
+
+    Wholly equal rows are collapsed before the shuffle and written out as often as they are taken together.
+    """
     key, unit = _keys(docs, id_col, source_col)
-    k, u, c = (fresh(x, docs) for x in ("mix_source", "mix_unit", "mix_copies"))
-    chosen = mix(docs, id_col, text_col, source_col, **options).where(F.col("copies") > 0).select(
-        F.col("source_key").alias(k), F.col("unit").alias(u), F.col("copies").alias(c))
-    return (docs.withColumns({k: key, u: unit}).join(chosen, [k, u])
-            .withColumn(c, F.explode(F.sequence(F.lit(1), F.col(c)))).select(*docs.columns))
+    k, u, c, n = (fresh(x, docs) for x in ("mix_source", "mix_unit", "mix_copies", "mix_rows"))
+    chosen = written(mix(docs, id_col, text_col, source_col, **options)
+                     .groupBy(F.col("source_key").alias(k), F.col("unit").alias(u))
+                     .agg(F.sum("copies").alias(c), F.count("*").alias(n)).where(F.col(c) > 0), "mix-chosen")
+    keyed = docs.withColumns({k: key, u: unit})
+    one = (keyed.join(chosen.where(F.col(n) == 1), [k, u])
+           .withColumn(c, F.explode(F.sequence(F.lit(1), F.col(c)))).select(*docs.columns))
+    equal = (keyed.join(chosen.where(F.col(n) > 1), [k, u]).groupBy(k, u)
+             .agg(F.first(c).alias(c), F.first(F.struct(*docs.columns)).alias(n)))
+    return one.unionByName(_stretched(equal, c, [k, u], fresh("mix_nth", docs)).select(f"{n}.*"))
