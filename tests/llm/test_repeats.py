@@ -167,3 +167,18 @@ def test_both_ways_agree_on_one_anchor():
     a = repeats.later_windows(parts, doc, pos)
     b = repeats.later_windows_by_offset(parts, at, doc, pos)
     assert [x.tolist() for x in a] == [x.tolist() for x in b]
+
+
+def test_a_batch_sends_no_more_to_more_shards():
+    rng = np.random.default_rng(3)
+    anchors, docs = rng.integers(0, 2**63, 60_000).astype(np.uint64), np.sort(rng.integers(0, 4096, 60_000))
+    texts = rng.integers(0, 2**63, 4096).astype(np.uint64)
+    sent = {}
+    for shards in (50, 5000, 500_000):
+        rows = list(repeats._shard_rows(anchors, docs, texts, shards))
+        sent[shards] = sum(len(b) for _, *blobs in rows for b in blobs)
+        a = np.concatenate([np.frombuffer(r[1], "<u8") for r in rows])
+        t = np.concatenate([np.frombuffer(r[3], "<u8")[np.unique(np.frombuffer(r[2], "<u2"), return_inverse=True)[1]] for r in rows])
+        assert sorted(zip(a.tolist(), t.tolist())) == sorted(zip(anchors.tolist(), texts[docs].tolist()))
+    assert sent[5000] < 1.3 * sent[50] and sent[500_000] <= 18 * len(anchors)
+    assert list(repeats._shard_rows(anchors[:0], docs[:0], texts, 50)) == []
