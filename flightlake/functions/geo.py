@@ -105,3 +105,21 @@ def grid_cell(lat, lon, resolution_deg: float = 0.25) -> Column:
     row = F.least(F.floor((_c(lat) + F.lit(90.0)) / res), F.lit(n_lat - 1))
     col = F.pmod(F.floor((_c(lon) + F.lit(180.0)) / res), F.lit(n_lon))
     return row * F.lit(n_lon) + col
+
+
+def grid_columns(resolution_deg: float) -> int:
+    """Number of cells in a row of the grid (what ``cell`` is divided by)."""
+    return int(round(360.0 / resolution_deg))
+
+
+def _spread_bits(x: Column) -> Column:
+    """The low 16 bits of ``x`` with a zero between neighbours (65,536 columns: cells of 0.006 degrees)."""
+    for shift, mask in ((8, 0x00FF00FF), (4, 0x0F0F0F0F), (2, 0x33333333), (1, 0x55555555)):
+        x = F.shiftleft(x, shift).bitwiseOR(x).bitwiseAND(F.lit(mask))
+    return x
+
+
+def cell_place(cell, n_lon: int) -> Column:
+    """Place of a ``grid_cell`` on the Morton curve: bits of its row and column in turns."""
+    c = _c(cell).cast("long")
+    return F.shiftleft(_spread_bits(F.floor(c / F.lit(n_lon))), 1).bitwiseOR(_spread_bits(F.pmod(c, F.lit(n_lon))))

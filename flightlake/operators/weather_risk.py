@@ -24,6 +24,7 @@ from flightlake.functions.geo import round_half_even
 from flightlake.functions.risk import MISSING_SCORE, percentile_of_score
 from flightlake.functions.search import count_at_or_below, count_below
 from flightlake.functions.timefn import SECONDS_PER_DAY, SECONDS_PER_HOUR, day_start, hour_offset
+from flightlake.operators.places import bound_to_places
 from flightlake.schemas import SCORED_METRICS
 from flightlake.session import materialize
 
@@ -272,6 +273,9 @@ def score_waypoints(points: DataFrame, observed: DataFrame, forecast: DataFrame,
     stats = key_stats(keys)
     if prune_weather:
         observed, forecast = weather_window(observed, forecast, stats, past_days)
+        if materialize_keys:
+            # the keys are few and written: their places are cheap to find, and row groups of others are skipped
+            observed, forecast = bound_to_places(observed, keys), bound_to_places(forecast, keys)
     risk = key_risk(keys, observed, forecast, past_days, metrics, nan_policy,
                     prune_weather=False, invert=invert, as_of=as_of).select(*KEY, "risk")
     if stats["n"] <= max_broadcast_keys:

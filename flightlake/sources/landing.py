@@ -10,9 +10,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flightlake.functions.geo import cell_place, grid_columns
 from flightlake.functions.text import normalize_strings
 from flightlake.functions.timefn import SECONDS_PER_DAY, iso_to_epoch
 from flightlake.operators.flatten import flatten_by_map
+from flightlake.operators.places import GRID_COLUMNS, PLACE_COLUMN
 from flightlake.schemas import SCHEDULE_COLUMNS
 from flightlake.sources.schedule import read_schedule
 from flightlake.sources.versions import Version, land
@@ -22,6 +24,9 @@ from flightlake.sources.weather import latest_pull, read_forecast, read_weather
 # Most files of a partition that one landing writes.
 FILES_PER_DAY = 4
 
+# Row groups of weather files: small ones, as a plan reads those of its places only.
+ROW_GROUP_BYTES = 16 << 20
+
 
 def schedule_table(records: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Flat, whitespace-cleaned schedule with UTC epochs of both scheduled times."""
@@ -48,14 +53,16 @@ def land_weather(spark: SparkSession, json_path: str, out_path: str,
     """Landed weather responses -> the next version of a table of hourly facts by UTC ``day``.
 
     Of an hour that is landed already the newest pull's values stay.  The ``day`` column is
-    the one the risk scoring bounds when it prunes the scan to the planned time range.
+    the one the risk scoring bounds when it prunes the scan to the planned time range, and
+    ``place`` (the cell's place on the Morton curve) the one it bounds to the planned places.
     """
-    rows = _by_day(read_weather(spark, json_path, resolution_deg))
+    rows = _placed(_by_day(read_weather(spark, json_path, resolution_deg)), resolution_deg)
 
     def newest(new: DataFrame, old: DataFrame) -> DataFrame:
-        return latest_pull(new.unionByName(old), keys=("cell", "ts_hour", "day")).select(*new.columns)
+        return latest_pull(new.unionByName(old), keys=("cell", "ts_hour", "day", PLACE_COLUMN)).select(*new.columns)
 
-    return land(spark, out_path, rows, "day", newest, _cells_together, fresh=mode == "overwrite")
+    return land(spark, out_path, rows, "day", newest, _cells_together, fresh=mode == "overwrite",
+                row_group_bytes=ROW_GROUP_BYTES)
 
 
 def land_forecast(spark: SparkSession, json_path: str, out_path: str, resolution_deg: float = 0.25) -> Version:
@@ -64,16 +71,24 @@ def land_forecast(spark: SparkSession, json_path: str, out_path: str, resolution
     Issues are added, none replaces another: a plan takes the newest one not after its time
     (``operators.weather_risk.forecast_lookup``).  Of an issue landed again the newest pull counts.
     """
-    return land(spark, out_path, _by_day(read_forecast(spark, json_path, resolution_deg)), "day", None, _cells_together)
+    rows = _placed(_by_day(read_forecast(spark, json_path, resolution_deg)), resolution_deg)
+    return land(spark, out_path, rows, "day", None, _cells_together, row_group_bytes=ROW_GROUP_BYTES)
 
 
 def _by_day(rows: DataFrame) -> DataFrame:
     return rows.withColumn("day", F.floor(F.col("ts_hour") / F.lit(SECONDS_PER_DAY)))
 
 
+def _placed(rows: DataFrame, resolution_deg: float) -> DataFrame:
+    """Add ``place``; its metadata tell readers the width of the grid it was made for."""
+    n_lon = grid_columns(resolution_deg)
+    return rows.withColumn(PLACE_COLUMN, cell_place("cell", n_lon).alias(PLACE_COLUMN, metadata={GRID_COLUMNS: n_lon}))
+
+
 def _cells_together(rows: DataFrame) -> DataFrame:
-    """A day's rows in a few files, each a range of cells in order, so that row groups are told apart by ``cell``."""
-    return rows.repartitionByRange("day", "cell", "ts_hour").sortWithinPartitions("day", "cell", "ts_hour")
+    """A day's rows in a few files, each a stretch of the Morton curve in order: a row group holds a compact region."""
+    order = ["day", PLACE_COLUMN, "cell", "ts_hour"]
+    return rows.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
 def _replace_partitions(rows: DataFrame, path: str, by: tuple[str, ...], mode: str) -> None:

@@ -116,12 +116,13 @@ def _rename(spark: SparkSession, fs, draft, final) -> bool:
 
 def land(spark: SparkSession, path: str, rows: DataFrame, by: str,
          merge: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
-         lay_out: Callable[[DataFrame], DataFrame] = lambda df: df, fresh: bool = False) -> Version:
+         lay_out: Callable[[DataFrame], DataFrame] = lambda df: df, fresh: bool = False,
+         row_group_bytes: int | None = None) -> Version:
     """Commit ``rows`` as the next version of the table.
 
     Partitions (values of ``by``) that ``rows`` does not touch are taken over.  Of those it
     touches the new ones are ``merge(rows, old rows)``; without ``merge`` rows are added.
-    ``lay_out`` arranges what is written.  ``fresh`` starts from an empty table.
+    ``lay_out`` arranges what is written, in row groups of ``row_group_bytes``.  ``fresh`` starts from an empty table.
     """
     rows = materialize(rows, "landing")
     touched = [str(r[0]) for r in rows.select(by).distinct().collect()]  # one per partition, as the manifest has
@@ -132,7 +133,10 @@ def land(spark: SparkSession, path: str, rows: DataFrame, by: str,
         old = {v: parts[v] for v in touched if v in parts}
         new = merge(rows, _rows(spark, path, base, old).select(*rows.columns)) if merge and old else rows
         folder = f"version={number:08d}-{uuid.uuid4().hex[:8]}"
-        lay_out(new).write.partitionBy(by).parquet(f"{path}/{folder}")
+        writer = lay_out(new).write.partitionBy(by)
+        if row_group_bytes:
+            writer = writer.option("parquet.block.size", row_group_bytes)
+        writer.parquet(f"{path}/{folder}")
         for v in touched:
             parts[v] = [folder] if merge else [*parts.get(v, []), folder]
         version = Version(number, by, rows.schema, parts)
