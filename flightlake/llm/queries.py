@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flightlake.llm import (ann, lattice_lm, line_filter, mixing, ngram_join, packing, periodic_runs, quality_net,
-                            quality_rules, quality_rules_sql, repeats, source_audit, token_counts, toxicity)
+                            quality_rules, quality_rules_sql, repeats, source_audit, text_sql, token_counts, toxicity)
 from flightlake.llm.common import read_table, remainder
 
 #: Vocabulary files, by name.
@@ -112,6 +112,8 @@ ORACLE_SQL: dict[str, str] = {
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
             SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS rank FROM d)
         WHERE rank <= 10""",
+    "op6_token_group_join": text_sql.SHINGLE_COMPONENTS,
+    "op7_run_length_repeats": text_sql.REPEATED_BYTES,
     "op10_robust_outliers": quality_rules_sql.sql(),
     "op11_quadtree_source_audit": source_audit.sql(),
     "op13_two_filter_lines": r"""
