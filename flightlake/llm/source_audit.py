@@ -35,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -180,8 +181,8 @@ _PAIR_SQL = "lang string, source string, item string, value long, cols long, zer
 
 def _tile(table: pa.Table) -> pa.Table:
     """Sums of all ordered pairs of a tile; its heads (term null) are the groups, with the share of a zero count."""
-    heads = table.filter(pa.compute.is_null(table.column("term")))
-    entries = table.filter(pa.compute.is_valid(table.column("term")))
+    heads = table.filter(pc.is_null(table.column("term")))
+    entries = table.filter(pc.is_valid(table.column("term")))
     number = heads.column("row").to_numpy()
     order = np.argsort(number)
     number, p0 = number[order], heads.column("p").to_numpy()[order]

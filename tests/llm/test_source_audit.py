@@ -1,11 +1,15 @@
 import random
 import re
+import subprocess
+import sys
 from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 
 from flightlake.llm import source_audit
+from tests.conftest import ROOT
 from tests.llm.data import awkward_rows, frame
 
 TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
@@ -111,3 +115,23 @@ def test_tree_prices_every_column_once():
         for i, (a, b) in enumerate(zip(g, s, strict=True)):
             assert there[i] == ((full[a] - full[b]) ** 2 // full[b]).sum()
             assert back[i] == ((full[a] - full[b]) ** 2 // full[a]).sum()
+
+
+def test_tile_in_a_process_of_its_own():
+    """A Python worker gets Arrow streams and has loaded what the module itself imports, pandas not yet."""
+    code = """
+import sys
+import pyarrow as pa
+from flightlake.llm import source_audit
+got = source_audit._tile(pa.ipc.open_stream(sys.stdin.buffer).read_all())
+print(sorted((r["source"], r["item"], r["value"]) for r in got.to_pylist()))
+"""
+    head = {"lang": "en", "term": None, "v": 1, "low": 0, "high": 0}
+    table = pa.Table.from_pylist([head | {"source": "a", "row": 0, "p": 3}, head | {"source": "b", "row": 1, "p": 2},
+                                  head | {"source": None, "row": 0, "term": "one", "p": 9}])
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as stream:
+        stream.write_table(table)
+    done = subprocess.run([sys.executable, "-c", code], cwd=ROOT, input=sink.getvalue().to_pybytes(), capture_output=True, timeout=120)
+    assert done.returncode == 0, done.stderr.decode()
+    assert done.stdout.decode().strip() == str([("a", "b", (9 - 2) ** 2 // 2), ("b", "a", (2 - 9) ** 2 // 9)])
