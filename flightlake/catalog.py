@@ -156,12 +156,10 @@ def board_union(spark, d):
 def board_newest_pull(spark, d):
     """Boards of airports that were pulled several times: the newest complete pull, each page once."""
     pages = fx.board_pulls(spark, d).select(F.from_json("payload", BOARD_PAYLOAD).alias("_b"), "pages", "pull").select("_b.*", "pages", "pull")
-    newest = newest_board(pages, total="pages")
-    rows = board_entries(newest).select("airport_code", "page", "idx", F.col("Flight_type").alias("flight_type"),
-                                        F.col("flight.identification.id").alias("flight_id"),
-                                        F.col("flight.time.scheduled.arrival").alias("sched_arr"))
-    pulls = newest.select(F.col("airport.code").alias("airport_code"), F.col("airport.page").alias("page"), "pull")
-    return rows.join(pulls, ["airport_code", "page"]).drop("page", "idx")
+    rows = board_entries(newest_board(pages, total="pages"), keep=("pull",))
+    return (rows.where(F.col("airport_code").isNotNull() & F.col("page").isNotNull())
+            .select("airport_code", F.col("Flight_type").alias("flight_type"), F.col("flight.identification.id").alias("flight_id"),
+                    F.col("flight.time.scheduled.arrival").alias("sched_arr"), "pull"))
 
 
 def flatten_dotted(spark, d):

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flightlake.operators.broadcast import checked_broadcast
+from flightlake.session import materialize
+
 
 def latest_nonempty_snapshot(snapshots: DataFrame, source: str = "source",
                              ingest: str = "ingest_ts", data: str = "data",
@@ -42,5 +45,7 @@ def newest_complete_pull(pages: DataFrame, key: str, page: str = "page", pull: s
     whole = F.when(F.col("_total").isNotNull(), F.col("_pages") >= F.col("_total")).otherwise(
         F.col("_pages") == F.col("_last") - F.col("_first") + 1)
     newest = pulls.groupBy("_key").agg(F.max(F.struct(whole.alias("_whole"), "_pull"))["_pull"].alias("_pull"))
+    # One row per key: where the keys are few, no page is moved to its key (one key's pages would be one task's).
+    newest = checked_broadcast(materialize(newest, "newest-pulls"))
     return (pages.join(newest, F.col(key).eqNullSafe(F.col("_key")) & F.col(pull).eqNullSafe(F.col("_pull")))
             .drop("_key", "_pull").dropDuplicates([key, page]))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from flightlake.operators.flatten import flatten_keys
 from flightlake.operators.snapshot import newest_complete_pull
 from flightlake.schemas import BOARD_KEYS, BOARD_PAYLOAD
+from flightlake.session import materialize
 from flightlake.sources.pulls import pull_name
 
 
@@ -17,10 +18,14 @@ def read_board(spark: SparkSession, path: str, multiline: bool = True) -> DataFr
 
 
 def newest_board(payload: DataFrame, total: str | None = None) -> DataFrame:
-    """The pages of each airport's newest complete pull (``operators.snapshot.newest_complete_pull``)."""
+    """The pages of each airport's newest complete pull (``operators.snapshot.newest_complete_pull``).
+
+    Pages are read and parsed once: what is parsed is written with the numbers the choice needs.
+    """
     sched = "airport.pluginData.schedule"
     held = [F.greatest(F.size(f"{sched}.{d}.data"), F.lit(0)) for d in ("arrivals", "departures")]
     pages = payload.withColumns({"_code": F.col("airport.code"), "_page": F.col("airport.page"), "_held": held[0] + held[1]})
+    pages = materialize(pages, "board-pages")
     return newest_complete_pull(pages, "_code", "_page", "pull", "_held", total).drop("_code", "_page", "_held")
 
 
@@ -28,8 +33,8 @@ def parse_board_text(df: DataFrame, text_col: str = "payload") -> DataFrame:
     return df.select(F.from_json(F.col(text_col), BOARD_PAYLOAD).alias("_b")).select("_b.*")
 
 
-def board_entries(payload: DataFrame) -> DataFrame:
-    """Union-all of departures then arrivals, one row per board entry.
+def board_entries(payload: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Union-all of departures then arrivals, one row per board entry (S3, P3, U1), with the payload's columns ``keep``.
 
     Both directions come out of a single scan of the payload: the two lists
     are tagged with their ``Flight_type`` and exploded together, which is the
@@ -43,10 +48,10 @@ def board_entries(payload: DataFrame) -> DataFrame:
     )
     per_dir = payload.select(F.col("airport.code").alias("airport_code"),
                              F.col("airport.page").alias("page"),
-                             F.inline(directions))
-    return (per_dir.select("airport_code", "page", "Flight_type",
+                             *keep, F.inline(directions))
+    return (per_dir.select("airport_code", "page", *keep, "Flight_type",
                            F.posexplode(F.col("d")).alias("idx", "_e"))
-            .select("airport_code", "page", "idx", "Flight_type", F.col("_e.flight").alias("flight")))
+            .select("airport_code", "page", *keep, "idx", "Flight_type", F.col("_e.flight").alias("flight")))
 
 
 def board_rows(payload: DataFrame, keys=BOARD_KEYS) -> DataFrame:

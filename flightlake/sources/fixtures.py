@@ -303,7 +303,17 @@ def busy_board_v(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def board_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Board pages as landed JSON text: per (airport, page of 100 keys) both lists."""
-    b = board_v(spark, sf_dir)
+    return _board_pages(_paged_board(spark, sf_dir)).select("payload")
+
+
+def _paged_board(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Board entries with their page number."""
+    return board_v(spark, sf_dir).withColumn("page", (F.col("pos") / F.lit(BOARD_PAGE)).cast("long"))
+
+
+def _board_pages(b: DataFrame) -> DataFrame:
+    """``airport_code, page, payload``.  Flat rows are dealt by page; lists and text are made where a page lies."""
+    b = b.repartition("airport_code", "page")
     entry = F.struct(F.struct(
         F.struct(F.col("id"), F.col("callsign")).alias("identification"),
         F.struct(F.col("airline").alias("name")).alias("airline"),
@@ -317,13 +327,12 @@ def board_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
                           (F.col("sched_arr") + 300).alias("arrival")).alias("estimated"),
                  ).alias("time"),
     ).alias("flight"))
-    page = (F.col("pos") / F.lit(BOARD_PAGE)).cast("long")
 
     def listed(kind: str) -> Column:
         return F.array_sort(F.collect_list(
             F.when(F.col("flight_type") == kind, F.struct(F.col("pos"), entry.alias("e")))))
 
-    grouped = b.groupBy("airport_code", page.alias("page")).agg(
+    grouped = b.groupBy("airport_code", "page").agg(
         listed("arrivals").alias("_arr"), listed("departures").alias("_dep"))
     payload = F.struct(F.struct(
         F.col("airport_code").alias("code"), F.col("page"),
@@ -331,24 +340,23 @@ def board_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.struct(F.transform("_arr", lambda x: x["e"]).alias("data")).alias("arrivals"),
             F.struct(F.transform("_dep", lambda x: x["e"]).alias("data")).alias("departures"),
         ).alias("schedule")).alias("pluginData")).alias("airport"))
-    return grouped.select(F.to_json(payload).alias("payload"))
+    return grouped.select("airport_code", "page", F.to_json(payload).alias("payload"))
 
 
 def board_pulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Board pages in pulls: ``1`` has all, ``2`` all of every other airport again, ``3`` lacks the last page of
     every third airport, ``4`` is empty.  ``pages`` is an airport's number of pages."""
-    parsed = board_payloads(spark, sf_dir).withColumns({
-        "code": F.get_json_object("payload", "$.airport.code"), "page": F.get_json_object("payload", "$.airport.page").cast("long")})
-    per = parsed.groupBy("code").agg(F.count("*").alias("pages"), F.max("page").alias("_last"))
-    b = parsed.join(per, "code")
-    code = F.col("code").cast("long")
-    empty = F.concat(F.lit('{"airport":{"code":"'), F.col("code"), F.lit('","page":0}}'))
-    keep = ("code", "payload", "pages")
-    first = b.select(*keep, F.lit("1").alias("pull"))
-    again = b.where(code % 2 == 0).select(*keep, F.lit("2").alias("pull"))
-    torn = b.where((code % 3 == 0) & (F.col("page") < F.col("_last"))).select(*keep, F.lit("3").alias("pull"))
-    nothing = per.select("code", empty.alias("payload"), "pages", F.lit("4").alias("pull"))
-    return first.unionByName(first).unionByName(again).unionByName(torn).unionByName(nothing).drop("code")
+    b = _paged_board(spark, sf_dir)
+    per = b.select("airport_code", "page").distinct().groupBy("airport_code").agg(
+        F.count("*").alias("pages"), F.max("page").alias("_last"))
+    code = F.col("airport_code").cast("long")
+    pulls = F.array(F.lit("1"), F.lit("1"), F.when(code % 2 == 0, F.lit("2")),
+                    F.when((code % 3 == 0) & (F.col("page") < F.col("_last")), F.lit("3")))
+    # a page's text is made once, for all its pulls; an airport's numbers are one row of ``per``
+    held = (_board_pages(b).join(F.broadcast(per), "airport_code")
+            .select("payload", "pages", F.explode(pulls).alias("pull")).where(F.col("pull").isNotNull()))
+    empty = F.concat(F.lit('{"airport":{"code":"'), F.col("airport_code"), F.lit('","page":0}}'))
+    return held.unionByName(per.select(empty.alias("payload"), "pages", F.lit("4").alias("pull")))
 
 
 # ------------------------------------------------------------------ detail / trails
