@@ -16,7 +16,7 @@ the rest is padded, or cut into powers of two (which need no padding) if that is
 
 A task holds one block of tokens, whatever the size of the partition; nothing is shuffled.
 
-Tokenising works on the different words of a block: white space always separates
+Tokenising works on the different words of a slice of a block: white space always separates
 tokens of this tokenizer, so the ids of a text are those of its words in order.
 
 Defined results: a null or empty text is one piece with the end id alone; repeated
@@ -29,6 +29,7 @@ from __future__ import annotations
 import os
 from collections import deque
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -45,19 +46,31 @@ END_ID = 1
 PENALTY_DOCUMENT, PENALTY_SENTENCE, PENALTY_INSIDE = 0, 1, 6
 #: Longest stretch without a possible cut.
 GRID = 32
-#: Bytes of text tokenised at once, ids of a solved block, words remembered per worker.
-TEXT_BLOCK, TOKEN_BLOCK, MEMORY_WORDS = 1 << 21, 1 << 20, 800_000
+#: Bytes of text between looks at the block, ids of a solved block.
+TEXT_BLOCK, TOKEN_BLOCK = 1 << 21, 1 << 20
+#: Bytes of text tokenised at once, words remembered per worker: these set the memory of a task, not the result.
+TEXT_SLICE, MEMORY_WORDS = 1 << 19, 200_000
 #: The punctuation taken off the end of words, and the marks that end sentences.
 PUNCTUATION = "!#$%&*+,-./:;<=>?@^_|~)]}"
 SENTENCE_ENDS = (".", "!", "?")
+ENDS_SENTENCE = np.isin(np.arange(256), [ord(c) for c in SENTENCE_ENDS])
+#: Last bytes of a body that may let its punctuation go: small ASCII letters, digits, and those of longer characters (looked at one by one).
+TAKES_TAIL = np.array([k >= 0x80 or chr(k).islower() or chr(k).isdecimal() for k in range(256)])
 
 _OUT = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()),
                   ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())])
 _OUT_SQL = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
+def _bytes(strings: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes below an array of strings, where each begins and where it ends."""
+    _, offsets, data = strings.buffers()
+    at = np.frombuffer(offsets, np.int32, len(strings) + 1, 4 * strings.offset).astype(np.int64) if len(strings) else np.zeros(1, np.int64)
+    return np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8), at[:-1], at[1:]
+
+
 class WordTokens:
-    """Ids of words, remembered by part; forgets all when it holds too many.
+    """Ids of words, remembered by part; when it holds too many, those go that came up in one call only.
 
     A word is looked up as its body and its run of ASCII punctuation at the end:
     after a small Latin letter or a digit the tokenizer always starts a new part there.  A body
@@ -81,14 +94,25 @@ class WordTokens:
         self.flat = np.zeros(1 << 16, np.uint32)
         self.used = 0
         self.start, self.count = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        self.calls = np.zeros(1 << 16, np.int32)  # in which a part came up since the last forgetting, and 1 if it was kept then
+
+    def _forget(self) -> None:
+        keep = np.flatnonzero(self.calls[: len(self.place)] > 1)
+        if len(keep) > self.memory_words // 2:
+            keep = keep[:0]
+        parts = list(self.place)
+        parts = [parts[i] for i in keep.tolist() if i]
+        found = [self.flat[self.start[i]: self.start[i] + self.count[i]] for i in keep.tolist() if i]
+        self._clear()
+        self._hold(parts, found)
+        self.calls[: len(self.place)] = 1
 
     def _ids(self, part: str) -> list[int]:
-        if part.isalpha() and part.islower() and part < "\u0250" and max(part) < "\u0250":
+        if part.isalpha() and part.islower() and (part.isascii() or max(part) < "\u0250"):
             return [t.id for t in self.model.tokenize(part if part.isascii() else self.byte_level(part))]
         return self.tokenizer.encode(part, add_special_tokens=False).ids
 
-    def _learn(self, parts: list[str]) -> None:
-        found = [self._ids(p) for p in parts]
+    def _hold(self, parts: list[str], found: list) -> None:
         counts = np.fromiter(map(len, found), np.int64, len(found))
         flat = np.fromiter((i for ids in found for i in ids), np.uint32, int(counts.sum()))
         first, more = len(self.place), len(parts)
@@ -97,38 +121,59 @@ class WordTokens:
         while first + more > len(self.start):
             self.start = np.concatenate([self.start, np.zeros_like(self.start)])
             self.count = np.concatenate([self.count, np.zeros_like(self.count)])
+            self.calls = np.concatenate([self.calls, np.zeros_like(self.calls)])
         self.flat[self.used: self.used + len(flat)] = flat
         self.start[first: first + more] = self.used + np.cumsum(counts) - counts
         self.count[first: first + more] = counts
         self.place.update(zip(parts, range(first, first + more), strict=True))
         self.used += len(flat)
 
+    def _split(self, names: pa.Array) -> tuple[pa.Array, np.ndarray, pa.Array]:
+        """Bodies of words, which words have a tail, and these words' tails."""
+        core = pc.ascii_rtrim(names, characters=PUNCTUATION)
+        data, begin, end = _bytes(names)
+        core_data, core_begin, core_end = _bytes(core)
+        size = core_end - core_begin
+        cut = (size > 0) & (size < end - begin) & ~pc.match_substring(names, "<|").to_numpy(zero_copy_only=False)
+        # other letters may end in a mark when lower-cased, which the tokenizer joins to what follows; special tokens stay whole
+        cut[cut] = TAKES_TAIL[core_data[core_end[cut] - 1]]
+        odd = np.flatnonzero(cut)[core_data[core_end[cut] - 1] >= 0x80]
+        for k, last in zip(odd.tolist(), pc.utf8_slice_codeunits(core.take(pa.array(odd)), -1).to_pylist(), strict=True):
+            cut[k] = last < "\u0250" and (last.islower() or last.isdecimal())
+        per_tail = (end - begin - size)[cut]
+        offsets = np.concatenate([[0], np.cumsum(per_tail)]).astype(np.int32)
+        tails = pa.Array.from_buffers(pa.string(), len(per_tail), [
+            None, pa.py_buffer(offsets), pa.py_buffer(data[ranges((begin + size)[cut], per_tail)])])
+        return pc.if_else(pa.array(cut), core, names), cut, tails
+
+    def _places(self, parts: pa.Array) -> np.ndarray:
+        """Places of the parts; new ones are learned."""
+        coded = parts.dictionary_encode()
+        names = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        at = np.fromiter(map(self.place.get, names, repeat(-1)), np.int64, len(names))
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            at[new] = len(self.place) + np.arange(len(new))
+            learned = [names[i] for i in new.tolist()]
+            self._hold(learned, [self._ids(p) for p in learned])
+        self.calls[at] += 1
+        return at[coded.indices.to_numpy()]
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all texts, ids per text, and whether a sentence ends after each id."""
         lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
         bounds = lists.offsets.to_numpy().astype(np.int64)
         words = lists.flatten().dictionary_encode()
-        names = words.dictionary.to_pylist()
+        names = words.dictionary
         if len(self.place) + 2 * len(names) > self.memory_words:
-            self._clear()
-        body, tail = [], []
-        for w in names:
-            core = w.rstrip(PUNCTUATION)
-            # other letters may end in a mark when lower-cased, which the tokenizer joins to what follows; special tokens stay whole
-            if len(core) != len(w) and core[-1:] < "\u0250" and (core[-1:].islower() or core[-1:].isdecimal()) and "<|" not in w:
-                body.append(core)
-                tail.append(w[len(core):])
-            else:
-                body.append(w)
-                tail.append("")
-        place = self.place
-        new = list(dict.fromkeys(p for part in (body, tail) for p in part if p not in place))
-        if new:
-            self._learn(new)
-        at = np.empty((len(names), 2), np.int64)
-        at[:, 0] = np.fromiter(map(place.__getitem__, body), np.int64, len(names))
-        at[:, 1] = np.fromiter(map(place.__getitem__, tail), np.int64, len(names))
-        ends = np.fromiter((w[-1:] in SENTENCE_ENDS for w in names), bool, len(names))
+            self._forget()
+        body, cut, tails = self._split(names)
+        at = np.zeros((len(names), 2), np.int64)
+        at[:, 0] = self._places(body)
+        at[cut, 1] = self._places(tails)
+        data, begin, end = _bytes(names)
+        ends = end > begin
+        ends[ends] = ENDS_SENTENCE[data[end[ends] - 1]]
         code = words.indices.to_numpy()
         parts = at[code].reshape(-1)
         per_part = self.count[parts]
@@ -165,7 +210,7 @@ def best_cuts(places: np.ndarray, penalty: np.ndarray, window: int = WINDOW) ->
     where = [0, *places.tolist()]
     pen = [0, *penalty.tolist()]
     n = len(where)
-    cost, back = [0] * n, [0] * n
+    back = [0] * n
     queue: deque[int] = deque([0])
     value = [0] * n  # cost + place
     for j in range(1, n):
@@ -174,8 +219,7 @@ def best_cuts(places: np.ndarray, penalty: np.ndarray, window: int = WINDOW) ->
             queue.popleft()
         i = queue[0]
         back[j] = i
-        cost[j] = c = value[i] + window - p + pen[j]
-        value[j] = v = c + p
+        value[j] = v = value[i] + window + pen[j]
         while queue and value[queue[-1]] >= v:
             queue.pop()
         queue.append(j)
@@ -196,11 +240,13 @@ class Stream:
         self.docs: list[tuple[list, np.ndarray, np.ndarray]] = []  # doc ids, ids in this buffer, ids before
         self.held = 0
 
-    def add(self, doc_ids: list, ids: np.ndarray, counts: np.ndarray, stop: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def add(self, doc_ids: list, ids: np.ndarray, counts: np.ndarray, stop: np.ndarray) -> None:
         self.ids.append(ids)
         self.stop.append(stop)
         self.docs.append((doc_ids, counts, np.zeros(len(counts), np.int64)))
         self.held += len(ids)
+
+    def solve_if_full(self) -> Iterator[pa.RecordBatch]:
         if self.held >= self.token_block:
             yield from self.solve(last=False)
 
@@ -258,9 +304,9 @@ class Stream:
         seq_start = np.concatenate([[0], cuts])[seq]
         # a document that goes on behind this block still has all its ids in the buffer
         total = (before + counts)[doc]
-        bytes_ = ids[: cuts[-1]].astype("<u4").tobytes()
+        bytes_ = ids[: cuts[-1]].astype("<u4", copy=False)
         offs = (np.append(edge, cuts[-1]) * 4).astype(np.int32)
-        blob = pa.Array.from_buffers(pa.binary(), len(edge), [None, pa.py_buffer(offs.tobytes()), pa.py_buffer(bytes_)])
+        blob = pa.Array.from_buffers(pa.binary(), len(edge), [None, pa.py_buffer(offs), pa.py_buffer(bytes_)])
         out = pa.RecordBatch.from_arrays([
             pa.array([names[i] for i in doc.tolist()], pa.int64()), pa.array(before[doc] + edge - starts[doc]),
             pa.array(stop - edge), blob, pa.array(total), pa.array(self.sequence + seq), pa.array(edge - seq_start),
@@ -269,6 +315,12 @@ class Stream:
         return out
 
 
+def _stretches(size: np.ndarray, per_stretch: int) -> Iterator[tuple[int, int]]:
+    """Rows from, to (without) of stretches of about ``per_stretch`` bytes; a larger row is one of its own."""
+    edges = [0, *(np.flatnonzero(np.diff(np.cumsum(size) // per_stretch)) + 1).tolist(), len(size)]
+    return ((lo, hi) for lo, hi in zip(edges[:-1], edges[1:], strict=True) if lo < hi)
+
+
 def _packer(path: str, window: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordTokens(path)
@@ -277,16 +329,14 @@ def _packer(path: str, window: int, end_id: int):
         for batch in batches:
             texts = batch.column(1).fill_null("")
             size = pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
-            group = np.cumsum(size) // TEXT_BLOCK
-            edges = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(texts)]
-            for lo, hi in zip(edges[:-1], edges[1:], strict=True):
-                if lo == hi:
-                    continue
-                ids, counts, stop = words.encode(texts.slice(lo, hi - lo))
-                ends = np.cumsum(counts)
-                ids = np.insert(ids, ends, np.uint32(end_id))
-                stop = np.insert(stop, ends, True)
-                yield from stream.add(batch.column(0).slice(lo, hi - lo).to_pylist(), ids, counts + 1, stop)
+            for first, last in _stretches(size, TEXT_BLOCK):
+                for lo, hi in _stretches(size[first:last], TEXT_SLICE):
+                    ids, counts, stop = words.encode(texts.slice(first + lo, hi - lo))
+                    ends = np.cumsum(counts)
+                    ids = np.insert(ids, ends, np.uint32(end_id))
+                    stop = np.insert(stop, ends, True)
+                    stream.add(batch.column(0).slice(first + lo, hi - lo).to_pylist(), ids, counts + 1, stop)
+                yield from stream.solve_if_full()
         yield from stream.solve(last=True)
     return run
 

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
@@ -97,6 +98,43 @@ def test_forgetting_words_changes_nothing():
         assert all((x == y).all() for x, y in zip(a, b, strict=True))
 
 
+def test_words_that_come_again_are_not_forgotten():
+    tokens = packing.WordTokens(PATH, memory_words=400)
+    for k in range(30):
+        tokens.encode(pa.array([" ".join(f"once{k}x{j}y" for j in range(50)) + " always often."]))
+        assert len(tokens.place) <= 400
+        if k > 1:
+            assert "always" in tokens.place and "often" in tokens.place
+
+
+def test_memory_of_a_task_that_meets_many_words():
+    words = [f"{k:x}q{k * 7919 % 1000003:x}" for k in range(300_000)]
+    batches = [pa.RecordBatch.from_arrays([pa.array([k]), pa.array([" ".join(words[k * 3000: (k + 1) * 3000])])], ["doc_id", "text"])
+               for k in range(100)]
+    tracemalloc.start()
+    try:
+        held = tracemalloc.get_traced_memory()[0]
+        n = sum(out.num_rows for out in packing._packer(PATH, 2048, 1)(iter(batches)))
+        peak = tracemalloc.get_traced_memory()[1] - held
+    finally:
+        tracemalloc.stop()
+    assert n >= 100
+    assert peak < 60 << 20  # measured: 48 MB; 77 MB with 800,000 words and whole blocks at once
+
+
+def test_slices_of_a_block_change_nothing(monkeypatch):
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice(["alpha", "beta.", f"w{rng.randrange(99)}", "É!", "(x)"]) for _ in range(rng.randrange(400)))
+             for _ in range(300)] + [None, "", " "]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
+    monkeypatch.setattr(packing, "TEXT_BLOCK", 20_000)
+    found = []
+    for size in (20_000, 3_000, 1):
+        monkeypatch.setattr(packing, "TEXT_SLICE", size)
+        found.append(pa.Table.from_batches(packing._packer(PATH, 2048, 1)(iter([batch]))))
+    assert found[0].num_rows >= len(texts) and found[0].equals(found[1]) and found[0].equals(found[2])
+
+
 ODD_TOKENS = packing.WordTokens(PATH)
 ODD = ["İ", "I", "ı", "ß", "ẞ", "é", "é", "ŉ", "ª", "²", "½", "Ⅷ", "ﬁ", "Ǆ", "ǅ", "Σ", "ς", "中", "क", "ि", "̀", "‍", " ",
        " ", "😀", "a", "Z", "9", "٣", ".", "...", "!", ")", "'", "'s", "-", "_", "~", " ", "\n", "\t", "<|", "|>", "\x00", "\x85"]
